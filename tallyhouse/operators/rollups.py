@@ -159,3 +159,17 @@ ROLLUPS: dict[str, Callable[[Star], DataFrame]] = {
     "mv_quarterly_sales_summary": quarterly_sales_summary,
     "mv_daily_sales_by_product": daily_sales_by_product,
 }
+
+
+def sales_enriched(star: Star) -> DataFrame:
+    """Every fact with its dimensions: the wide form for ad-hoc queries.
+
+    Date, product and retailer must exist; customer and store may be unknown.
+    """
+    return (
+        star.fact.join(star.dates.drop("created_at"), "date_id")
+        .join(star.products.drop("created_at", "updated_at"), "product_id")
+        .join(star.retailers, "retailer_id")
+        .join(star.customers.select("customer_id", "customer_external_id"), "customer_id", "left")
+        .join(star.stores.select("store_id", "store_external_id"), "store_id", "left")
+    )

@@ -105,10 +105,20 @@ RETAILERS = (
 )
 RETAILER_SCHEMA = "retailer_id int, retailer_code string, retailer_name string"
 
-RECORD_SCHEMA = T.StructType.fromDDL(
-    "retailer_id string, transaction_id string, product_id string, product_name string, "
-    "category string, quantity int, unit_price decimal(10,2), total_amount decimal(10,2), "
-    "transaction_date timestamp_ntz, customer_id string, store_id string"
+_MONEY = T.DecimalType(10, 2)
+RECORD_SCHEMA = (
+    T.StructType()
+    .add("retailer_id", T.StringType())
+    .add("transaction_id", T.StringType())
+    .add("product_id", T.StringType())
+    .add("product_name", T.StringType())
+    .add("category", T.StringType())
+    .add("quantity", T.IntegerType())
+    .add("unit_price", _MONEY)
+    .add("total_amount", _MONEY)
+    .add("transaction_date", T.TimestampNTZType())
+    .add("customer_id", T.StringType())
+    .add("store_id", T.StringType())
 )
 
 DATE_COLUMNS = (
