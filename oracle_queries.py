@@ -492,39 +492,41 @@ ORACLE: dict[str, str] = {
             row_number() OVER (PARTITION BY l_orderkey
               ORDER BY sku, l_linenumber, l_suppkey, cents, q) AS rn
           FROM sold WHERE retailer = 1) WHERE rn = 1"""),
-    "landing_roundtrip": landed("""
-        SELECT seen_code AS retailer_id, CASE WHEN q <> 48 THEN txn END AS transaction_id,
-          sku AS product_id, seen_name AS product_name, seen_category AS category,
-          seen_quantity AS quantity,
-          CASE WHEN q <> 50 THEN CAST(price AS DOUBLE) END AS unit_price,
+    "landing_roundtrip": sold("""
+        SELECT CASE WHEN q = 46 THEN 'retailer_9' ELSE code END AS retailer_id,
+          txn AS transaction_id, sku AS product_id,
+          CASE WHEN q <> 44 THEN p_name END AS product_name, category,
+          CASE WHEN q <> 45 THEN q END AS quantity, CAST(price AS DOUBLE) AS unit_price,
           CAST(total AS DOUBLE) AS total_amount,
-          CASE WHEN q NOT IN (48, 47) THEN stamp END AS transaction_date,
-          seen_customer AS customer_id, store AS store_id, status FROM landed"""),
-    "landing_scan_day": sold(f"""
-        SELECT DISTINCT code AS retailer, true AS has_data FROM sold WHERE day = {AS_OF}"""),
-    "landing_parse": landed("""
+          CASE WHEN q <> 47 THEN stamp END AS transaction_date,
+          CASE WHEN q = 42 THEN '' ELSE customer END AS customer_id, store AS store_id,
+          CASE WHEN q = 47 THEN 'bad_date' ELSE 'valid' END AS status FROM sold"""),
+    "landing_scan_day": sold("""
+        SELECT DISTINCT code AS retailer, true AS has_data FROM sold
+        WHERE last_day(day) = DATE '2001-08-31'"""),
+    "landing_parse": sold("""
         SELECT code AS retailer, field, COUNT(*) AS present, COUNT(value) AS with_value FROM (
-          SELECT code, 'retailer_id' AS field, seen_code AS value FROM landed WHERE q <> 49
-          UNION ALL SELECT code, 'transaction_id', txn FROM landed WHERE q <> 48
-          UNION ALL SELECT code, 'product_id', sku FROM landed
-          UNION ALL SELECT code, 'product_name', seen_name FROM landed
-          UNION ALL SELECT code, 'category', category FROM landed WHERE q <> 43
-          UNION ALL SELECT code, 'quantity', CAST(seen_quantity AS VARCHAR) FROM landed
-          UNION ALL SELECT code, 'unit_price', CAST(price AS VARCHAR) FROM landed WHERE q <> 50
-          UNION ALL SELECT code, 'total_amount', CAST(total AS VARCHAR) FROM landed
-          UNION ALL SELECT code, 'transaction_date', iso FROM landed WHERE q <> 48
-          UNION ALL SELECT code, 'customer_id', seen_customer FROM landed
-          UNION ALL SELECT code, 'store_id', store FROM landed
+          SELECT code, 'retailer_id' AS field, code AS value FROM sold
+          UNION ALL SELECT code, 'transaction_id', txn FROM sold
+          UNION ALL SELECT code, 'product_id', sku FROM sold
+          UNION ALL SELECT code, 'product_name', CASE WHEN q <> 44 THEN p_name END FROM sold
+          UNION ALL SELECT code, 'category', category FROM sold
+          UNION ALL SELECT code, 'quantity', CASE WHEN q <> 45 THEN CAST(q AS VARCHAR) END FROM sold
+          UNION ALL SELECT code, 'unit_price', CAST(price AS VARCHAR) FROM sold
+          UNION ALL SELECT code, 'total_amount', CAST(total AS VARCHAR) FROM sold
+          UNION ALL SELECT code, 'transaction_date', iso FROM sold
+          UNION ALL SELECT code, 'customer_id', CASE WHEN q = 42 THEN '' ELSE customer END FROM sold
+          UNION ALL SELECT code, 'store_id', store FROM sold
         ) GROUP BY code, field"""),
     "path_partition_values": sold("""
-        SELECT code AS retailer, CAST(day AS VARCHAR) AS file_date, COUNT(*) AS records
-        FROM sold GROUP BY code, day"""),
+        SELECT code AS retailer, CAST(last_day(day) AS VARCHAR) AS file_date, COUNT(*) AS records
+        FROM sold GROUP BY code, last_day(day)"""),
     "processed_zone": landed("""
-        SELECT code AS retailer, CAST(day AS VARCHAR) AS file_date, COUNT(*) AS records,
+        SELECT code AS retailer, CAST(last_day(day) AS VARCHAR) AS file_date, COUNT(*) AS records,
           COUNT(seen_quantity) AS with_quantity
-        FROM landed WHERE status <> 'missing_fields' GROUP BY code, day"""),
+        FROM landed WHERE status <> 'missing_fields' GROUP BY code, last_day(day)"""),
     "landing_inventory": sold("""
-        SELECT code AS retailer, COUNT(DISTINCT day) AS days, COUNT(*) AS records,
+        SELECT code AS retailer, COUNT(DISTINCT last_day(day)) AS days, COUNT(*) AS records,
           true AS all_filled FROM sold GROUP BY code"""),
     "export_daily_summary": views("SELECT * FROM mv1 WHERE date >= DATE '1996-01-01'", MV1),
     # normalise and validate
@@ -623,11 +625,12 @@ ORACLE: dict[str, str] = {
         SELECT seen_code AS retailer_id, txn AS transaction_id, sku AS product_id,
           seen_name AS product_name, seen_quantity AS quantity
         FROM landed WHERE q IN (45, 44)"""),
-    "process_date_summary": landed(f"""
+    "process_date_summary": landed("""
         SELECT code AS retailer, COUNT(*) AS records_found,
-          (SELECT COUNT(*) FROM loadable WHERE day = {AS_OF} AND loadable.code = landed.code)
+          (SELECT COUNT(*) FROM loadable
+           WHERE last_day(day) = DATE '2001-08-31' AND loadable.code = landed.code)
             AS records_loaded
-        FROM landed WHERE day = {AS_OF} GROUP BY code"""),
+        FROM landed WHERE last_day(day) = DATE '2001-08-31' GROUP BY code"""),
     "sales_enriched": star(
         """SELECT *, CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_id,
           CAST(isodow(date) AS INTEGER) AS day_of_week, dayname(date) AS day_name,

@@ -92,23 +92,27 @@ def rejected(normalized: DataFrame) -> DataFrame:
     return normalized.where("not convertible")
 
 
-def serialize(records: DataFrame, *extra: str, raw: Column | None = None) -> DataFrame:
-    """Records as landed: one JSON text per record in ``value``, dates in ISO form.
-
-    ``raw`` is the record as the feed sent it, nested under ``raw_data``. Null members are written
-    out, because the loader tells a null value from a missing key.
-    """
-    date = F.col("transaction_date")
+def iso_text(date: Column) -> Column:
+    """A time as ISO text, with microseconds only when there are any."""
     whole = F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss")
     with_micros = F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    micros = F.date_format(date, "SSSSSS")
-    iso = F.when(micros == "000000", whole).otherwise(with_micros)
+    return F.when(F.date_format(date, "SSSSSS") == "000000", whole).otherwise(with_micros)
+
+
+def serializable(records: DataFrame, *extra: str, raw: Column | None = None) -> DataFrame:
+    """Records as they are landed: dates in ISO form, the feed's own record under ``raw_data``."""
     members = [
-        iso.alias(name) if name == "transaction_date" else F.col(name)
+        iso_text(F.col(name)).alias(name) if name == "transaction_date" else F.col(name)
         for name in RECORD_SCHEMA.names
     ]
     raw_data = F.lit(None).cast("map<string,string>") if raw is None else raw
-    body = F.struct(*members, raw_data.alias("raw_data"))
-    return records.select(
-        *extra, F.to_json(body, {"ignoreNullFields": "false"}).alias("value")
+    return records.select(*extra, *members, raw_data.alias("raw_data"))
+
+
+def serialize(records: DataFrame, raw: Column | None = None) -> DataFrame:
+    """The same as one JSON text per record. Nulls are written out: to the loader a null value is
+    not a missing key."""
+    rows = serializable(records, raw=raw)
+    return rows.select(
+        F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")
     )

@@ -12,8 +12,7 @@ from tallyhouse.schemas import REQUIRED_FIELDS
 
 def missing_fields(record: Column) -> Column:
     """The required keys a record map does not have; a key with a null value is present."""
-    required = F.array(*[F.lit(name) for name in REQUIRED_FIELDS])
-    return F.filter(required, lambda name: ~F.map_contains_key(record, name))
+    return F.array_except(F.array(*[F.lit(name) for name in REQUIRED_FIELDS]), F.map_keys(record))
 
 
 def has_required_fields(record: Column) -> Column:

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import dims, facts, quality, validate
 from tallyhouse.operators.analytics import Day
-from tallyhouse.operators.normalize import accepted, normalize_maps, normalize_table, serialize
+from tallyhouse.operators.normalize import (
+    accepted,
+    normalize_maps,
+    normalize_table,
+    serializable,
+)
 from tallyhouse.plans.refresh import refresh_all
 from tallyhouse.plans.store import TableStore
 from tallyhouse.schemas import FEED_BY_CODE, Star
@@ -48,21 +53,17 @@ def land_feeds(
             if "record" in table.columns:
                 moment = F.current_timestamp() if now is None else now
                 records = accepted(normalize_maps(table, feed, moment), "record")
-                raw = F.col("record")
             else:
                 rows = feeds.with_defaults(feeds.scan_feed(table, feed, day, day), feed)
-                rows = rows.withColumn(
-                    "record",
-                    F.create_map(*[
-                        part
-                        for name in feed.columns
-                        for part in (F.lit(name), F.col(name).cast("string"))
-                    ]),
-                )
+                pairs = [
+                    part
+                    for name in feed.columns
+                    for part in (F.lit(name), F.col(name).cast("string"))
+                ]
+                rows = rows.withColumn("record", F.create_map(*pairs))
                 records = normalize_table(rows, feed, "record")
-                raw = F.col("record")
-            texts = serialize(records, raw=raw)
-            landing.land(texts.withColumns({"retailer": F.lit(code), **folders}), root)
+            landed = serializable(records, raw=F.col("record"))
+            landing.land(landed.withColumns({"retailer": F.lit(code), **folders}), root)
         except Exception as error:  # reported to the caller; the other feeds still land
             failed[code] = str(error).splitlines()[0]
     return failed

@@ -27,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 LOADED_AT = "2001-08-02 02:00:00"
 NOW = "2001-08-01 12:00:00"
 SCD1_SPLIT = "1998-06-01"
+DELIVERY = "2001-08-31"
 YEAR = int(AS_OF[:4])
 
 
@@ -81,27 +82,20 @@ def _maps(spark: SparkSession, folder: str) -> DataFrame:
     return tables.landed_maps(_all_records(spark, folder))
 
 
-def _typed(spark: SparkSession, folder: str) -> DataFrame:
-    return validate.typed_records(_maps(spark, folder), "load_seq")
+def _delivered(records: DataFrame) -> DataFrame:
+    """Folder columns: each retailer delivers a month's sales on the last day of the month."""
+    day = F.last_day("load_seq.date")
+    folders = {"retailer": F.col("load_seq.retailer"), **landing.partition_columns(day)}
+    return records.withColumns(folders).drop("load_seq")
 
 
 def _landing_root(spark: SparkSession, folder: str) -> str:
     """The landing zone of the given tables, written on first use."""
-    wh = warehouse(spark, folder)
-    found = wh.store.versions("landing")
-    if found:
-        return found[-1]
-    root = f"{wh.store.root}/landing/all"
-    texts = _maps(spark, folder).select(
-        F.col("load_seq.retailer").alias("retailer"),
-        *[
-            column.alias(name)
-            for name, column in landing.partition_columns(F.col("load_seq.date")).items()
-        ],
-        F.to_json("record", {"ignoreNullFields": "false"}).alias("value"),
-    )
-    landing.land(texts, root)
-    return root
+    store = warehouse(spark, folder).store
+    if not store.exists("landing"):
+        records = tables.damaged(_all_records(spark, folder))
+        landing.land(_delivered(records), f"{store.root}/landing/all", replace=False)
+    return store.versions("landing")[-1]
 
 
 def _landed(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,7 +112,9 @@ def _loaded(spark: SparkSession, folder: str) -> tuple[TableStore, daily.LoadRes
         return store, daily.LoadResult(
             star, records, inserted, facts.load_counters(records, star, inserted)
         )
-    return store, daily.load_records(store, _typed(spark, folder), _time(LOADED_AT))
+    return store, daily.load_records(
+        store, validate.typed_records(_maps(spark, folder), "load_seq"), _time(LOADED_AT)
+    )
 
 
 # Sources -----------------------------------------------------------------------------------
@@ -175,7 +171,7 @@ def landing_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def landing_scan_day(spark: SparkSession, folder: str) -> DataFrame:
-    files = landing.list_files(spark, _landing_root(spark, folder), AS_OF)
+    files = landing.list_files(spark, _landing_root(spark, folder), DELIVERY)
     return files.groupBy("retailer").agg((F.sum("file_size") > 0).alias("has_data"))
 
 
@@ -198,15 +194,12 @@ def path_partition_values(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def processed_zone(spark: SparkSession, folder: str) -> DataFrame:
-    """Records that pass the gate, kept as landed, per retailer and day."""
-    passed = _landed(spark, folder).where(validate.has_required_fields(F.col("record")))
-    root = f"{warehouse(spark, folder).store.root}/processed_texts"
-    texts = passed.select(
-        "retailer",
-        *[c.alias(n) for n, c in landing.partition_columns(F.col("file_date")).items()],
-        F.to_json("record", {"ignoreNullFields": "false"}).alias("value"),
-    )
-    landing.land(texts, root)
+    """Records that pass the gate, landed again, per retailer and day."""
+    passed = _maps(spark, folder).where(validate.has_required_fields(F.col("record")))
+    names = RECORD_SCHEMA.names
+    rows = passed.select(*[F.col("record")[name].alias(name) for name in names], "load_seq")
+    root = f"{warehouse(spark, folder).store.root}/processed_zone"
+    landing.land(_delivered(rows), root)
     return (
         landing.parse_lines(landing.scan_files(spark, root))
         .groupBy("retailer", "file_date")
@@ -290,15 +283,14 @@ def missing_field_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unknown_retailer_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    valid = _typed(spark, folder).where("status = 'valid'")
+    valid = _loaded(spark, folder)[1].records.where("status = 'valid'")
     rejects = validate.unknown_retailers(valid, dims.seed_retailers(spark))
     return rejects.select("retailer_id", "transaction_id", "product_id", "quantity")
 
 
 def bad_date_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    return _typed(spark, folder).where("status = 'bad_date'").select(
-        "retailer_id", "transaction_id", "product_id", "quantity"
-    )
+    rejects = _loaded(spark, folder)[1].records.where("status = 'bad_date'")
+    return rejects.select("retailer_id", "transaction_id", "product_id", "quantity")
 
 
 # Dimensions and facts ----------------------------------------------------------------------
@@ -372,7 +364,7 @@ def load_counters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fact_constraint_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    valid = _typed(spark, folder).where("status = 'valid'")
+    valid = _loaded(spark, folder)[1].records.where("status = 'valid'")
     return validate.constraint_violations(valid).select(
         "retailer_id", "transaction_id", "product_id", "product_name", "quantity"
     )
@@ -380,10 +372,10 @@ def fact_constraint_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 def process_date_summary(spark: SparkSession, folder: str) -> DataFrame:
     root = _landing_root(spark, folder)
-    found = landing.parse_lines(landing.scan_files(spark, root, AS_OF))
+    found = landing.parse_lines(landing.scan_files(spark, root, DELIVERY))
     star = _loaded(spark, folder)[1].star
     loaded = (
-        fn.sales_between(star, AS_OF, AS_OF)
+        fn.sales_between(star, fn.month_start(DELIVERY), DELIVERY)
         .groupBy("retailer_id")
         .agg(F.count("*").alias("records_loaded"))
         .join(star.retailers, "retailer_id")

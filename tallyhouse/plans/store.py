@@ -24,6 +24,12 @@ class TableStore:
         conf = self.spark._jsc.hadoopConfiguration()
         return jvm_path.getFileSystem(conf), jvm_path
 
+    def delete_on_exit(self) -> None:
+        """Remove all tables when the driver ends, for tables that only serve this session."""
+        fs, folder = self._fs(self.root)
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+
     def versions(self, table: str) -> list[str]:
         """Finished versions of a table, oldest first."""
         fs, folder = self._fs(f"{self.root}/{table}")

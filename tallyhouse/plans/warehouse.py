@@ -1,8 +1,8 @@
-"""The warehouse over the given tables: built once per input, then read by every query."""
+"""The warehouse over the given tables: built once per session, then read by every query."""
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Iterator, Mapping
 from dataclasses import replace
 
@@ -18,18 +18,18 @@ from tallyhouse.sources import tables
 DIMENSIONS = ("dates", "products", "customers", "stores", "retailers")
 
 
-def _fingerprint(spark: SparkSession, folder: str) -> str:
+def _fingerprint(spark: SparkSession, folder: str) -> tuple:
     """Changes when the input files do: size, number and age of what the tables consist of."""
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
-    seen = [folder]
+    seen = []
     for table in ("lineitem", "orders", "part"):
         path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{table}.parquet")
         fs = path.getFileSystem(conf)
         content = fs.getContentSummary(path)
         changed = fs.getFileStatus(path).getModificationTime()
         seen += [content.getLength(), content.getFileCount(), changed]
-    return hashlib.sha256(repr(seen).encode()).hexdigest()[:16]
+    return tuple(seen)
 
 
 def load_star(spark: SparkSession, folder: str, store: TableStore) -> Star:
@@ -66,21 +66,17 @@ class Views(Mapping[str, DataFrame]):
 
 
 class Warehouse:
-    """Star schema and rollups of one set of given tables, under the shared folder.
+    """Star schema and rollups of one set of given tables, kept for this session.
 
-    The folder is named after the input files' fingerprint, so changed input gets a new warehouse
-    and a later session finds what an earlier one wrote.
+    They live in a folder of their own under the shared folder, so a lost executor loses nothing,
+    and go when the driver ends.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
-        key = _fingerprint(spark, folder)
-        self.store = TableStore(spark, f"{shared_dir(spark)}/tallyhouse/{key}")
-        names = [f"dim_{name}" for name in DIMENSIONS]
-        if self.store.exists(names[-1]):
-            frames = {name: self.store.read(f"dim_{name}") for name in DIMENSIONS}
-            self.star = Star(fact=self.store.read("fact_sales"), **frames)
-        else:
-            self.star = load_star(spark, folder, self.store)
+        name = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
+        self.store = TableStore(spark, f"{shared_dir(spark)}/tallyhouse/{name}")
+        self.store.delete_on_exit()
+        self.star = load_star(spark, folder, self.store)
         self.views = Views(self.star, self.store)
 
 
@@ -88,7 +84,7 @@ _OPEN: dict[tuple[str, str, str], Warehouse] = {}
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """The warehouse of the tables in ``folder``, built on first use."""
+    """The warehouse of the tables in ``folder``: built on first use and when the tables change."""
     key = (spark.sparkContext.applicationId, folder, _fingerprint(spark, folder))
     if key not in _OPEN:
         _OPEN[key] = Warehouse(spark, folder)

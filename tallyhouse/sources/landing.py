@@ -16,6 +16,7 @@ from tallyhouse.schemas import RETAILERS
 
 RECORD = "map<string,string>"
 PARTITIONS = ("retailer", "year", "month", "day")
+_FILE = "struct<file_path:string,file_size:bigint,file_block_start:bigint>"
 
 
 def partition_columns(date: Column) -> dict[str, Column]:
@@ -27,21 +28,18 @@ def partition_columns(date: Column) -> dict[str, Column]:
     }
 
 
-def land(serialized: DataFrame, root: str) -> None:
-    """Write texts (``value``) under ``root/retailer=/year=/month=/day=``.
+def land(records: DataFrame, root: str, replace: bool = True) -> None:
+    """Write records as JSON Lines under ``root/retailer=/year=/month=/day=``.
 
-    Only the folders that get records are replaced, so a rerun of a day replaces that day and
-    nothing is written for a retailer without records. The rebalance splits a large retailer-day
-    over several files and gathers a small one into a single file.
+    With ``replace`` only the folders that get records are overwritten, so a rerun of a day
+    replaces that day and nothing is written for a retailer without records; without it ``root``
+    must be new, as for a backfill. The rebalance splits a large retailer-day over several files
+    and gathers a small one into a single file.
     """
-    (
-        serialized.select(*PARTITIONS, "value")
-        .hint("rebalance", *PARTITIONS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .text(root)
-    )
+    writer = records.hint("rebalance", *PARTITIONS).write.option("ignoreNullFields", False)
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PARTITIONS).json(root)
 
 
 def path_parts(path: Column) -> dict[str, Column]:
@@ -56,9 +54,7 @@ def path_parts(path: Column) -> dict[str, Column]:
     return {"retailer": retailer, "file_date": date.try_cast("date")}
 
 
-def _day_glob(root: str, day: Day | None) -> str:
-    if day is None:
-        return f"{root}/*/year=*/month=*/day=*"
+def _day_glob(root: str, day: Day) -> str:
     day = as_day(day)
     return f"{root}/*/year={day.year:04d}/month={day.month:02d}/day={day.day:02d}"
 
@@ -66,30 +62,25 @@ def _day_glob(root: str, day: Day | None) -> str:
 def scan_files(
     spark: SparkSession, root: str, day: Day | None = None, whole: bool = False
 ) -> DataFrame:
-    """Texts of the landing files of one day or all days, with file, retailer and date.
+    """Texts of the JSON files of one day or all days, with file, retailer and date.
 
     ``whole`` gives one row per file, otherwise one row per line. No folder means no rows.
     """
-    reader = spark.read.option("wholetext", whole)
+    reader = spark.read.option("wholetext", whole).option("pathGlobFilter", "*.json")
+    path = root if day is None else _day_glob(root, day)
     try:
-        files = reader.text(_day_glob(root, day))
+        files = reader.option("recursiveFileLookup", True).text(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        files = spark.createDataFrame([], "value string").withColumn(
-            "_metadata",
-            F.lit(None).cast(
-                "struct<file_path:string,file_name:string,file_size:bigint,"
-                "file_block_start:bigint>"
-            ),
-        )
-    path = F.col("_metadata.file_path")
+        files = spark.createDataFrame([], "value string, _metadata " + _FILE)
+    file = F.col("_metadata.file_path")
     return files.select(
         "value",
-        path.alias("file"),
+        file.alias("file"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block"),
-        *[column.alias(name) for name, column in path_parts(path).items()],
+        *[column.alias(name) for name, column in path_parts(file).items()],
     )
 
 
@@ -97,9 +88,9 @@ def list_files(spark: SparkSession, root: str, day: Day) -> DataFrame:
     """The JSON files of a day over the known retailers; other names are skipped."""
     codes = [code for _, code, _ in RETAILERS]
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
-    files = found.load(_day_glob(root, day)).select("path", F.col("length").alias("file_size"))
-    parts = path_parts(F.col("path"))
-    return files.select("path", "file_size", parts["retailer"].alias("retailer")).where(
+    files = found.load(_day_glob(root, day))
+    retailer = path_parts(F.col("path"))["retailer"]
+    return files.select("path", F.col("length").alias("file_size"), retailer.alias("retailer")).where(
         F.col("retailer").isin(codes)
     )
 

@@ -203,24 +203,32 @@ def raw_records(spark: SparkSession, folder: str, feed: Feed) -> DataFrame:
     )
 
 
-def landed_maps(records: DataFrame) -> DataFrame:
-    """Common records as the maps a landing file holds, some of them damaged.
+def damaged(records: DataFrame) -> DataFrame:
+    """Common records with the date as text and some values spoilt.
 
-    Fixed rules by quantity: 50 lacks its price, 49 its retailer, 48 both its id and its date, 47
-    has an unreadable date, 46 an unknown retailer, 45 a null quantity, 44 a null product name, 43
-    no category, 42 an empty customer id.
+    Fixed rules by quantity: 47 has an unreadable date, 46 an unknown retailer, 45 a null quantity,
+    44 a null product name, 42 an empty customer id.
     """
     quantity = F.col("quantity")
+    iso = F.date_format("transaction_date", "yyyy-MM-dd'T'HH:mm:ss")
+    return records.withColumns({
+        "transaction_date": F.when(quantity == 47, "yesterday").otherwise(iso),
+        "retailer_id": F.when(quantity == 46, "retailer_9").otherwise(F.col("retailer_id")),
+        "product_name": F.when(quantity != 44, F.col("product_name")),
+        "customer_id": F.when(quantity == 42, "").otherwise(F.col("customer_id")),
+        "quantity": F.when(quantity != 45, quantity),
+    })
+
+
+def landed_maps(records: DataFrame) -> DataFrame:
+    """The damaged records as untyped maps, of which some lack a key.
+
+    Fixed rules by quantity: 50 lacks its price, 49 its retailer, 48 both its id and its date, 43
+    its category.
+    """
     names = [name for name in records.columns if name != "load_seq"]
-    values = {name: F.col(name).cast("string") for name in names}
-    values["transaction_date"] = F.when(quantity == 47, "yesterday").otherwise(
-        F.date_format("transaction_date", "yyyy-MM-dd'T'HH:mm:ss")
-    )
-    values["retailer_id"] = F.when(quantity == 46, "retailer_9").otherwise(values["retailer_id"])
-    values["quantity"] = F.when(quantity != 45, values["quantity"])
-    values["product_name"] = F.when(quantity != 44, values["product_name"])
-    values["customer_id"] = F.when(quantity == 42, "").otherwise(values["customer_id"])
-    whole = F.create_map(*[part for name, v in values.items() for part in (F.lit(name), v)])
+    pairs = [part for name in names for part in (F.lit(name), F.col(name).cast("string"))]
+    quantity = F.col("quantity")
     dropped = (
         F.when(quantity == 50, F.array(F.lit("unit_price")))
         .when(quantity == 49, F.array(F.lit("retailer_id")))
@@ -228,5 +236,5 @@ def landed_maps(records: DataFrame) -> DataFrame:
         .when(quantity == 43, F.array(F.lit("category")))
         .otherwise(F.array().cast("array<string>"))
     )
-    kept = F.map_filter(whole, lambda name, _: ~F.array_contains(dropped, name))
-    return records.select(kept.alias("record"), "load_seq")
+    kept = F.map_filter(F.create_map(*pairs), lambda name, _: ~F.array_contains(dropped, name))
+    return damaged(records).select(kept.alias("record"), "load_seq")
