@@ -64,8 +64,8 @@ def _all_records(spark: SparkSession, folder: str) -> DataFrame:
         "product_name",
         "category",
         "quantity",
-        (F.col("unit_cents").cast("decimal(12,0)") / 100).cast("decimal(10,2)").alias("unit_price"),
-        (F.col("cents").cast("decimal(12,0)") / 100).cast("decimal(10,2)").alias("total_amount"),
+        tables.money("unit_cents").alias("unit_price"),
+        tables.money("cents").alias("total_amount"),
         F.col("ordered_at").alias("transaction_date"),
         F.col("customer_number").cast("string").alias("customer_id"),
         F.when(F.col("store_number") % 25 != 0, F.col("store_number"))
@@ -79,7 +79,11 @@ def _all_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _maps(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.landed_maps(_all_records(spark, folder))
+    """All records as untyped, partly damaged maps, written on first use."""
+    store = warehouse(spark, folder).store
+    if not store.exists("raw_maps"):
+        store.write("raw_maps", tables.landed_maps(_all_records(spark, folder)))
+    return store.read("raw_maps")
 
 
 def _delivered(records: DataFrame) -> DataFrame:
