@@ -11,16 +11,16 @@ from pyspark.sql import functions as F
 def group_with_distincts(
     df: DataFrame, keys: Sequence[str], measures: Sequence[Column], distincts: dict[str, str]
 ) -> DataFrame:
-    """Group by non-null ``keys`` with plain measures and any number of exact distinct counts.
+    """Group by non-null ``keys`` with plain measures and exact distinct counts.
 
-    Several distinct counts in one aggregation make Catalyst copy every row once per count. Here
-    each count is its own aggregation reading two or three columns: its shuffle is keyed by
-    (keys, value), so a dominant key is spread out and repeated values collapse before the
-    shuffle. The results, one row per group, are joined at the end.
+    One aggregation for the measures, which shrinks to the groups before its shuffle, and one per
+    distinct count, whose shuffle holds nothing but (keys, value): a dominant key is spread over
+    its values and repeated values collapse on the map side. In a single aggregation every
+    measure's buffer would travel with every distinct value, and several distinct counts would
+    copy each row. The results are partitioned by ``keys`` already, one row per group, and joined.
     """
-    (first, column), *others = distincts.items()
-    out = df.groupBy(*keys).agg(*measures, F.count_distinct(column).alias(first))
-    for name, column in others:
+    out = df.groupBy(*keys).agg(*measures)
+    for name, column in distincts.items():
         counted = df.groupBy(*keys).agg(F.count_distinct(column).alias(name))
         out = out.join(counted, list(keys))
     return out

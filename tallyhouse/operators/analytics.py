@@ -132,23 +132,22 @@ def sales_trends(
     if period not in _PERIODS:
         raise ValueError(f"Invalid period: {period}. Must be one of: {', '.join(_PERIODS)}")
     keys, label = _PERIODS[period]
-    return (
-        sales_between(star, start, end, retailer_id)
-        .withColumn("_day", F.col("date"))
-        .groupBy(*keys)
-        .agg(
-            F.min("_day").alias("period_start"),
-            F.max("_day").alias("period_end"),
+    lines = sales_between(star, start, end, retailer_id).withColumn("day", F.col("date"))
+    grouped = group_with_distincts(
+        lines,
+        keys,
+        [
+            F.min("day").alias("period_start"),
+            F.max("day").alias("period_end"),
             total("total_amount").alias("total_revenue"),
             F.sum("quantity").alias("total_quantity"),
-            F.count_distinct("transaction_id").alias("transaction_count"),
             mean("total_amount").alias("avg_transaction_amount"),
-        )
-        .orderBy(*[asc(key) for key in keys])
-        .select(
-            label().alias("period_label"), "period_start", "period_end", "total_revenue",
-            "total_quantity", "transaction_count", "avg_transaction_amount",
-        )
+        ],
+        {"transaction_count": "transaction_id"},
+    )
+    return grouped.orderBy(*[asc(key) for key in keys]).select(
+        label().alias("period_label"), "period_start", "period_end", "total_revenue",
+        "total_quantity", "transaction_count", "avg_transaction_amount",
     )
 
 
@@ -213,17 +212,17 @@ def recent_sales(
     star: Star, as_of: Day, days_back: int = 7, retailer_id: int | None = None
 ) -> DataFrame:
     """Per day for the last ``days_back`` days including ``as_of``; later dates count too."""
-    return (
-        sales_between(star, days_before(as_of, days_back - 1), None, retailer_id)
-        .groupBy("date")
-        .agg(
+    grouped = group_with_distincts(
+        sales_between(star, days_before(as_of, days_back - 1), None, retailer_id),
+        ["date"],
+        [
             total("total_amount").alias("total_revenue"),
             F.sum("quantity").alias("total_quantity"),
-            F.count_distinct("transaction_id").alias("transaction_count"),
             mean("total_amount").alias("avg_transaction_amount"),
-        )
-        .orderBy(desc("date"))
+        ],
+        {"transaction_count": "transaction_id"},
     )
+    return grouped.orderBy(desc("date"))
 
 
 def database_statistics(star: Star) -> DataFrame:

@@ -16,6 +16,8 @@ from tallyhouse.functions.columns import days_in_quarter, mean, total
 from tallyhouse.operators.aggregate import group_with_distincts
 from tallyhouse.schemas import Star
 
+TRANSACTIONS = {"unique_transactions": "transaction_id"}
+
 
 def _with_retailer_name(df: DataFrame, star: Star) -> DataFrame:
     return df.join(star.retailers.select("retailer_id", "retailer_name"), "retailer_id")
@@ -27,14 +29,18 @@ def _dated(star: Star, *columns: str) -> DataFrame:
 
 def daily_sales_summary(star: Star) -> DataFrame:
     """Per date and retailer."""
-    days = star.fact.groupBy("date_id", "retailer_id").agg(
-        F.count("*").alias("transaction_count"),
-        F.count_distinct("transaction_id").alias("unique_transactions"),
-        F.sum("quantity").alias("total_quantity"),
-        total("total_amount").alias("total_revenue"),
-        mean("unit_price").alias("avg_unit_price"),
-        F.min("total_amount").alias("min_transaction_amount"),
-        F.max("total_amount").alias("max_transaction_amount"),
+    days = group_with_distincts(
+        star.fact,
+        ["date_id", "retailer_id"],
+        [
+            F.count("*").alias("transaction_count"),
+            F.sum("quantity").alias("total_quantity"),
+            total("total_amount").alias("total_revenue"),
+            mean("unit_price").alias("avg_unit_price"),
+            F.min("total_amount").alias("min_transaction_amount"),
+            F.max("total_amount").alias("max_transaction_amount"),
+        ],
+        TRANSACTIONS,
     )
     dates = star.dates.select("date_id", "date", "year", "month", "quarter")
     return _with_retailer_name(days.join(dates, "date_id"), star).select(
@@ -58,7 +64,7 @@ def monthly_sales_by_category(star: Star) -> DataFrame:
             total("total_amount").alias("total_revenue"),
             mean("unit_price").alias("avg_unit_price"),
         ],
-        {"unique_products": "product_id", "unique_transactions": "transaction_id"},
+        {"unique_products": "product_id", **TRANSACTIONS},
     )
     return _with_retailer_name(months, star).select(
         *keys, "retailer_name", "transaction_count", "unique_transactions", "unique_products",
@@ -68,14 +74,18 @@ def monthly_sales_by_category(star: Star) -> DataFrame:
 
 def top_products_by_revenue(star: Star) -> DataFrame:
     """Per product and retailer, all time, unsorted."""
-    sold = star.fact.groupBy("product_id", "retailer_id").agg(
-        F.count("*").alias("transaction_count"),
-        F.count_distinct("transaction_id").alias("unique_transactions"),
-        F.sum("quantity").alias("total_quantity_sold"),
-        total("total_amount").alias("total_revenue"),
-        mean("unit_price").alias("avg_unit_price"),
-        F.min("unit_price").alias("min_unit_price"),
-        F.max("unit_price").alias("max_unit_price"),
+    sold = group_with_distincts(
+        star.fact,
+        ["product_id", "retailer_id"],
+        [
+            F.count("*").alias("transaction_count"),
+            F.sum("quantity").alias("total_quantity_sold"),
+            total("total_amount").alias("total_revenue"),
+            mean("unit_price").alias("avg_unit_price"),
+            F.min("unit_price").alias("min_unit_price"),
+            F.max("unit_price").alias("max_unit_price"),
+        ],
+        TRANSACTIONS,
     )
     products = star.products.select("product_id", "product_sku", "product_name", "category")
     return _with_retailer_name(sold.join(products, "product_id"), star).select(
@@ -92,15 +102,19 @@ def weekly_sales_trends(star: Star) -> DataFrame:
     quarter as well keeps them apart from early January.
     """
     keys = ["year", "week", "quarter", "retailer_id"]
-    weeks = _dated(star, "date", "year", "week", "quarter").groupBy(*keys).agg(
-        F.count("*").alias("transaction_count"),
-        F.count_distinct("transaction_id").alias("unique_transactions"),
-        days_in_quarter(F.col("date")).alias("days_with_sales"),
-        F.sum("quantity").alias("total_quantity"),
-        total("total_amount").alias("total_revenue"),
-        mean("total_amount").alias("avg_transaction_amount"),
-        F.min("date").alias("week_start_date"),
-        F.max("date").alias("week_end_date"),
+    weeks = group_with_distincts(
+        _dated(star, "date", "year", "week", "quarter"),
+        keys,
+        [
+            F.count("*").alias("transaction_count"),
+            days_in_quarter(F.col("date")).alias("days_with_sales"),
+            F.sum("quantity").alias("total_quantity"),
+            total("total_amount").alias("total_revenue"),
+            mean("total_amount").alias("avg_transaction_amount"),
+            F.min("date").alias("week_start_date"),
+            F.max("date").alias("week_end_date"),
+        ],
+        TRANSACTIONS,
     )
     return _with_retailer_name(weeks, star).select(
         *keys, "retailer_name", "transaction_count", "unique_transactions", "days_with_sales",
@@ -125,7 +139,7 @@ def quarterly_sales_summary(star: Star) -> DataFrame:
             total("total_amount").alias("total_revenue"),
             mean("total_amount").alias("avg_transaction_amount"),
         ],
-        {"unique_products": "product_id", "unique_transactions": "transaction_id"},
+        {"unique_products": "product_id", **TRANSACTIONS},
     )
     return _with_retailer_name(quarters, star).select(
         *keys, "retailer_name", "transaction_count", "unique_transactions", "days_with_sales",

@@ -249,9 +249,15 @@ def union_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _normalized_maps(spark: SparkSession, folder: str) -> list[DataFrame]:
-    return [
-        nrm.normalize_maps(tables.raw_records(spark, folder, feed), feed, _time(NOW)) for feed in FEEDS
-    ]
+    """Each feed's damaged records, kept as a table as if they had arrived, and normalised."""
+    store = warehouse(spark, folder).store
+    out = []
+    for feed in FEEDS:
+        name = f"raw_{feed.table}"
+        if not store.exists(name):
+            store.write(name, tables.raw_records(spark, folder, feed))
+        out.append(nrm.normalize_maps(store.read(name), feed, _time(NOW)))
+    return out
 
 
 def normalize_defaults(spark: SparkSession, folder: str) -> DataFrame:

@@ -106,10 +106,13 @@ def parse_lines(files: DataFrame) -> DataFrame:
     Lines of one block are read in order by one task, so an increasing row id within the block's
     offset gives the place in the file without numbering the file in a single task.
     """
-    row = F.monotonically_increasing_id()
-    return files.withColumn("row", row).select(
-        "retailer", "file_date", "file", "file_size",
-        F.from_json("value", RECORD).alias("record"),
+    record = F.from_json("value", RECORD)
+    return files.withColumn("row", F.monotonically_increasing_id()).select(
+        "retailer", "file_date", "file", "file_size", "block", "row",
+        # Exploding one element keeps the optimizer from copying the parse into later filters.
+        F.explode(F.array(record)).alias("record"),
+    ).select(
+        "retailer", "file_date", "file", "file_size", "record",
         _load_order(F.col("row")).alias("load_seq"),
     )
 
