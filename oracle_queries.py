@@ -166,8 +166,8 @@ MV4 = ("year, week, quarter, retailer_id, retailer_name, transaction_count, "
        "avg_transaction_amount, week_start_date, week_end_date")
 MV5 = ("year, quarter, retailer_id, retailer_name, transaction_count, unique_transactions, "
        "days_with_sales, unique_products, total_quantity, total_revenue, avg_transaction_amount")
-MV6 = ("date, year, month, product_id, product_sku, product_name, category, retailer_id, "
-       "retailer_name, transaction_count, total_quantity_sold, total_revenue, avg_unit_price")
+MV6 = ("date, product_id, product_sku, product_name, category, retailer_id, retailer_name, "
+       "transaction_count, total_quantity_sold, total_revenue, avg_unit_price, year, month")
 
 
 # Source tables and records -----------------------------------------------------------------

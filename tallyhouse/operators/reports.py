@@ -21,8 +21,15 @@ Views = Mapping[str, DataFrame]
 RETAILER_NAMES = [name for _, _, name in RETAILERS]
 
 
+def _from(day: Day) -> Column:
+    """Dates from ``day`` on; the month is compared too, as large rollups are kept by month."""
+    day = as_day(day)
+    month = F.col("year") * 12 + F.col("month")
+    return (month >= day.year * 12 + day.month) & (F.col("date") >= F.lit(day))
+
+
 def _since(as_of: Day, days: int) -> Column:
-    return F.col("date") >= F.lit(days_before(as_of, days))
+    return _from(days_before(as_of, days))
 
 
 def _this_year(as_of: Day) -> Column:
@@ -347,7 +354,7 @@ def category_year(views: Views, as_of: Day) -> DataFrame:
 def daily_one_retailer(views: Views, retailer: str, since: Day) -> DataFrame:
     return (
         views["mv_daily_sales_summary"]
-        .where((F.col("retailer_name") == retailer) & (F.col("date") >= F.lit(as_day(since))))
+        .where((F.col("retailer_name") == retailer) & _from(since))
         .orderBy(desc("date"))
         .select("date", "total_revenue", "transaction_count", "total_quantity")
     )
@@ -357,7 +364,7 @@ def daily_one_sku(views: Views, sku: str, retailer: str, since: Day) -> DataFram
     wanted = (F.col("product_sku") == sku) & (F.col("retailer_name") == retailer)
     return (
         views["mv_daily_sales_by_product"]
-        .where(wanted & (F.col("date") >= F.lit(as_day(since))))
+        .where(wanted & _from(since))
         .orderBy(desc("date"))
         .select("date", "total_revenue", "total_quantity_sold", "avg_unit_price")
     )

@@ -109,6 +109,8 @@ def load_records(store: TableStore, records: DataFrame, load_ts: Column) -> Load
         "fact_batch", facts.laid_out(facts.new_facts(valid, star, before, load_ts))
     )
     store.append("fact_sales", inserted, ["month_id"])
+    for table in ("processed", "fact_batch", "dim_products"):
+        store.drop_old(table)
     return LoadResult(
         star=read_star(store),
         records=records,

@@ -11,6 +11,9 @@ from tallyhouse.operators.rollups import ROLLUPS
 from tallyhouse.plans.store import TableStore
 from tallyhouse.schemas import Star
 
+# The rollup that grows with days and products is kept by month, so that reports on recent days
+# read only those; the others are small.
+BY_MONTH = ("mv_daily_sales_by_product",)
 STATUS = "view_name string, successful boolean, error string"
 
 
@@ -25,11 +28,20 @@ class RefreshFailed(Exception):
         self.status = status
 
 
+def write_rollup(star: Star, store: TableStore, name: str) -> DataFrame:
+    """Compute a rollup and write it as a new version."""
+    rollup = ROLLUPS[name](star)
+    if name not in BY_MONTH:
+        return store.write(name, rollup)
+    months = ["year", "month"]
+    return store.write(name, rollup.hint("rebalance", *months), months)
+
+
 def refresh_one(star: Star, store: TableStore, name: str) -> DataFrame:
     """Recompute one rollup into a new version and return it."""
     if name not in ROLLUPS:
         raise ValueError(f"Unknown rollup: {name}")
-    view = store.write(name, ROLLUPS[name](star))
+    view = write_rollup(star, store, name)
     store.drop_old(name)
     return view
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators.facts import laid_out
 from tallyhouse.operators.rollups import ROLLUPS
+from tallyhouse.plans.refresh import write_rollup
 from tallyhouse.plans.store import TableStore
 from tallyhouse.schemas import Star
 from tallyhouse.session import shared_dir
@@ -54,7 +55,7 @@ class Views(Mapping[str, DataFrame]):
         if name not in self._frames:
             found = self._store.read_if_exists(name)
             if found is None:
-                found = self._store.write(name, ROLLUPS[name](self._star))
+                found = write_rollup(self._star, self._store, name)
             self._frames[name] = found
         return self._frames[name]
 

@@ -74,8 +74,13 @@ def scan_files(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         files = spark.createDataFrame([], "value string, _metadata " + _FILE)
+    return with_file_columns(files)
+
+
+def with_file_columns(texts: DataFrame) -> DataFrame:
+    """Texts with the columns their ``_metadata`` gives: file, size, offset, retailer and date."""
     file = F.col("_metadata.file_path")
-    return files.select(
+    return texts.select(
         "value",
         file.alias("file"),
         F.col("_metadata.file_size").alias("file_size"),

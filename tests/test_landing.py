@@ -11,6 +11,7 @@ from tallyhouse.operators.quality import QualityCheckFailed
 from tallyhouse.plans import daily, refresh
 from tallyhouse.plans.store import TableStore
 from tallyhouse.sources import export, landing
+from tallyhouse.streaming.landing import load_new_files
 from tests.stars import line, star_of
 
 DAY = "2024-05-02"
@@ -118,6 +119,17 @@ def test_failed_check_stops_the_refresh(spark, folder):
     assert not store.exists("mv_daily_sales_summary")
 
 
+def test_new_files_are_loaded_once(spark, folder):
+    store, root, memory = TableStore(spark, f"{folder}/store"), f"{folder}/raw", f"{folder}/seen"
+    for day in ("2024-05-01", DAY):
+        table = sales(spark, (f"o-{day}", f"{day} 09:00:00", "A", 1, None))
+        daily.land_feeds({"retailer_1": table}, root, day)
+        load_new_files(spark, store, root, memory)
+    load_new_files(spark, store, root, memory)
+    assert store.read("fact_sales").count() == 2
+    assert len(store.versions("processed")) == 2
+
+
 def test_refresh_reports_failures_and_keeps_old_versions(spark, folder, monkeypatch):
     store = TableStore(spark, f"{folder}/store")
     star = star_of(spark, [line(DAY, 1, "t1")], [(1, "A", "Anvil", "Tools")])
