@@ -37,6 +37,7 @@ def main() -> None:
     }
     if not wanted:
         seconds["load_landing"] = timed(lambda: q._landing_root(spark, folder))
+        seconds["load_raw_feeds"] = timed(lambda: q._normalized_maps(spark, folder))
         seconds["load_records"] = timed(lambda: q._loaded(spark, folder))
     for name, query in q.QUERIES.items():
         if not wanted or name in wanted:

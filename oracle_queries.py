@@ -256,6 +256,10 @@ def landed(body: str) -> str:
     return f"WITH {LANDED} {body}"
 
 
+MISSING_TEXT = """'Record ' || l_linenumber || ': Missing required fields: [' ||
+  CASE q WHEN 50 THEN '''unit_price''' WHEN 49 THEN '''retailer_id'''
+    ELSE '''transaction_date'', ''transaction_id''' END || ']'"""
+
 LAST_PRODUCT = """
 SELECT product_sku, product_name, category FROM (
   SELECT sku AS product_sku, seen_name AS product_name, seen_category AS category,
@@ -559,11 +563,12 @@ ORACLE: dict[str, str] = {
     "required_fields_gate": landed("""
         SELECT code AS retailer, status <> 'missing_fields' AS complete, COUNT(*) AS records
         FROM landed GROUP BY code, status <> 'missing_fields'"""),
-    "missing_field_errors": landed("""
-        SELECT sku AS product_id, 'Record ' || l_linenumber || ': Missing required fields: [' ||
-          CASE q WHEN 50 THEN '''unit_price''' WHEN 49 THEN '''retailer_id'''
-            ELSE '''transaction_date'', ''transaction_id''' END || ']' AS error
+    "missing_field_errors": landed(f"""
+        SELECT sku AS product_id, {MISSING_TEXT} AS error
         FROM landed WHERE status = 'missing_fields'"""),
+    "load_errors": landed(f"""
+        SELECT {MISSING_TEXT} AS error FROM landed WHERE status = 'missing_fields'
+        ORDER BY day, code, l_orderkey, l_linenumber, l_suppkey, cents, q LIMIT 10"""),
     "unknown_retailer_rejects": landed("""
         SELECT seen_code AS retailer_id, txn AS transaction_id, sku AS product_id, q AS quantity
         FROM landed WHERE q = 46"""),

@@ -26,6 +26,19 @@ def group_with_distincts(
     return out
 
 
+def products_per_group(lines: DataFrame, products: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``unique_products`` per group, for lines whose product is in ``products``.
+
+    ``keys`` may name columns of ``products``, such as the category. A product is reduced to one
+    row per group before the join, so a product with a third of all sales is no larger there than
+    any other.
+    """
+    own = [key for key in keys if key in lines.columns]
+    seen = lines.select(*own, "product_id").distinct()
+    counted = seen.join(products, "product_id").groupBy(*keys)
+    return counted.agg(F.count("*").alias("unique_products"))
+
+
 def total_with_distincts(
     df: DataFrame, measures: Sequence[Column], distincts: dict[str, str]
 ) -> DataFrame:

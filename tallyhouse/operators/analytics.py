@@ -12,7 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import asc, desc, mean, share, total
-from tallyhouse.operators.aggregate import group_with_distincts, total_with_distincts
+from tallyhouse.operators.aggregate import (
+    group_with_distincts,
+    products_per_group,
+    total_with_distincts,
+)
 from tallyhouse.schemas import Star
 
 Day = dt.date | str
@@ -58,7 +62,9 @@ def sales_between(
         dates = dates.where(F.col("date") <= F.lit(as_day(end)))
     if retailer_id is not None:
         fact = fact.where(F.col("retailer_id") == retailer_id)
-    return fact.join(dates.select("date_id", "date", "year", "quarter", "month", "week"), "date_id")
+    # The calendar has 366 rows a year at most, so it is always broadcast.
+    columns = dates.select("date_id", "date", "year", "quarter", "month", "week")
+    return fact.join(F.broadcast(columns), "date_id")
 
 
 def sales_summary(star: Star, start: Day, end: Day, retailer_id: int | None = None) -> DataFrame:
@@ -156,19 +162,21 @@ def sales_by_category(
 ) -> DataFrame:
     """Per category with its share of the revenue of all categorised sales."""
     categories = star.products.where("category is not null").select("product_id", "category")
-    lines = sales_between(star, start, end, retailer_id).join(categories, "product_id")
+    every_line = sales_between(star, start, end, retailer_id)
+    lines = every_line.join(categories, "product_id")
     everything = lines.agg(F.coalesce(total("total_amount"), F.lit(0))).scalar()
+    grouped = group_with_distincts(
+        lines,
+        ["category"],
+        [
+            total("total_amount").alias("total_revenue"),
+            F.sum("quantity").alias("total_quantity"),
+            mean("unit_price").alias("avg_unit_price"),
+        ],
+        {"transaction_count": "transaction_id"},
+    )
     return (
-        group_with_distincts(
-            lines,
-            ["category"],
-            [
-                total("total_amount").alias("total_revenue"),
-                F.sum("quantity").alias("total_quantity"),
-                mean("unit_price").alias("avg_unit_price"),
-            ],
-            {"unique_products": "product_id", "transaction_count": "transaction_id"},
-        )
+        grouped.join(products_per_group(every_line, categories, ["category"]), "category")
         .withColumn("revenue_percentage", share(F.col("total_revenue"), everything))
         .select(
             "category", "total_revenue", "total_quantity", "transaction_count", "unique_products",
@@ -227,7 +235,7 @@ def recent_sales(
 
 def database_statistics(star: Star) -> DataFrame:
     """One row: fact count, date range, revenue and the size of each dimension."""
-    lines = star.fact.join(star.dates.select("date_id", "date"), "date_id")
+    lines = star.fact.join(F.broadcast(star.dates.select("date_id", "date")), "date_id")
     return lines.agg(
         F.count("*").alias("total_sales_records"),
         F.min("date").alias("date_range_start"),

@@ -1,8 +1,10 @@
 """The six rollups kept as tables, each a DataFrame over the star schema.
 
 Facts are aggregated on their integer keys first wherever the dimensions only add labels, so the
-joins with dates, retailers and products see aggregated rows. The small sides are left to Spark's
-size check (autoBroadcastJoinThreshold, and again at run time under AQE) rather than forced.
+joins with retailers and products see aggregated rows. Only the calendar, which cannot grow with
+sales, is broadcast by force; the other sides are left to Spark's size check
+(autoBroadcastJoinThreshold, and again at run time under AQE), and a product that dominates a
+shuffle join is split by AQE.
 """
 
 from __future__ import annotations
@@ -13,18 +15,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import days_in_quarter, mean, total
-from tallyhouse.operators.aggregate import group_with_distincts
+from tallyhouse.operators.aggregate import group_with_distincts, products_per_group
 from tallyhouse.schemas import Star
 
 TRANSACTIONS = {"unique_transactions": "transaction_id"}
 
 
-def _with_retailer_name(df: DataFrame, star: Star) -> DataFrame:
-    return df.join(star.retailers.select("retailer_id", "retailer_name"), "retailer_id")
+def _dates(star: Star, *columns: str) -> DataFrame:
+    """Date columns to join by key. The calendar has 366 rows a year at most: always broadcast."""
+    return F.broadcast(star.dates.select("date_id", *columns))
 
 
 def _dated(star: Star, *columns: str) -> DataFrame:
-    return star.fact.join(star.dates.select("date_id", *columns), "date_id")
+    return star.fact.join(_dates(star, *columns), "date_id")
+
+
+def _with_retailer_name(df: DataFrame, star: Star) -> DataFrame:
+    return df.join(star.retailers.select("retailer_id", "retailer_name"), "retailer_id")
 
 
 def daily_sales_summary(star: Star) -> DataFrame:
@@ -42,8 +49,8 @@ def daily_sales_summary(star: Star) -> DataFrame:
         ],
         TRANSACTIONS,
     )
-    dates = star.dates.select("date_id", "date", "year", "month", "quarter")
-    return _with_retailer_name(days.join(dates, "date_id"), star).select(
+    dated = days.join(_dates(star, "date", "year", "month", "quarter"), "date_id")
+    return _with_retailer_name(dated, star).select(
         "date", "year", "month", "quarter", "retailer_id", "retailer_name", "transaction_count",
         "unique_transactions", "total_quantity", "total_revenue", "avg_unit_price",
         "min_transaction_amount", "max_transaction_amount",
@@ -54,9 +61,9 @@ def monthly_sales_by_category(star: Star) -> DataFrame:
     """Per month, category and retailer; products without a category are left out."""
     keys = ["year", "month", "quarter", "category", "retailer_id"]
     categories = star.products.where("category is not null").select("product_id", "category")
-    lines = _dated(star, "year", "month", "quarter").join(categories, "product_id")
+    lines = _dated(star, "year", "month", "quarter")
     months = group_with_distincts(
-        lines,
+        lines.join(categories, "product_id"),
         keys,
         [
             F.count("*").alias("transaction_count"),
@@ -64,8 +71,8 @@ def monthly_sales_by_category(star: Star) -> DataFrame:
             total("total_amount").alias("total_revenue"),
             mean("unit_price").alias("avg_unit_price"),
         ],
-        {"unique_products": "product_id", **TRANSACTIONS},
-    )
+        TRANSACTIONS,
+    ).join(products_per_group(lines, categories, keys), keys)
     return _with_retailer_name(months, star).select(
         *keys, "retailer_name", "transaction_count", "unique_transactions", "unique_products",
         "total_quantity", "total_revenue", "avg_unit_price",
@@ -126,11 +133,10 @@ def weekly_sales_trends(star: Star) -> DataFrame:
 def quarterly_sales_summary(star: Star) -> DataFrame:
     """Per quarter and retailer; lines whose product is unknown drop out."""
     keys = ["year", "quarter", "retailer_id"]
-    lines = _dated(star, "date", "year", "quarter").join(
-        star.products.select("product_id"), "product_id"
-    )
+    known = star.products.select("product_id")
+    lines = _dated(star, "date", "year", "quarter")
     quarters = group_with_distincts(
-        lines,
+        lines.join(known, "product_id"),
         keys,
         [
             F.count("*").alias("transaction_count"),
@@ -139,8 +145,8 @@ def quarterly_sales_summary(star: Star) -> DataFrame:
             total("total_amount").alias("total_revenue"),
             mean("total_amount").alias("avg_transaction_amount"),
         ],
-        {"unique_products": "product_id", **TRANSACTIONS},
-    )
+        TRANSACTIONS,
+    ).join(products_per_group(lines, known, keys), keys)
     return _with_retailer_name(quarters, star).select(
         *keys, "retailer_name", "transaction_count", "unique_transactions", "days_with_sales",
         "unique_products", "total_quantity", "total_revenue", "avg_transaction_amount",
@@ -155,7 +161,7 @@ def daily_sales_by_product(star: Star) -> DataFrame:
         total("total_amount").alias("total_revenue"),
         mean("unit_price").alias("avg_unit_price"),
     )
-    dates = star.dates.select("date_id", "date", "year", "month")
+    dates = _dates(star, "date", "year", "month")
     products = star.products.select("product_id", "product_sku", "product_name", "category")
     labelled = days.join(dates, "date_id").join(products, "product_id")
     return _with_retailer_name(labelled, star).select(
@@ -181,7 +187,7 @@ def sales_enriched(star: Star) -> DataFrame:
     Date, product and retailer must exist; customer and store may be unknown.
     """
     return (
-        star.fact.join(star.dates.drop("created_at"), "date_id")
+        star.fact.join(F.broadcast(star.dates.drop("created_at")), "date_id")
         .join(star.products.drop("created_at", "updated_at"), "product_id")
         .join(star.retailers, "retailer_id")
         .join(star.customers.select("customer_id", "customer_external_id"), "customer_id", "left")

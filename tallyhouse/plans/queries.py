@@ -292,6 +292,12 @@ def missing_field_errors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def load_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """The first ten error texts in load order."""
+    parsed = _maps(spark, folder).withColumn("position", F.col("load_seq.line_number"))
+    return facts.first_errors(validate.missing_field_errors(parsed))
+
+
 def unknown_retailer_rejects(spark: SparkSession, folder: str) -> DataFrame:
     valid = _loaded(spark, folder)[1].records.where("status = 'valid'")
     rejects = validate.unknown_retailers(valid, dims.seed_retailers(spark))
@@ -468,6 +474,7 @@ _QUERIES: dict[str, Query] = {
     "fact_dedupe": fact_dedupe,
     "fact_idempotent_reload": fact_idempotent_reload,
     "load_counters": load_counters,
+    "load_errors": load_errors,
     "fact_constraint_rejects": fact_constraint_rejects,
     "process_date_summary": process_date_summary,
     "sales_enriched": _star(
