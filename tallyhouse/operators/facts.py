@@ -80,8 +80,8 @@ def laid_out(facts: DataFrame) -> DataFrame:
     return facts.hint("rebalance", "month_id").sortWithinPartitions("month_id", "date_id")
 
 
-def load_counters(records: DataFrame, star: Star, inserted: DataFrame) -> DataFrame:
-    """Rows inserted and skipped, the latter split by reason. ``records`` carry their status."""
+def load_counters(records: DataFrame, star: Star, inserted: int) -> DataFrame:
+    """Records inserted and skipped, the latter split by reason. ``records`` carry their status."""
     known = star.retailers.select(
         F.col("retailer_code").alias("retailer_id"), F.lit(True).alias("known")
     )
@@ -96,7 +96,7 @@ def load_counters(records: DataFrame, star: Star, inserted: DataFrame) -> DataFr
         .groupBy(reason.alias("outcome"))
         .agg(F.count("*").alias("records"))
     )
-    inserted_count = inserted.agg(F.count("*")).scalar()
+    inserted_count = F.lit(inserted).cast("bigint")
     outcome = F.col("outcome")
     split = F.when(
         outcome == "loadable",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import dims, facts, quality, validate
@@ -71,11 +71,10 @@ def land_feeds(
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a load did: the new facts, the records with their status, and the counters."""
+    """What a load did: the star schema after it, the records with their status, the counters."""
 
     star: Star
     records: DataFrame
-    inserted: DataFrame
     counters: DataFrame
 
 
@@ -105,17 +104,15 @@ def load_records(store: TableStore, records: DataFrame, load_ts: Column) -> Load
         store.write("dim_retailers", dims.seed_retailers(store.spark))
     star = read_star(store)
     before = store.read_if_exists("fact_sales")
-    inserted = store.write(
-        "fact_batch", facts.laid_out(facts.new_facts(valid, star, before, load_ts))
-    )
-    store.append("fact_sales", inserted, ["month_id"])
-    for table in ("processed", "fact_batch", "dim_products"):
+    new = facts.laid_out(facts.new_facts(valid, star, before, load_ts))
+    seen = Observation()  # counts the rows while they are written
+    store.append("fact_sales", new.observe(seen, F.count("*").alias("inserted")), ["month_id"])
+    for table in ("processed", "dim_products"):
         store.drop_old(table)
     return LoadResult(
         star=read_star(store),
         records=records,
-        inserted=inserted,
-        counters=facts.load_counters(records, star, inserted),
+        counters=facts.load_counters(records, star, seen.get.get("inserted", 0)),
     )
 
 

@@ -106,19 +106,16 @@ def _landed(spark: SparkSession, folder: str) -> DataFrame:
     return landing.parse_lines(landing.scan_files(spark, _landing_root(spark, folder)))
 
 
-def _loaded(spark: SparkSession, folder: str) -> tuple[TableStore, daily.LoadResult]:
+_LOADS: dict[str, daily.LoadResult] = {}
+
+
+def _loaded(spark: SparkSession, folder: str) -> daily.LoadResult:
     """The damaged records loaded through the ordinary load job, once per warehouse."""
-    wh = warehouse(spark, folder)
-    store = TableStore(spark, f"{wh.store.root}/loaded")
-    if store.exists("fact_sales"):
-        star = daily.read_star(store)
-        records, inserted = store.read("processed"), store.read("fact_batch")
-        return store, daily.LoadResult(
-            star, records, inserted, facts.load_counters(records, star, inserted)
-        )
-    return store, daily.load_records(
-        store, validate.typed_records(_maps(spark, folder), "load_seq"), _time(LOADED_AT)
-    )
+    root = f"{warehouse(spark, folder).store.root}/loaded"
+    if root not in _LOADS:
+        records = validate.typed_records(_maps(spark, folder), "load_seq")
+        _LOADS[root] = daily.load_records(TableStore(spark, root), records, _time(LOADED_AT))
+    return _LOADS[root]
 
 
 # Sources -----------------------------------------------------------------------------------
@@ -299,13 +296,13 @@ def load_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unknown_retailer_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    valid = _loaded(spark, folder)[1].records.where("status = 'valid'")
+    valid = _loaded(spark, folder).records.where("status = 'valid'")
     rejects = validate.unknown_retailers(valid, dims.seed_retailers(spark))
     return rejects.select("retailer_id", "transaction_id", "product_id", "quantity")
 
 
 def bad_date_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    rejects = _loaded(spark, folder)[1].records.where("status = 'bad_date'")
+    rejects = _loaded(spark, folder).records.where("status = 'bad_date'")
     return rejects.select("retailer_id", "transaction_id", "product_id", "quantity")
 
 
@@ -313,11 +310,11 @@ def bad_date_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, folder: str) -> DataFrame:
-    return _loaded(spark, folder)[1].star.dates.drop("created_at")
+    return _loaded(spark, folder).star.dates.drop("created_at")
 
 
 def dim_product(spark: SparkSession, folder: str) -> DataFrame:
-    products = _loaded(spark, folder)[1].star.products
+    products = _loaded(spark, folder).star.products
     return products.select("product_sku", "product_name", "category")
 
 
@@ -338,23 +335,23 @@ def dim_product_scd1(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dim_customer(spark: SparkSession, folder: str) -> DataFrame:
-    return _loaded(spark, folder)[1].star.customers.select("customer_external_id")
+    return _loaded(spark, folder).star.customers.select("customer_external_id")
 
 
 def dim_store(spark: SparkSession, folder: str) -> DataFrame:
-    return _loaded(spark, folder)[1].star.stores.select("store_external_id")
+    return _loaded(spark, folder).star.stores.select("store_external_id")
 
 
 def dim_retailer(spark: SparkSession, folder: str) -> DataFrame:
     """The seed put on top of the retailers the loaded facts refer to: nothing is added twice."""
-    star = _loaded(spark, folder)[1].star
+    star = _loaded(spark, folder).star
     used = star.retailers.join(star.fact.select("retailer_id"), "retailer_id", "left_semi")
     return dims.seed_retailers(spark, used)
 
 
 def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     """The loaded facts with their natural keys."""
-    return rollups.sales_enriched(_loaded(spark, folder)[1].star).select(
+    return rollups.sales_enriched(_loaded(spark, folder).star).select(
         "date", "product_sku", "customer_external_id", "store_external_id", "retailer_code",
         "transaction_id", "quantity", "unit_price", "total_amount",
     )
@@ -366,7 +363,7 @@ def fact_dedupe(spark: SparkSession, folder: str) -> DataFrame:
 
 def fact_idempotent_reload(spark: SparkSession, folder: str) -> DataFrame:
     """Loading the same records again: rows before, rows that would be added."""
-    _, loaded = _loaded(spark, folder)
+    loaded = _loaded(spark, folder)
     again = facts.new_facts(
         loaded.records.where("status = 'valid'"), loaded.star, loaded.star.fact, _time(LOADED_AT)
     )
@@ -376,11 +373,11 @@ def fact_idempotent_reload(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_counters(spark: SparkSession, folder: str) -> DataFrame:
-    return _loaded(spark, folder)[1].counters
+    return _loaded(spark, folder).counters
 
 
 def fact_constraint_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    valid = _loaded(spark, folder)[1].records.where("status = 'valid'")
+    valid = _loaded(spark, folder).records.where("status = 'valid'")
     return validate.constraint_violations(valid).select(
         "retailer_id", "transaction_id", "product_id", "product_name", "quantity"
     )
@@ -389,7 +386,7 @@ def fact_constraint_rejects(spark: SparkSession, folder: str) -> DataFrame:
 def process_date_summary(spark: SparkSession, folder: str) -> DataFrame:
     root = _landing_root(spark, folder)
     found = landing.parse_lines(landing.scan_files(spark, root, DELIVERY))
-    star = _loaded(spark, folder)[1].star
+    star = _loaded(spark, folder).star
     loaded = (
         fn.sales_between(star, fn.month_start(DELIVERY), DELIVERY)
         .groupBy("retailer_id")

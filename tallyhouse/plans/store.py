@@ -43,14 +43,19 @@ class TableStore:
                 done.append(f"{self.root}/{table}/{name}")
         return done
 
+    def path(self, table: str) -> str | None:
+        """The newest finished version, if there is one."""
+        versions = self.versions(table)
+        return versions[-1] if versions else None
+
     def exists(self, table: str) -> bool:
-        return bool(self.versions(table))
+        return self.path(table) is not None
 
     def read(self, table: str) -> DataFrame:
-        versions = self.versions(table)
-        if not versions:
+        path = self.path(table)
+        if path is None:
             raise LookupError(f"no such table: {table}")
-        return self.spark.read.parquet(versions[-1])
+        return self.spark.read.parquet(path)
 
     def read_if_exists(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
@@ -63,10 +68,10 @@ class TableStore:
 
     def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Add rows to the current version, or start the table."""
-        versions = self.versions(table)
-        if not versions:
+        path = self.path(table)
+        if path is None:
             return self.write(table, df, partition_by)
-        df.write.mode("append").partitionBy(*partition_by).parquet(versions[-1])
+        df.write.mode("append").partitionBy(*partition_by).parquet(path)
         return self.read(table)
 
     def drop_old(self, table: str, keep: int = 2) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator, Mapping
 from dataclasses import replace
@@ -47,17 +48,18 @@ class Views(Mapping[str, DataFrame]):
     def __init__(self, star: Star, store: TableStore):
         self._star = star
         self._store = store
-        self._frames: dict[str, DataFrame] = {}
+        self._read: dict[str, tuple[str, DataFrame]] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in ROLLUPS:
             raise KeyError(name)
-        if name not in self._frames:
-            found = self._store.read_if_exists(name)
-            if found is None:
-                found = write_rollup(self._star, self._store, name)
-            self._frames[name] = found
-        return self._frames[name]
+        path = self._store.path(name)
+        if path is None:
+            write_rollup(self._star, self._store, name)
+            path = self._store.path(name)
+        if name not in self._read or self._read[name][0] != path:
+            self._read[name] = (path, self._store.read(name))
+        return self._read[name][1]
 
     def __iter__(self) -> Iterator[str]:
         return iter(ROLLUPS)
@@ -81,12 +83,14 @@ class Warehouse:
         self.views = Views(self.star, self.store)
 
 
-_OPEN: dict[tuple[str, str, str], Warehouse] = {}
+_OPEN: dict[tuple, Warehouse] = {}
+_LOCK = threading.Lock()
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse of the tables in ``folder``: built on first use and when the tables change."""
     key = (spark.sparkContext.applicationId, folder, _fingerprint(spark, folder))
-    if key not in _OPEN:
-        _OPEN[key] = Warehouse(spark, folder)
-    return _OPEN[key]
+    with _LOCK:
+        if key not in _OPEN:
+            _OPEN[key] = Warehouse(spark, folder)
+        return _OPEN[key]
