@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import date_key, not_blank
-from tallyhouse.schemas import RETAILER_SCHEMA, RETAILERS
+from tallyhouse.schemas import RETAILERS
 
 
 def date_attributes(dates: DataFrame) -> DataFrame:
@@ -117,7 +117,12 @@ def new_stores(records: DataFrame, existing: DataFrame | None, load_ts: Column)
 
 def seed_retailers(spark: SparkSession, existing: DataFrame | None = None) -> DataFrame:
     """The seeded retailers, added to those already there unless their code exists."""
-    seed = spark.createDataFrame(list(RETAILERS), RETAILER_SCHEMA)
+    names = ("retailer_id", "retailer_code", "retailer_name")
+    rows = [
+        F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row)])
+        for row in RETAILERS
+    ]
+    seed = spark.range(1).select(F.inline(F.array(*rows)))
     if existing is None:
         return seed
     missing = seed.join(existing.select("retailer_code"), "retailer_code", "left_anti")

@@ -103,7 +103,6 @@ RETAILERS = (
     (2, "retailer_2", "Retailer 2"),
     (3, "retailer_3", "Retailer 3"),
 )
-RETAILER_SCHEMA = "retailer_id int, retailer_code string, retailer_name string"
 
 _MONEY = T.DecimalType(10, 2)
 RECORD_SCHEMA = (
