@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracle_queries import ORACLE
+from tallyhouse.plans.queries import QUERIES
 from tests.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,12 +16,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
-    text, _, _ = difference(spark, duck, FOLDER, queries()[name], oracle_sql()[name])
+    text, _, _ = difference(spark, duck, FOLDER, QUERIES[name], ORACLE[name])
     assert text == ""
 
 
