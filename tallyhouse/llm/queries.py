@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from tallyhouse.llm.packing import op6_packing
+from tallyhouse.llm.pieces import op2_sentencepiece
 from tallyhouse.llm.tokens import op4_token_counts
 
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_token_counts": op4_token_counts,
+    "op6_packing": op6_packing,
 }
 
 ORACLE: dict[str, str] = {}
