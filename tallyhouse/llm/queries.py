@@ -5,12 +5,14 @@ from __future__ import annotations
 from tallyhouse.llm.packing import op6_packing
 from tallyhouse.llm.pieces import op2_sentencepiece
 from tallyhouse.llm.secrets import op1_secret_scan
+from tallyhouse.llm.shards import op5_shards
 from tallyhouse.llm.tokens import op4_token_counts
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
     "op4_token_counts": op4_token_counts,
+    "op5_shards": op5_shards,
     "op6_packing": op6_packing,
 }
 
