@@ -7,6 +7,7 @@ from tallyhouse.llm.pieces import op2_sentencepiece
 from tallyhouse.llm.secrets import op1_secret_scan
 from tallyhouse.llm.shards import op5_shards
 from tallyhouse.llm.tokens import op4_token_counts
+from tallyhouse.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_shards": op5_shards,
     "op6_packing": op6_packing,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
