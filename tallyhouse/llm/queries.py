@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyhouse.llm.fingerprints import op10_fingerprints
 from tallyhouse.llm.packing import op6_packing
 from tallyhouse.llm.pieces import op2_sentencepiece
 from tallyhouse.llm.secrets import op1_secret_scan
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_shards": op5_shards,
     "op6_packing": op6_packing,
     "op9_toxicity": op9_toxicity,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE: dict[str, str] = {}
