@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import heapq
 import re
+import string
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -17,8 +19,24 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.common import table
 
 _SPACE = "▁"
-#: Distinct words, and token pairs, that a worker remembers; a full memory is emptied.
-REMEMBERED = 400_000
+#: Distinct words that a worker remembers at least; from twice as many, those not seen since the
+#: last half go. Token pairs are kept up to this number too.
+REMEMBERED = 300_000
+
+
+class Apart(dict):
+    """Do the merges leave two tokens, side by side, as they are? By left * pieces + right."""
+
+    def __init__(self, model: PieceBpe):
+        super().__init__()
+        self.model, self.pieces = model, len(model.scores)
+
+    def __missing__(self, pair: int) -> bool:
+        a, b = (self.model.names[x] for x in divmod(pair, self.pieces))
+        if len(self) >= REMEMBERED:
+            self.clear()
+        got = self[pair] = self.model.merged(a + b) == [a, b]
+        return got
 
 
 class PieceBpe:
@@ -55,14 +73,24 @@ class PieceBpe:
             raise ValueError("a piece of the model crosses words")
         self.starts = {i for p, i in self.ids.items() if p[0] == _SPACE}
         self.names = {i: p for p, i in self.ids.items()}
-        self.automaton = ahocorasick.Automaton()
         self.words = re.compile(f"{_SPACE}+[^{_SPACE}\n]*|\n|[^{_SPACE}\n]+")
+        after_letter = {b for p in self.ids for a, b in zip(p, p[1:], strict=False) if a.isalpha()}
+        marks = "".join(x for x in string.punctuation if x not in after_letter)
+        # a letter and then a mark that no piece has behind a letter
+        self.joints = re.compile(rf"(?<=[^\W\d_])(?=[{re.escape(marks)}])" if marks else "(?!)")
         self.known: dict[str, bytes] = {}
-        self.apart: dict[int, bool] = {}
+        self.before: dict[str, bytes] = {}
+        self.apart = Apart(self)
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Finds the pieces in a word that the merges can make of their own characters."""
+        found = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            if self.merged(piece) == [piece]:  # the merges can make it of its own characters
-                self.automaton.add_word(piece, (i, len(piece)))
-        self.automaton.make_automaton()
+            if self.merged(piece) == [piece]:
+                found.add_word(piece, (i, len(piece)))
+        found.make_automaton()
+        return found
 
     def merged(self, word: str) -> list[str]:
         """The pieces left when the best adjacent pair is merged again and again, leftmost first."""
@@ -88,33 +116,27 @@ class PieceBpe:
             offer(i, after[i])
         return [x for x in parts if x is not None]
 
-    def compatible(self, left: int, right: int) -> bool:
-        """Do the merges leave these two tokens, side by side, as they are?"""
-        a, b = self.names[left], self.names[right]
-        if len(self.apart) >= REMEMBERED:
-            self.apart.clear()
-        got = self.apart[left * len(self.scores) + right] = self.merged(a + b) == [a, b]
-        return got
-
     def word(self, word: str) -> list[int]:
         if word[:2] == _SPACE * 2:  # runs of spaces are scored out of the order of their lengths
             return [y for x in self.merged(word) for y in self.spelt(x)]
-        last = [-1] * (len(word) + 1)  # the last token of each prefix; -1: a character without a piece
-        begins = list(range(-1, len(word)))  # where it begins
-        apart, size_of_model = self.apart, len(self.scores)
+        # the last token of the prefix that ends at each place, times the number of pieces; -1: a
+        # character without a piece. The prefix before the first place is the list's last entry.
+        last = [-1] * (len(word) + 1)
+        sizes = [1] * len(word)
+        apart = self.apart
         for end, (token, size) in self.automaton.iter(word):
-            end += 1
             if last[end] < 0:
                 left = last[end - size]
-                if left >= 0 and (fits := apart.get(left * size_of_model + token)) is None:
-                    fits = self.compatible(left, token)
-                if left < 0 or fits:
-                    last[end], begins[end] = token, end - size
+                if left < 0 or apart[left + token]:
+                    last[end], sizes[end] = token * apart.pieces, size
         out: list[int] = []
         at = len(word)
         while at:
-            token, start = last[at], begins[at]
-            out += [token] if token >= 0 else self.spelt(word[start:at])[::-1]
+            token, start = last[at - 1], at - sizes[at - 1]
+            if token >= 0:
+                out.append(token // apart.pieces)
+            else:
+                out += self.spelt(word[start:at])[::-1]
             at = start
         return out[::-1]
 
@@ -128,14 +150,26 @@ class PieceBpe:
         if not text:
             return b""
         words = self.words.findall(_SPACE + text.replace(" ", _SPACE))
-        known = self.known
-        if new := set(words).difference(known):
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = set(words)
-            for x in new:
-                known[x] = np.array(self.word(x), "<i4").tobytes()
-        return b"".join([known[x] for x in words])
+        found = [*map(self.known.get, words)]
+        if None in found:
+            for i, got in enumerate(found):
+                if got is None:
+                    found[i] = self.learnt(words[i])
+        return b"".join(found)
+
+    def learnt(self, word: str) -> bytes:
+        """The ids of a word that isn't remembered. What is before a joint is a word by itself."""
+        got = self.known.get(word) or self.before.get(word)
+        if got is None:
+            joint = self.joints.search(word)
+            if joint:
+                got = self.learnt(word[: joint.start()]) + self.learnt(word[joint.start() :])
+            else:
+                got = array("i", self.word(word)).tobytes()
+        if len(self.known) >= REMEMBERED:
+            self.before, self.known = self.known, {}
+        self.known[word] = got
+        return got
 
     def decode(self, ids: list[int]) -> str:
         if not ids:
@@ -176,7 +210,10 @@ def decode_pieces(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             decode = model(path).decode
-            texts = [decode(x.as_py()) for x in batch.column(1)]
+            lists = batch.column(1)
+            ids, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy().tolist()
+            known = lists.is_valid().to_pylist()
+            texts = [decode(ids[a:b].tolist() if k else []) for a, b, k in zip(ends, ends[1:], known, strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=["id", "ids", "text"]
             )
