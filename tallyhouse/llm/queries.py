@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallyhouse.llm.fingerprints import op10_fingerprints
+from tallyhouse.llm.jaccard import op7_ngram_join
 from tallyhouse.llm.lines import OP8_SQL, op8_line_dedup
 from tallyhouse.llm.packing import op6_packing
 from tallyhouse.llm.pieces import op2_sentencepiece
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_shards": op5_shards,
     "op6_packing": op6_packing,
+    "op7_ngram_join": op7_ngram_join,
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_fingerprints": op10_fingerprints,
