@@ -183,11 +183,11 @@ def choose_boundary(sizes: dict[int, int], rule: Rule) -> int:
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Scans sorted lists (sig, k): a set alone in its list goes, others get the list's first set.
+    """Scans sorted lists (sig, k) and gives those of two or more sets, without repetitions.
 
     Nothing but the last entry is held from batch to batch, however long a list is.
     """
-    held: tuple[int, int, int, bool] | None = None  # the last entry: list, set, first set, already given
+    held: tuple[int, int, bool] | None = None  # the last entry: list, set, already given
     for batch in batches:
         sig, k = (batch.column(i).to_numpy() for i in (0, 1))
         if held:
@@ -197,29 +197,29 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(sig):
             continue
         new = np.append(True, sig[1:] != sig[:-1])
-        leader = k[np.maximum.accumulate(np.where(new, np.arange(len(sig)), 0))]
-        if held:
-            leader[sig == held[0]] = held[2]
         give = ~new | np.append(~new[1:], False)  # it follows an entry of its list, or one follows it
-        last = (int(sig[-1]), int(k[-1]), int(leader[-1]), bool(give[-1] or (held and len(sig) == 1 and held[3])))
-        if held and held[3]:
+        given = bool(give[-1] or (held and len(sig) == 1 and held[2]))
+        if held and held[2]:
             give[0] = False
-        held = last
-        rows = [pa.array(x[give]) for x in (sig, k, leader)]
-        yield pa.RecordBatch.from_arrays(rows, names=["sig", "k", "leader"])
+        held = (int(sig[-1]), int(k[-1]), given)
+        yield pa.RecordBatch.from_arrays([pa.array(x[give]) for x in (sig, k)], names=["sig", "k"])
 
 
-def _linked(texts: DataFrame, named: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) whose sets are alike, as edges between their long names.
+def _stars(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each set of a list and its most central one: the one that most others meet."""
+    length = shared.groupBy("sig").agg(F.count("*").alias("length"))
+    central = shared.join(length, "sig").groupBy("k").agg(F.sum("length").alias("met"))
+    lead = shared.join(central, "k").groupBy("sig").agg(F.max(F.struct("met", "k"))["k"].alias("a"))
+    stars = shared.join(lead, "sig").where("k <> a")
+    return stars.select(F.least("a", "k").alias("a"), F.greatest("a", "k").alias("b")).distinct()
 
-    Sets are made again for one text of each set that is in a pair, and only those move.
-    """
-    words = rule.words
-    wanted = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
+
+def _sets(texts: DataFrame, named: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(k, key, shingles) of the sets ``wanted`` (k), made again from one text of each: only these move."""
     chosen = named.join(wanted, "k", "left_semi").groupBy("k", "key").agg(F.min("id").alias("rep"))
     own = texts.join(chosen.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("rep"))).select("key", "text")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()
         for rows, found in _read(batches, 1, words):
             keep = []
@@ -232,8 +232,12 @@ def _linked(texts: DataFrame, named: DataFrame, pairs: DataFrame, rule: Rule) ->
                 names=["k", "key", "shingles"],
             )
 
-    made = written(own.mapInArrow(sets, "k long, key string, shingles array<long>"), "shingles")
-    x, y = (made.select(F.col("k").alias(c), F.col("key").alias(f"key_{c}"), F.col("shingles").alias(f"set_{c}")) for c in "ab")
+    return own.mapInArrow(run, "k long, key string, shingles array<long>")
+
+
+def _linked(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b) whose sets are alike, as edges between their long names."""
+    x, y = (sets.select(F.col("k").alias(c), F.col("key").alias(f"key_{c}"), F.col("shingles").alias(f"set_{c}")) for c in "ab")
     both = F.size(F.array_intersect("set_a", "set_b")) * (rule.num + rule.den)
     alike = both >= (F.size("set_a") + F.size("set_b")) * rule.num
     return (
@@ -242,6 +246,32 @@ def _linked(texts: DataFrame, named: DataFrame, pairs: DataFrame, rule: Rule) ->
     )
 
 
+def _across(sets: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (k, root) of different roots that may be linked.
+
+    Of each set the rarest shingles among these sets, so many that linked sets have one of them in
+    common, go to the lists of shingles. A set that differs from all others by more than a link
+    allows has none but its own there, so a crowd of sets that are not quite alike gives no pairs.
+    """
+    grams = sets.join(nodes, "k").select("k", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    often = grams.groupBy("s").agg(F.count("*").alias("often"))
+    least = F.ceil(F.col("n") * rule.num / rule.den).cast("int")
+    rarest = (
+        grams.join(often, "s").groupBy("k", "root", "n")
+        .agg(F.array_sort(F.collect_list(F.struct("often", "s"))).alias("all"))
+        .select("k", "root", "n", F.posexplode(F.slice("all", F.lit(1), F.col("n") - least + 1)).alias("at", "gram"))
+        .where("gram.often > 1")
+        .select("k", "root", "n", "at", "gram.s")
+    )
+    rarest = written(rarest, "rarest")
+    x, y = rarest.alias("x"), rarest.alias("y")
+    need = (F.col("x.n") + F.col("y.n")) * rule.num
+    most = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    may = most * (rule.num + rule.den) >= need  # of this shingle and those behind it
+    pairs = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.root") < F.col("y.root")) & may)
+    return pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
+
+
 def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``n_shingles``, ``component_id``.
 
@@ -254,9 +284,9 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     Two sets below the boundary, or one below and one above, share a subset of the size that their
     intersection must have. Two larger ones share a block of shingles: their inverted lists hold
     digests of blocks, not single shingles, whose lists would be as long as a shingle is frequent.
-    Each set in a list is compared with the list's first set; then, in lists that the links found
-    so far leave in several components, sets of different ones are compared. No link is lost by
-    that, and none is compared that joins nothing.
+    Each set in a list is compared with the list's most central set. Sets in lists that the links
+    found so far leave in several components are then compared across these, where they share one
+    of their rarest shingles. Any link between components is found by that.
     """
     spark = docs.sparkSession
     words = rule.words
@@ -299,21 +329,16 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
                 )
 
     lists = texts.mapInArrow(entries, "sig long, k long").repartition("sig").sortWithinPartitions("sig", "k")
-    shared = written(lists.mapInArrow(_lists, "sig long, k long, leader long"), "lists")
-    first = shared.where("k <> leader").select(F.col("leader").alias("a"), F.col("k").alias("b"))
-    links = written(_linked(texts, named, written(first.distinct(), "pairs"), rule), "links")
+    shared = written(lists.mapInArrow(_lists, "sig long, k long"), "lists")
+    sets = written(_sets(texts, named, shared.select("k").distinct(), words), "shingles")
+    links = written(_linked(sets, _stars(shared), rule), "links")
     root = components(links)
     # lists whose sets are still in several components: compare across these
-    member = named.join(shared.select("k").distinct(), "k", "left_semi").select("k", "key").distinct()
-    placed = member.join(root, F.col("key") == F.col("node"), "left").select("k", F.coalesce("root", "key").alias("root"))
-    entry = written(shared.select("sig", "k").join(placed, "k"), "entries")
+    placed = sets.join(root, F.col("key") == F.col("node"), "left").select("k", F.coalesce("root", "key").alias("root"))
+    entry = written(shared.join(placed, "k"), "entries")
     still = entry.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    rest = written(entry.join(still.select("sig"), "sig", "left_semi"), "open")
-    x, y = rest.alias("x"), rest.alias("y")
-    across = x.join(y, (F.col("x.sig") == F.col("y.sig")) & (F.col("x.root") < F.col("y.root")))
-    across = across.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
-    across = written(across.join(first, ["a", "b"], "left_anti"), "across")
-    more = written(_linked(texts, named, across, rule), "more_links")
+    nodes = written(entry.join(still, "sig", "left_semi").select("k", "root").distinct(), "open")
+    more = written(_linked(sets, written(_across(sets, nodes, rule), "across"), rule), "more_links")
     if not more.isEmpty():
         root = components(links.union(more))
     nodes = named.join(root, F.col("key") == F.col("node"), "left").withColumn(
