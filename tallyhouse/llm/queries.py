@@ -5,6 +5,7 @@ from __future__ import annotations
 from tallyhouse.llm.fingerprints import op10_fingerprints
 from tallyhouse.llm.jaccard import op7_ngram_join
 from tallyhouse.llm.lines import OP8_SQL, op8_line_dedup
+from tallyhouse.llm.neighbours import op3_nearest
 from tallyhouse.llm.packing import op6_packing
 from tallyhouse.llm.pieces import op2_sentencepiece
 from tallyhouse.llm.secrets import op1_secret_scan
@@ -15,6 +16,7 @@ from tallyhouse.llm.toxicity import op9_toxicity
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_nearest": op3_nearest,
     "op4_token_counts": op4_token_counts,
     "op5_shards": op5_shards,
     "op6_packing": op6_packing,
