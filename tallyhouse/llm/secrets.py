@@ -149,6 +149,34 @@ class BlobLedger:
             .select(F.col("id").alias(id_col), "blob", F.coalesce("found", empty).alias("found"))
         )
 
+    def redact(
+        self, docs: DataFrame, rules: Sequence[Rule], id_col: str = "doc_id", text_col: str = "text"
+    ) -> DataFrame:
+        """``docs`` with each span that ``scan`` finds replaced by its kind in brackets.
+
+        Spans that overlap are replaced together, by the first one's kind. Rows without findings,
+        null texts among them, stay as they are.
+        """
+        scanned = self.scan(docs, rules, id_col, text_col)
+        found = scanned.where(F.size("found") > 0).groupBy("blob").agg(F.first("found").alias("found"))
+        found = written(found.select(F.col("blob").alias("found_in"), F.col("found").alias("spans_found")), "found")
+        text = F.col(text_col)
+        start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
+
+        def step(so_far: Column, span: Column) -> Column:
+            between = F.substring(text, (so_far["at"] + 1).cast("int"), (span["start"] - so_far["at"]).cast("int"))
+            put = F.concat(so_far["out"], between, F.lit("["), span["kind"], F.lit("]"))
+            further = F.struct(put.alias("out"), span["end"].alias("at"))
+            joined = F.struct(so_far["out"].alias("out"), F.greatest(so_far["at"], span["end"]).alias("at"))
+            return F.when(span["start"] >= so_far["at"], further).otherwise(joined)
+
+        def finish(end: Column) -> Column:
+            return F.concat(end["out"], F.substring(text, (end["at"] + 1).cast("int"), F.length(text)))
+
+        clean = F.when(F.col("spans_found").isNull(), text).otherwise(F.aggregate("spans_found", start, step, finish))
+        marked = docs.join(found, F.sha2(F.coalesce(text, F.lit("")), 256) == F.col("found_in"), "left")
+        return marked.select(*(clean.alias(c) if c == text_col else docs[c] for c in docs.columns))
+
 
 def _rule(place: int, rule: Rule) -> Column:
     return F.struct(

@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -322,6 +323,21 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     return slim.mapInArrow(run, f"id {id_type}, {_SCORED}").withColumnRenamed("id", id_col)
 
 
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text the model doesn't call toxic.
+
+    Only texts go to Python. Null and empty texts are scored as empty ones.
+    """
+
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        weights = Weights(model.words, model.stems)
+        for batch in texts:
+            yield pd.Series([model.score(_total(passages(x or "", weights, model))) for x in batch], dtype="float64")
+
+    return docs.where(score(F.col(text_col)) < 0.5)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = score_texts(docs, fit(docs, table(spark, sf_dir, "labels")))
