@@ -74,7 +74,8 @@ class PieceBpe:
         self.starts = {i for p, i in self.ids.items() if p[0] == _SPACE}
         self.names = {i: p for p, i in self.ids.items()}
         self.words = re.compile(f"{_SPACE}+[^{_SPACE}\n]*|\n|[^{_SPACE}\n]+")
-        after_letter = {b for p in self.ids for a, b in zip(p, p[1:], strict=False) if a.isalpha()}
+        letter = r"[^\W\d_]"
+        after_letter = {x[-1] for p in self.ids for x in re.findall(rf"(?=({letter}.))", p)}
         marks = "".join(x for x in string.punctuation if x not in after_letter)
         # a letter and then a mark that no piece has behind a letter
         self.joints = re.compile(rf"(?<=[^\W\d_])(?=[{re.escape(marks)}])" if marks else "(?!)")
