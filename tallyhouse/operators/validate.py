@@ -39,8 +39,9 @@ def missing_field_errors(parsed: DataFrame) -> DataFrame:
 def typed_records(parsed: DataFrame, *extra: str) -> DataFrame:
     """Landed record maps as typed columns; what does not convert becomes null.
 
-    A missing category is the empty text, a null category stays null. ``status`` says what keeps a
-    record out so far: a missing required key, or a date that is not ISO.
+    A missing category is the empty text, a null category stays null; a quantity may be written as
+    a whole decimal number. ``status`` says what keeps a record out so far: it is not a JSON object
+    (a null record), a required key is missing, or the date is not ISO.
     """
     record = F.col("record")
     category = F.when(F.map_contains_key(record, "category"), record["category"]).otherwise("")
@@ -52,20 +53,28 @@ def typed_records(parsed: DataFrame, *extra: str) -> DataFrame:
         record["product_id"].alias("product_id"),
         record["product_name"].alias("product_name"),
         category.alias("category"),
-        record["quantity"].try_cast("int").alias("quantity"),
+        whole_number(record["quantity"]).alias("quantity"),
         money("unit_price").alias("unit_price"),
         money("total_amount").alias("total_amount"),
         iso_timestamp(record["transaction_date"]).alias("transaction_date"),
         record["customer_id"].alias("customer_id"),
         record["store_id"].alias("store_id"),
+        record.isNull().alias("unreadable"),
         has_required_fields(record).alias("complete"),
     )
     status = (
-        F.when(~F.col("complete"), "missing_fields")
+        F.when(F.col("unreadable"), "unreadable")
+        .when(~F.col("complete"), "missing_fields")
         .when(F.col("transaction_date").isNull(), "bad_date")
         .otherwise("valid")
     )
-    return typed.withColumn("status", status).drop("complete")
+    return typed.withColumn("status", status).drop("unreadable", "complete")
+
+
+def whole_number(text: Column) -> Column:
+    """``2`` and ``2.0`` are 2, any other text is null."""
+    number = text.try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number.try_cast("int"))
 
 
 def unknown_retailers(records: DataFrame, retailers: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Collection, Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -71,22 +71,37 @@ def land_feeds(
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a load did: the star schema after it, the records with their status, the counters."""
+    """What a load did: the star schema after it, the records with their status, the counters.
+
+    ``rejected_files`` (file, retailer, file_date, reason) are those that gave no record at all.
+    """
 
     star: Star
     records: DataFrame
     counters: DataFrame
+    rejected_files: DataFrame | None = None
+
+
+@dataclass(frozen=True)
+class DailyResult:
+    """A daily run: feeds that failed and why, what was loaded, the status of the refresh."""
+
+    failed_feeds: dict[str, str]
+    load: LoadResult
+    refreshed: DataFrame
 
 
 def load_records(store: TableStore, records: DataFrame, load_ts: Column) -> LoadResult:
     """Load typed records (with ``status`` and ``load_seq``) into the star schema.
 
-    Records are kept as a table first, the processed zone, so that the dimensions and the facts
-    read the same rows and only the columns they need. Dimensions are written before facts refer
-    to their keys.
+    Records are kept as a table first, so that the dimensions and the facts read the same rows and
+    only the columns they need. Dimensions are written before facts refer to their keys. Accepted
+    records of landing files also go to the processed zone, which only grows.
     """
-    records = store.write("processed", records)
+    records = store.write("staged", records)
     valid = records.where("status = 'valid'")
+    if "file_date" in records.columns:
+        _keep_processed(store, valid)
     # A record without SKU or product name fails at its product, after its date was created.
     named = valid.where("product_id is not null and product_name is not null")
 
@@ -107,7 +122,7 @@ def load_records(store: TableStore, records: DataFrame, load_ts: Column) -> Load
     new = facts.laid_out(facts.new_facts(valid, star, before, load_ts))
     seen = Observation()  # counts the rows while they are written
     store.append("fact_sales", new.observe(seen, F.count("*").alias("inserted")), ["month_id"])
-    for table in ("processed", "dim_products"):
+    for table in ("staged", "dim_products"):
         store.drop_old(table)
     return LoadResult(
         star=read_star(store),
@@ -116,15 +131,33 @@ def load_records(store: TableStore, records: DataFrame, load_ts: Column) -> Load
     )
 
 
+def _keep_processed(store: TableStore, accepted: DataFrame) -> None:
+    """Add accepted records to the processed zone, by retailer and day, each place of a file once."""
+    folders = ["retailer", "file_date"]
+    before = store.read_if_exists("processed")
+    if before is not None:
+        places = before.select(*folders, "load_seq")
+        accepted = accepted.join(places, [*folders, "load_seq"], "left_anti")
+    store.append("processed", accepted.hint("rebalance", *folders), folders)
+
+
 def load_day(
-    spark: SparkSession, store: TableStore, root: str, day: Day | None, load_ts: Column
+    spark: SparkSession,
+    store: TableStore,
+    root: str,
+    day: Day | None,
+    load_ts: Column,
+    without: Collection[str] = (),
 ) -> LoadResult:
-    """Load the landing files of a day, or of all days."""
-    parsed = landing.parse_lines(landing.scan_files(spark, root, day))
-    typed = validate.typed_records(
-        parsed.where("record is not null"), "retailer", "file_date", "file", "load_seq"
-    )
-    return load_records(store, typed, load_ts)
+    """Load the landing files of a day, or of all days, of line and of array files alike.
+
+    The retailers in ``without`` are left out: what lies in their folders is of an earlier run. A
+    day without any record loads nothing.
+    """
+    files = landing.scan_files(spark, root, day).where(~F.col("retailer").isin(list(without)))
+    parsed, rejected = landing.parse_files(spark, files)
+    typed = validate.typed_records(parsed, "retailer", "file_date", "file", "load_seq")
+    return replace(load_records(store, typed, load_ts), rejected_files=rejected)
 
 
 def run_daily(
@@ -135,13 +168,14 @@ def run_daily(
     day: Day,
     as_of: Day,
     load_ts: Column | None = None,
-) -> DataFrame:
-    """One day from source tables to refreshed rollups; returns the refresh status.
+) -> DailyResult:
+    """One day from source tables to refreshed rollups.
 
-    Raises :class:`quality.QualityCheckFailed` before the refresh if a check fails.
+    A feed that fails is named in the result, and nothing of its folder is loaded. Raises
+    :class:`quality.QualityCheckFailed` before the refresh if a check fails.
     """
     stamp = F.current_timestamp().cast("timestamp_ntz") if load_ts is None else load_ts
-    land_feeds(tables, root, day)
-    loaded = load_day(spark, store, root, day, stamp)
+    failed = land_feeds(tables, root, day)
+    loaded = load_day(spark, store, root, day, stamp, without=failed)
     quality.require_passed(quality.run_all_checks(loaded.star, day, day, as_of))
-    return refresh_all(loaded.star, store)
+    return DailyResult(failed, loaded, refresh_all(loaded.star, store))

@@ -2,16 +2,19 @@
 
 Spark cannot overwrite a path it is reading, so every write goes to a new folder
 ``root/table/version`` and the newest folder whose job finished (it has ``_SUCCESS``) is the
-table. A lost executor costs only task retries; a lost job leaves the previous version in place.
+table. A lost executor costs only task retries; a lost job leaves the previous version in place. The schema
+is kept beside the files, so a partitioned table without rows, which has no file, reads as empty.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 class TableStore:
@@ -55,7 +58,28 @@ class TableStore:
         path = self.path(table)
         if path is None:
             raise LookupError(f"no such table: {table}")
-        return self.spark.read.parquet(path)
+        schema = self._schema(path)
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(path)
+
+    def _schema(self, path: str) -> StructType | None:
+        fs, file = self._fs(f"{path}/_schema.json")
+        if not fs.exists(file):
+            return None
+        stream = fs.open(file)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return StructType.fromJson(json.loads(text))
+
+    def _keep_schema(self, path: str, schema: StructType) -> None:
+        fs, file = self._fs(f"{path}/_schema.json")
+        stream = fs.create(file, True)
+        try:
+            stream.write(schema.json().encode())
+        finally:
+            stream.close()
 
     def read_if_exists(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
@@ -64,6 +88,7 @@ class TableStore:
         """Write a new version and return it as read back."""
         path = f"{self.root}/{table}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         df.write.partitionBy(*partition_by).parquet(path)
+        self._keep_schema(path, df.schema)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -66,10 +66,10 @@ def scan_files(
 
     ``whole`` gives one row per file, otherwise one row per line. No folder means no rows.
     """
-    reader = spark.read.option("wholetext", whole).option("pathGlobFilter", "*.json")
+    reader = spark.read.option("pathGlobFilter", "*.json")
     path = root if day is None else _day_glob(root, day)
     try:
-        files = reader.option("recursiveFileLookup", True).text(path)
+        files = reader.option("recursiveFileLookup", True).text(path, wholetext=whole)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -77,8 +77,15 @@ def scan_files(
     return with_file_columns(files)
 
 
+def _known(retailer: Column) -> Column:
+    return retailer.isin([code for _, code, _ in RETAILERS])
+
+
 def with_file_columns(texts: DataFrame) -> DataFrame:
-    """Texts with the columns their ``_metadata`` gives: file, size, offset, retailer and date."""
+    """Texts with the columns their ``_metadata`` gives: file, size, offset, retailer and date.
+
+    Only folders of the known retailers count.
+    """
     file = F.col("_metadata.file_path")
     return texts.select(
         "value",
@@ -86,17 +93,24 @@ def with_file_columns(texts: DataFrame) -> DataFrame:
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block"),
         *[column.alias(name) for name, column in path_parts(file).items()],
-    )
+    ).where(_known(F.col("retailer")))
 
 
 def list_files(spark: SparkSession, root: str, day: Day) -> DataFrame:
-    """The JSON files of a day over the known retailers; other names are skipped."""
-    codes = [code for _, code, _ in RETAILERS]
+    """The JSON files of a day over the known retailers; other names are skipped.
+
+    No folder means no rows.
+    """
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
-    files = found.load(_day_glob(root, day))
+    try:
+        files = found.load(_day_glob(root, day))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "path string, length bigint")
     retailer = path_parts(F.col("path"))["retailer"]
     return files.select("path", F.col("length").alias("file_size"), retailer.alias("retailer")).where(
-        F.col("retailer").isin(codes)
+        _known(F.col("retailer"))
     )
 
 
@@ -134,6 +148,30 @@ def parse_arrays(files: DataFrame) -> DataFrame:
     )
 
 
+def parse_files(spark: SparkSession, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The records of all files, line files and array files alike, and the rejected files.
+
+    A file whose first sign is ``[`` holds an array and is read whole, by one task; the other files
+    are split by lines. ``record`` is null for a line, or an element, that is not a JSON object;
+    blank lines are none. The driver sees the names of the array files, as it does in listing them.
+    """
+    filled = lines.where(F.trim("value") != "").withColumn("row", F.monotonically_increasing_id())
+    begin = F.min_by(F.substring(F.ltrim("value"), 1, 1), F.struct("block", "row"))
+    arrays = filled.groupBy("file").agg(begin.alias("begin")).where("begin = '['").select("file")
+    names = [row["file"] for row in arrays.collect()]
+    records = parse_lines(lines.where(F.trim("value") != ""))
+    keep = ("retailer", "file_date", "file", "file_size", "record", "load_seq")
+    if not names:
+        nothing = spark.createDataFrame([], "file string, retailer string, file_date date, reason string")
+        return records.select(*keep), nothing
+    jvm = spark._jvm
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name)).toString() for name in names]
+    whole = with_file_columns(spark.read.text(paths, wholetext=True))
+    named = spark.createDataFrame([(name,) for name in names], "file string")
+    records = records.join(named, "file", "left_anti").select(*keep)
+    return records.unionByName(parse_arrays(whole).select(*keep)), rejected_files(whole)
+
+
 def rejected_files(files: DataFrame) -> DataFrame:
     """Files that are not a JSON array, or an empty one, with the reason."""
     parsed = F.from_json("value", f"array<{RECORD}>")
@@ -176,8 +214,5 @@ def day_summary(loaded_files: DataFrame, inserted: DataFrame) -> DataFrame:
 
 def external_view(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Name the landed JSON as a view for ad-hoc SQL; folders become columns."""
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY VIEW {name} "
-        f"USING json OPTIONS (path '{root}', basePath '{root}')"
-    )
+    spark.read.option("basePath", root).json(root).createOrReplaceTempView(name)
     return spark.table(name)

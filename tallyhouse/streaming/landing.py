@@ -17,27 +17,23 @@ def load_new_files(
     root: str,
     checkpoint: str,
     load_ts: Column | None = None,
-    files_per_load: int = 10_000,
 ) -> None:
-    """Load every landing file not loaded before, then stop.
+    """Load every landing file not loaded before, as one load, then stop.
 
     ``checkpoint`` remembers the files that were loaded. A load that is repeated after a failure
-    adds nothing twice, because facts are inserted only if absent. Files count in the order of
-    their folders within one load.
+    adds nothing twice, because facts are inserted only if absent. However many files are new, they
+    count in the order of their folders; files that come later are later.
     """
     stamp = F.current_timestamp().cast("timestamp_ntz") if load_ts is None else load_ts
     lines = (
         spark.readStream.option("pathGlobFilter", "*.json")
         .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_load)
         .text(root)
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        parsed = landing.parse_lines(landing.with_file_columns(batch))
-        typed = validate.typed_records(
-            parsed.where("record is not null"), "retailer", "file_date", "file", "load_seq"
-        )
+        parsed, _ = landing.parse_files(batch.sparkSession, landing.with_file_columns(batch))
+        typed = validate.typed_records(parsed, "retailer", "file_date", "file", "load_seq")
         daily.load_records(store, typed, stamp)
 
     (

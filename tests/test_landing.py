@@ -104,10 +104,10 @@ def test_daily_run(spark, folder):
     store, root = TableStore(spark, f"{folder}/store"), f"{folder}/raw"
     table = sales(spark, ("o1", f"{DAY} 09:00:00", "A", 1, None), ("o1", f"{DAY} 09:00:00", "B", 2, None))
     status = daily.run_daily(spark, store, root, {"retailer_1": table}, DAY, DAY)
-    assert status.where("successful").count() == 6
+    assert status.refreshed.where("successful").count() == 6 and status.failed_feeds == {}
     assert store.read("mv_daily_sales_summary").first()["total_quantity"] == 3
     again = daily.run_daily(spark, store, root, {"retailer_1": table}, DAY, DAY)
-    assert again.count() == 6
+    assert again.refreshed.count() == 6
     assert store.read("fact_sales").count() == 2
 
 
@@ -127,7 +127,74 @@ def test_new_files_are_loaded_once(spark, folder):
         load_new_files(spark, store, root, memory)
     load_new_files(spark, store, root, memory)
     assert store.read("fact_sales").count() == 2
-    assert len(store.versions("processed")) == 2
+    assert len(store.versions("staged")) == 2
+    assert store.read("processed").count() == 2
+
+
+RECORD = {
+    "transaction_date": f"{DAY}T10:00:00", "product_id": "A", "product_name": "Anvil", "transaction_id": "t1",
+    "quantity": 2.0, "unit_price": 3.0, "total_amount": 6.0, "retailer_id": "retailer_1", "category": "Tools",
+}
+
+
+def load_day(spark, folder, day=DAY):
+    stamp = F.lit(f"{DAY} 22:00:00").cast("timestamp_ntz")
+    return daily.load_day(spark, TableStore(spark, f"{folder}/store"), f"{folder}/raw", day, stamp)
+
+
+def counted(result):
+    return {r["outcome"]: r["records"] for r in result.counters.collect()}
+
+
+def test_array_and_line_files_load_alike(spark, tmp_path, folder):
+    lines = [json.dumps({**RECORD, "transaction_id": f"l{i}"}) for i in range(2)]
+    put(tmp_path, "lines 1.json", "\n\n" + "\n".join(lines) + "\n")
+    put(tmp_path, "pretty a.json", json.dumps([{**RECORD, "transaction_id": f"p{i}"} for i in range(3)], indent=2))
+    put(tmp_path, "one.json", json.dumps([RECORD]))
+    put(tmp_path, "broken.json", "[{", "retailer_2")
+    put(tmp_path, "other.json", json.dumps([RECORD]), "somebody_else")
+    loaded = load_day(spark, folder)
+    assert counted(loaded) == {"inserted": 6}
+    assert [(Path(r["file"]).name, r["reason"]) for r in loaded.rejected_files.collect()] == [("broken.json", "not JSON")]
+    assert loaded.star.fact.where("quantity = 2").count() == 6
+
+
+def test_unreadable_lines_are_counted(spark, tmp_path, folder):
+    put(tmp_path, "a.json", "\n".join([json.dumps(RECORD), "{oops", "", json.dumps({**RECORD, "transaction_id": "t2"})]))
+    assert counted(load_day(spark, folder)) == {"inserted": 2, "unreadable": 1}
+
+
+def test_an_empty_day_harms_nothing(spark, tmp_path, folder):
+    assert counted(load_day(spark, folder)) == {}
+    put(tmp_path, "a.json", "{oops")
+    assert counted(load_day(spark, folder)) == {"unreadable": 1}
+    put(tmp_path, "b.json", json.dumps(RECORD), day="month=05/day=03")
+    assert counted(load_day(spark, folder, "2024-05-03")) == {"inserted": 1}
+    assert counted(load_day(spark, folder, "2024-05-04")) == {}
+    assert counted(load_day(spark, folder, "2024-05-03")) == {"duplicate": 1}
+    store = TableStore(spark, f"{folder}/store")
+    assert store.read("fact_sales").count() == 1 and store.read("processed").count() == 1
+    assert landing.list_files(spark, f"{folder}/raw", "2024-05-04").count() == 0
+
+
+def test_a_failed_feed_is_named_and_its_old_files_stay_out(spark, folder):
+    store, root = TableStore(spark, f"{folder}/store"), f"{folder}/raw"
+    good = sales(spark, ("o1", f"{DAY} 09:00:00", "A", 1, None))
+    daily.land_feeds({"retailer_1": good}, root, DAY)
+    broken = good.drop("order_id")
+    failed = daily.land_feeds({"retailer_1": broken}, root, DAY)
+    loaded = daily.load_day(spark, store, root, DAY, F.lit(f"{DAY} 22:00:00").cast("timestamp_ntz"), without=failed)
+    assert list(failed) == ["retailer_1"] and loaded.records.count() == 0
+
+
+def test_new_files_of_any_kind_are_one_load(spark, tmp_path, folder):
+    early, late = {**RECORD, "quantity": 3, "product_name": "Early"}, {**RECORD, "quantity": 7, "product_name": "Late"}
+    put(tmp_path, "a.json", json.dumps([late]), day="month=05/day=03")
+    put(tmp_path, "a.json", json.dumps(early))
+    store = TableStore(spark, f"{folder}/store")
+    load_new_files(spark, store, f"{folder}/raw", f"{folder}/seen")
+    assert store.read("fact_sales").first()["quantity"] == 3
+    assert store.read("dim_products").first()["product_name"] == "Late"
 
 
 def test_refresh_reports_failures_and_keeps_old_versions(spark, folder, monkeypatch):
