@@ -430,6 +430,27 @@ VIEW_NAMES = (
 )
 
 
+def quality_row(where: str) -> str:
+    return f"""WITH {STAR} SELECT n AS total_records,
+        with_customer AS records_with_customer, {pct("with_customer")} AS customer_percentage,
+        with_store AS records_with_store, {pct("with_store")} AS store_percentage,
+        txns AS unique_transactions, n - keys AS potential_duplicates,
+        zero_amounts AS null_or_zero_amounts, negative_amounts, zero_quantities
+        FROM ({QUALITY} WHERE {where})"""
+
+
+def quality_rows(where: str) -> str:
+    return f"WITH {STAR}, s AS ({QUALITY} WHERE {where}) " + " UNION ALL ".join(
+        f"SELECT '{name}' AS metric_name, {value} AS metric_value, "
+        f"CAST({share} AS DOUBLE) AS metric_percentage FROM s"
+        for name, value, share in SUMMARY_ROWS
+    )
+
+
+def last(days: int) -> str:
+    return f"date BETWEEN {AS_OF} - {days} AND {AS_OF}"
+
+
 def per_view(columns: str) -> str:
     parts = [
         f"SELECT '{name}' AS view_name, "
@@ -505,6 +526,17 @@ ORACLE: dict[str, str] = {
           CASE WHEN q <> 47 THEN stamp END AS transaction_date,
           CASE WHEN q = 42 THEN '' ELSE customer END AS customer_id, store AS store_id,
           CASE WHEN q = 47 THEN 'bad_date' ELSE 'valid' END AS status FROM sold"""),
+    "landing_parse_arrays": sold("""
+        SELECT code AS retailer, CAST(last_day(day) AS VARCHAR) AS file_date,
+          CASE WHEN q = 47 THEN 'bad_date' ELSE 'valid' END AS status,
+          COUNT(*) AS records, CAST(SUM(CASE WHEN q <> 45 THEN q END) AS BIGINT) AS quantity
+        FROM sold WHERE retailer = 2 OR month(day) NOT IN (2, 3) GROUP BY 1, 2, 3
+        UNION ALL SELECT DISTINCT code, CAST(last_day(day) AS VARCHAR), 'unreadable', 1, NULL
+        FROM sold WHERE retailer = 2"""),
+    "landing_rejected_files": sold("""
+        SELECT DISTINCT code AS retailer, CAST(last_day(day) AS VARCHAR) AS file_date,
+          CASE month(day) WHEN 2 THEN 'not JSON' ELSE 'no records' END AS reason
+        FROM sold WHERE retailer <> 2 AND month(day) IN (2, 3)"""),
     "landing_scan_day": sold("""
         SELECT DISTINCT code AS retailer, true AS has_data FROM sold
         WHERE last_day(day) = DATE '2001-08-31'"""),
@@ -654,7 +686,12 @@ ORACLE: dict[str, str] = {
     "quarterly_sales_summary": views("SELECT * FROM mv5", MV5),
     "daily_sales_by_product": views("SELECT * FROM mv6", MV6),
     "refresh_one": views("SELECT * FROM mv4", MV4),
-    "refresh_all_status": per_view("COUNT(*) >= 0 AS successful"),
+    "refresh_all_status": per_view(
+        "true AS successful, COUNT(*) AS row_count, CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue"
+    ),
+    "refresh_together_status": per_view(
+        "true AS successful, COUNT(*) AS row_count, CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue"
+    ),
     "view_info": per_view('true AS "exists", COUNT(*) AS row_count'),
     "verify_views": per_view(
         'true AS "exists", COUNT(*) AS row_count, COUNT(*) > 0 AS has_data, true AS queryable, '
@@ -674,6 +711,13 @@ ORACLE: dict[str, str] = {
     "sales_by_category": by_category("true"),
     "sales_by_category_retailer": by_category("retailer_id = 1"),
     "retailer_performance": star(performance("true"), PERFORMANCE),
+    "sales_summary_30d": summary(last(30)),
+    "top_products_90d": star(top(last(90), 20), TOP),
+    "sales_trends_90d": star(trends(*WEEKLY, last(90)), TRENDS),
+    "sales_by_category_90d": by_category(last(90)),
+    "retailer_performance_30d": star(performance(last(30)), PERFORMANCE),
+    "dq_report_30d": quality_row(last(30)),
+    "dq_summary_30d": quality_rows(last(30)),
     "recent_sales": star(
         f"""SELECT date, SUM(total_amount) AS total_revenue,
         CAST(SUM(quantity) AS BIGINT) AS total_quantity,
@@ -696,7 +740,11 @@ ORACLE: dict[str, str] = {
     "dq_completeness": f"WITH {CHECKS} SELECT * FROM c2",
     "dq_business_rules": f"WITH {CHECKS} SELECT * FROM c3",
     "dq_referential_integrity": f"WITH {CHECKS} SELECT * FROM c4",
-    "dq_freshness": f"WITH {CHECKS} SELECT * FROM c5",
+    "dq_freshness": f"""WITH {CHECKS}, newest AS (
+      SELECT d, CAST(max(CASE WHEN n > 0 THEN date END) OVER (ORDER BY date) AS VARCHAR) AS latest FROM m)
+      SELECT c5.* REPLACE (details[:-2] || ',"latest_date":' ||
+        CASE WHEN latest IS NULL THEN 'null' ELSE '"' || latest || '"' END || '}}' AS details)
+      FROM c5 JOIN newest ON c5.date = newest.d""",
     "dq_latest_by_retailer": star(
         f"""SELECT retailer_name, MAX(date) AS latest_date,
         CAST(datediff('day', MAX(date), {AS_OF}) AS INTEGER) AS days_old,
@@ -708,17 +756,8 @@ ORACLE: dict[str, str] = {
         COUNT(CASE WHEN passed THEN 1 END) AS passed_checks,
         COUNT(CASE WHEN NOT passed THEN 1 END) AS failed_checks, bool_and(passed) AS all_passed
         FROM ({ALL_CHECKS}) GROUP BY date""",
-    "dq_report": f"""WITH {STAR} SELECT n AS total_records,
-        with_customer AS records_with_customer, {pct("with_customer")} AS customer_percentage,
-        with_store AS records_with_store, {pct("with_store")} AS store_percentage,
-        txns AS unique_transactions, n - keys AS potential_duplicates,
-        zero_amounts AS null_or_zero_amounts, negative_amounts, zero_quantities
-        FROM ({QUALITY})""",
-    "dq_summary": f"WITH {STAR}, s AS ({QUALITY}) " + " UNION ALL ".join(
-        f"SELECT '{name}' AS metric_name, {value} AS metric_value, "
-        f"CAST({share} AS DOUBLE) AS metric_percentage FROM s"
-        for name, value, share in SUMMARY_ROWS
-    ),
+    "dq_report": quality_row("true"),
+    "dq_summary": quality_rows("true"),
     # example reports
     "rpt_daily_dashboard": views(
         f"""SELECT * FROM mv1 WHERE date >= {AS_OF} - 7

@@ -13,14 +13,14 @@ def group_with_distincts(
 ) -> DataFrame:
     """Group by non-null ``keys`` with plain measures and exact distinct counts.
 
-    One aggregation for the measures, which shrinks to the groups before its shuffle, and one per
-    distinct count, whose shuffle holds nothing but (keys, value): a dominant key is spread over
-    its values and repeated values collapse on the map side. In a single aggregation every
-    measure's buffer would travel with every distinct value, and several distinct counts would
-    copy each row. The results are partitioned by ``keys`` already, one row per group, and joined.
+    The first distinct count shares the measures' scan: Spark aggregates by (keys, value) and then
+    by keys, so a dominant key is spread over its values. Every other count is an aggregation of its own, whose shuffle holds nothing but (keys, value);
+    in one aggregation several distinct counts would copy each row. The results are partitioned by
+    ``keys`` already, one row per group, and joined.
     """
-    out = df.groupBy(*keys).agg(*measures)
-    for name, column in distincts.items():
+    (name, column), *others = distincts.items()
+    out = df.groupBy(*keys).agg(*measures, F.count_distinct(column).alias(name))
+    for name, column in others:
         counted = df.groupBy(*keys).agg(F.count_distinct(column).alias(name))
         out = out.join(counted, list(keys))
     return out
@@ -42,12 +42,10 @@ def products_per_group(lines: DataFrame, products: DataFrame, keys: Sequence[str
 def total_with_distincts(
     df: DataFrame, measures: Sequence[Column], distincts: dict[str, str]
 ) -> DataFrame:
-    """The same over the whole frame: one row, each distinct count a scalar subquery."""
-    counts = [
-        df.agg(F.count_distinct(column)).scalar().alias(name)
-        for name, column in distincts.items()
-    ]
-    return df.agg(*measures).select("*", *counts)
+    """The same over the whole frame: one row, each further distinct count a scalar subquery."""
+    (first, column), *others = distincts.items()
+    counts = [df.agg(F.count_distinct(c)).scalar().alias(name) for name, c in others]
+    return df.agg(*measures, F.count_distinct(column).alias(first)).select("*", *counts)
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

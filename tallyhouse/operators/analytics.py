@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import asc, desc, mean, share, total
@@ -157,6 +157,11 @@ def sales_trends(
     )
 
 
+def _all_rows(column: str) -> Column:
+    """The total over grouped rows, of which there are as many as categories or retailers."""
+    return F.coalesce(F.sum(column).over(Window.partitionBy(F.lit(1))), F.lit(0))
+
+
 def sales_by_category(
     star: Star, start: Day, end: Day, retailer_id: int | None = None
 ) -> DataFrame:
@@ -164,7 +169,6 @@ def sales_by_category(
     categories = star.products.where("category is not null").select("product_id", "category")
     every_line = sales_between(star, start, end, retailer_id)
     lines = every_line.join(categories, "product_id")
-    everything = lines.agg(F.coalesce(total("total_amount"), F.lit(0))).scalar()
     grouped = group_with_distincts(
         lines,
         ["category"],
@@ -177,7 +181,7 @@ def sales_by_category(
     )
     return (
         grouped.join(products_per_group(every_line, categories, ["category"]), "category")
-        .withColumn("revenue_percentage", share(F.col("total_revenue"), everything))
+        .withColumn("revenue_percentage", share(F.col("total_revenue"), _all_rows("total_revenue")))
         .select(
             "category", "total_revenue", "total_quantity", "transaction_count", "unique_products",
             "avg_unit_price", "revenue_percentage",
@@ -189,7 +193,6 @@ def sales_by_category(
 def retailer_performance(star: Star, start: Day, end: Day) -> DataFrame:
     """Per retailer with its share of all revenue."""
     lines = sales_between(star, start, end)
-    everything = lines.agg(F.coalesce(total("total_amount"), F.lit(0))).scalar()
     grouped = group_with_distincts(
         lines,
         ["retailer_id"],
@@ -199,14 +202,14 @@ def retailer_performance(star: Star, start: Day, end: Day) -> DataFrame:
             mean("total_amount").alias("avg_transaction_amount"),
         ],
         {
+            "transaction_count": "transaction_id",
             "unique_products": "product_id",
             "unique_customers": "customer_id",
-            "transaction_count": "transaction_id",
         },
     )
     return (
         grouped.join(star.retailers.select("retailer_id", "retailer_name"), "retailer_id")
-        .withColumn("revenue_percentage", share(F.col("total_revenue"), everything))
+        .withColumn("revenue_percentage", share(F.col("total_revenue"), _all_rows("total_revenue")))
         .select(
             "retailer_id", "retailer_name", "total_revenue", "total_quantity",
             "transaction_count", "unique_products", "unique_customers", "avg_transaction_amount",

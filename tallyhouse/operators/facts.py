@@ -16,7 +16,8 @@ def resolve_keys(records: DataFrame, star: Star) -> DataFrame:
 
     Product and retailer must exist; customer and store may be unknown. The date key is computed
     from the date itself. The dimension sides are broadcast only while Spark finds them small
-    enough; beyond that these are shuffle joins whose hot keys AQE splits.
+    enough; beyond that these are shuffle joins whose hot keys AQE splits. Rows without a customer
+    or store get a key of their own there, which matches nothing, so they don't meet in one task.
     """
     products = star.products.select(
         F.col("product_sku").alias("sku"), F.col("product_id").alias("product_key")
@@ -30,8 +31,8 @@ def resolve_keys(records: DataFrame, star: Star) -> DataFrame:
     return (
         r.join(products, r["product_id"] == products["sku"])
         .join(retailers, r["retailer_id"] == retailers["retailer_code"])
-        .join(customers, not_blank(r["customer_id"]) == F.col("customer_external_id"), "left")
-        .join(stores, not_blank(r["store_id"]) == F.col("store_external_id"), "left")
+        .join(customers, _spread(r["customer_id"], r) == F.col("customer_external_id"), "left")
+        .join(stores, _spread(r["store_id"], r) == F.col("store_external_id"), "left")
         .select(
             date_key(F.to_date("transaction_date")).alias("date_id"),
             F.col("product_key").alias("product_id"),
@@ -47,6 +48,11 @@ def resolve_keys(records: DataFrame, star: Star) -> DataFrame:
     )
 
 
+def _spread(natural: Column, records: DataFrame) -> Column:
+    """The natural key, or a text that no key is, different from transaction to transaction."""
+    return F.coalesce(not_blank(natural), F.concat(F.lit("\0"), records["transaction_id"]), F.lit("\0"))
+
+
 def not_yet_loaded(batch: DataFrame, existing: DataFrame) -> DataFrame:
     """The batch rows whose key is not in the fact table.
 

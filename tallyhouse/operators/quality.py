@@ -6,7 +6,7 @@ loaded so far; a day without facts still gets its row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.aggregate import total_with_distincts
@@ -149,7 +149,9 @@ def _freshness(as_of: Day) -> Column:
     )
 
 
-def _checks(metrics: DataFrame, *checks: Column) -> DataFrame:
+def _checks(metrics: DataFrame, *checks: Column, latest: bool = False) -> DataFrame:
+    if latest:
+        checks = tuple(_with_latest(x) for x in checks)
     return metrics.select("date", F.explode(F.array(*checks)).alias("c")).select("date", "c.*")
 
 
@@ -174,8 +176,24 @@ def check_referential_integrity(star: Star, start: Day, end: Day) -> DataFrame:
 
 
 def check_freshness(star: Star, start: Day, end: Day, as_of: Day) -> DataFrame:
-    """Pass if the day is at most seven days before ``as_of``."""
-    return _checks(_calendar(star, start, end), _freshness(as_of))
+    """Pass if the day is at most seven days before ``as_of``; with the newest date of the facts by then.
+
+    The days with facts, and the calendar, have 366 rows a year at most.
+    """
+    known = sales_between(star, None, end).select(F.col("date").alias("latest")).distinct()
+    days = _calendar(star, start, end).select("date", F.lit(None).cast("date").alias("latest"))
+    both = days.unionByName(known.select(F.col("latest").alias("date"), "latest"))
+    by_day = Window.partitionBy(F.lit(1)).orderBy("date")
+    newest = both.groupBy("date").agg(F.max("latest").alias("latest")).withColumn(
+        "latest", F.max("latest").over(by_day)
+    )
+    checks = _checks(newest.where(F.col("date") >= F.lit(as_day(start))), _freshness(as_of), latest=True)
+    return checks
+
+
+def _with_latest(check: Column) -> Column:
+    latest = F.create_map(F.lit("latest_date"), F.date_format("latest", "yyyy-MM-dd"))
+    return check.withField("details", F.map_concat(check["details"], latest))
 
 
 def latest_by_retailer(star: Star, target: Day, as_of: Day) -> DataFrame:
@@ -220,10 +238,13 @@ class QualityCheckFailed(Exception):
 
 
 def require_passed(results: DataFrame) -> None:
-    """Raise if any check failed; names at most the first twenty."""
-    failed = results.where(~F.col("passed")).orderBy("date", "check_name").limit(20).collect()
-    if failed:
-        raise QualityCheckFailed("; ".join(f"{r.date} {r.check_name}: {r.message}" for r in failed))
+    """Raise if any check failed; names the first twenty and says how many more there are."""
+    failed = results.where(~F.col("passed"))
+    named = failed.orderBy("date", "check_name").limit(20).collect()
+    if named:
+        texts = [f"{r.date} {r.check_name}: {r.message}" for r in named]
+        more = failed.count() - len(named) if len(named) == 20 else 0
+        raise QualityCheckFailed("; ".join([*texts, *[f"and {more} more"] * bool(more)]))
 
 
 def _range_counts(star: Star, start: Day, end: Day) -> tuple[DataFrame, list[Column]]:

@@ -164,8 +164,11 @@ def category_growth(views: Views, as_of: Day) -> DataFrame:
 
 
 def _by_retailer(df: DataFrame, key: str) -> DataFrame:
-    """One column of revenue per known retailer; naming them spares a pass to find them."""
-    return df.groupBy(key).pivot("retailer_name", RETAILER_NAMES).agg(F.sum("total_revenue"))
+    """One column of revenue per retailer: the known ones, then any others that have sales."""
+    named = df.select("retailer_name").distinct().where("retailer_name is not null")
+    found = {row["retailer_name"] for row in named.collect()}  # a row for each retailer
+    names = [*RETAILER_NAMES, *sorted(found.difference(RETAILER_NAMES))]
+    return df.groupBy(key).pivot("retailer_name", names).agg(F.sum("total_revenue"))
 
 
 def chart_daily(views: Views, as_of: Day) -> DataFrame:

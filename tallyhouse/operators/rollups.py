@@ -184,12 +184,18 @@ ROLLUPS: dict[str, Callable[[Star], DataFrame]] = {
 def sales_enriched(star: Star) -> DataFrame:
     """Every fact with its dimensions: the wide form for ad-hoc queries.
 
-    Date, product and retailer must exist; customer and store may be unknown.
+    Date, product and retailer must exist; customer and store may be unknown. Unknown ones join by a
+    negative number that no dimension has, different from transaction to transaction, so that they
+    don't meet in one task.
     """
+    nobody = -1 - F.pmod(F.xxhash64("transaction_id"), F.lit(1 << 20))
+    customers = star.customers.select(F.col("customer_id").alias("customer"), "customer_external_id")
+    stores = star.stores.select(F.col("store_id").alias("store"), "store_external_id")
     return (
         star.fact.join(F.broadcast(star.dates.drop("created_at")), "date_id")
         .join(star.products.drop("created_at", "updated_at"), "product_id")
         .join(star.retailers, "retailer_id")
-        .join(star.customers.select("customer_id", "customer_external_id"), "customer_id", "left")
-        .join(star.stores.select("store_id", "store_external_id"), "store_id", "left")
+        .join(customers, F.coalesce("customer_id", nobody) == F.col("customer"), "left")
+        .join(stores, F.coalesce("store_id", nobody) == F.col("store"), "left")
+        .drop("customer", "store")
     )

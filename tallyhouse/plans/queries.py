@@ -171,6 +171,43 @@ def landing_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return validate.typed_records(landed).select(*RECORD_SCHEMA.names, "status")
 
 
+def _mixed_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Records and rejected files of a landing zone with one file per retailer and month.
+
+    Retailers 1 and 3 deliver arrays, retailer 2 lines. Fixed rules: arrays of March are empty,
+    those of February break off, and each file of lines has one more line that is no JSON.
+    """
+    store = warehouse(spark, folder).store
+    if not store.exists("mixed_files"):
+        records = _delivered(tables.damaged(_all_records(spark, folder)))
+        item = F.to_json(F.struct(*RECORD_SCHEMA.names), {"ignoreNullFields": "false"})
+        files = records.groupBy(*landing.PARTITIONS).agg(F.sort_array(F.collect_list(item)).alias("items"))
+        array = (
+            F.when(F.col("month") == "03", "[]")
+            .when(F.col("month") == "02", F.concat(F.lit("["), F.element_at("items", 1), F.lit(",\n{")))
+            .otherwise(F.concat(F.lit("["), F.array_join("items", ",\n"), F.lit("]")))
+        )
+        lines = F.concat(F.array_join("items", "\n"), F.lit("\n\n{oops"))
+        value = F.when(F.col("retailer") == "retailer_2", lines).otherwise(array)
+        root = f"{store.root}/mixed_files/all"
+        files.select(*landing.PARTITIONS, value.alias("value")).write.partitionBy(*landing.PARTITIONS).text(root)
+    texts = landing.scan_files(spark, store.versions("mixed_files")[-1], pattern="*.txt")
+    return landing.parse_files(spark, texts)
+
+
+def landing_parse_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """Per retailer and day of delivery: records, and what the gate makes of them."""
+    records, _ = _mixed_files(spark, folder)
+    typed = validate.typed_records(records, "retailer", "file_date")
+    return typed.groupBy("retailer", "file_date", "status").agg(
+        F.count("*").alias("records"), F.sum("quantity").alias("quantity")
+    )
+
+
+def landing_rejected_files(spark: SparkSession, folder: str) -> DataFrame:
+    return _mixed_files(spark, folder)[1].select("retailer", "file_date", "reason")
+
+
 def landing_scan_day(spark: SparkSession, folder: str) -> DataFrame:
     files = landing.list_files(spark, _landing_root(spark, folder), DELIVERY)
     return files.groupBy("retailer").agg((F.sum("file_size") > 0).alias("has_data"))
@@ -427,12 +464,35 @@ def _refreshed(function: Callable[[Warehouse], DataFrame]) -> Query:
     return run
 
 
+def _refresh_store(spark: SparkSession, folder: str, name: str) -> TableStore:
+    return TableStore(spark, f"{warehouse(spark, folder).store.root}/{name}")
+
+
+def refresh_all_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Every rollup refreshed one by one, and what its new table holds."""
+    store = _refresh_store(spark, folder, "refresh")
+    refresh.refresh_all(warehouse(spark, folder).star, store)
+    return refresh.refresh_status(store)
+
+
+def refresh_together_status(spark: SparkSession, folder: str) -> DataFrame:
+    store = _refresh_store(spark, folder, "refresh_together")
+    refresh.refresh_together(warehouse(spark, folder).star, store)
+    return refresh.refresh_status(store)
+
+
 def _plain(query: Query) -> Query:
     return lambda spark, folder: plain(query(spark, folder))
 
 
 SPAN = (FIRST_DAY, AS_OF)
 
+
+def _last(days: int) -> tuple:
+    """From so many days before today until today."""
+    return fn.days_before(AS_OF, days), AS_OF
+
+
 _QUERIES: dict[str, Query] = {
     # sources and landing
     "scan_source_1": scan_source("retailer_1"),
@@ -442,6 +502,8 @@ _QUERIES: dict[str, Query] = {
     "source_row_counts": source_row_counts,
     "source_insert_if_absent": source_insert_if_absent,
     "landing_roundtrip": landing_roundtrip,
+    "landing_parse_arrays": landing_parse_arrays,
+    "landing_rejected_files": landing_rejected_files,
     "landing_scan_day": landing_scan_day,
     "landing_parse": landing_parse,
     "path_partition_values": path_partition_values,
@@ -487,10 +549,8 @@ _QUERIES: dict[str, Query] = {
     "refresh_one": lambda spark, folder: refresh.refresh_one(
         warehouse(spark, folder).star, warehouse(spark, folder).store, "mv_weekly_sales_trends"
     ),
-    "refresh_all_status": lambda spark, folder: refresh.refresh_all(
-        warehouse(spark, folder).star,
-        TableStore(spark, f"{warehouse(spark, folder).store.root}/refresh"),
-    ).select("view_name", "successful"),
+    "refresh_all_status": refresh_all_status,
+    "refresh_together_status": refresh_together_status,
     "view_info": _refreshed(lambda wh: refresh.view_info(wh.store)),
     "verify_views": _refreshed(lambda wh: refresh.verify_views(wh.store)),
     "view_row_counts": _refreshed(lambda wh: refresh.view_row_counts(wh.store)),
@@ -508,6 +568,14 @@ _QUERIES: dict[str, Query] = {
     "sales_by_category_retailer": _star(fn.sales_by_category, *SPAN, 1),
     "retailer_performance": _star(fn.retailer_performance, *SPAN),
     "recent_sales": _star(fn.recent_sales, AS_OF, 7),
+    # the same over the days, weeks and months before today
+    "sales_summary_30d": _star(fn.sales_summary, *_last(30)),
+    "top_products_90d": _star(fn.top_products, *_last(90), 20),
+    "sales_trends_90d": _star(fn.sales_trends, *_last(90), "weekly"),
+    "sales_by_category_90d": _star(fn.sales_by_category, *_last(90)),
+    "retailer_performance_30d": _star(fn.retailer_performance, *_last(30)),
+    "dq_report_30d": _star(quality.quality_report, *_last(30)),
+    "dq_summary_30d": _star(quality.quality_summary, *_last(30)),
     "database_statistics": _star(fn.database_statistics),
     # quality
     "dq_record_count": _checks(quality.check_record_count),

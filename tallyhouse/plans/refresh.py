@@ -64,6 +64,40 @@ def refresh_all(star: Star, store: TableStore) -> DataFrame:
     return store.spark.createDataFrame(status, STATUS)
 
 
+def refresh_together(star: Star, store: TableStore) -> DataFrame:
+    """Refresh every rollup or none: all are computed first, and shown when all are there.
+
+    If one fails, the others are thrown away, and each is refreshed by itself as
+    :func:`refresh_all` does.
+    """
+    with store.pending() as shown_later:
+        try:
+            for name in ROLLUPS:
+                write_rollup(star, shown_later, name)
+        except Exception:  # any failure sends all to the other way
+            shown_later.discard()
+            return refresh_all(star, store)
+        shown_later.publish()
+    for name in ROLLUPS:
+        store.drop_old(name)
+    return store.spark.createDataFrame([(name, True, None) for name in ROLLUPS], STATUS)
+
+
+def refresh_status(store: TableStore) -> DataFrame:
+    """Per rollup whether it is there, with the rows and the revenue that its table holds."""
+    rows = []
+    for name in ROLLUPS:
+        view = store.read(name)
+        rows.append(
+            view.agg(
+                F.count("*").alias("row_count"), F.sum("total_revenue").alias("total_revenue")
+            ).select(
+                F.lit(name).alias("view_name"), F.lit(True).alias("successful"), "row_count", "total_revenue"
+            )
+        )
+    return _union(rows)
+
+
 def _union(frames: Iterable[DataFrame]) -> DataFrame:
     out, *rest = frames
     for frame in rest:

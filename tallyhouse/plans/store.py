@@ -99,8 +99,42 @@ class TableStore:
         df.write.mode("append").partitionBy(*partition_by).parquet(path)
         return self.read(table)
 
+    def pending(self) -> PendingTables:
+        """A place for new versions that are shown together, later."""
+        return PendingTables(self)
+
     def drop_old(self, table: str, keep: int = 2) -> None:
         """Delete all but the newest versions; the one before may still be read."""
         for path in self.versions(table)[:-keep]:
             fs, folder = self._fs(path)
             fs.delete(folder, True)
+
+
+class PendingTables(TableStore):
+    """Versions written beside a store's tables, which become theirs when all are there."""
+
+    def __init__(self, store: TableStore):
+        super().__init__(store.spark, f"{store.root}/_pending/{uuid.uuid4().hex}")
+        self._store = store
+
+    def __enter__(self) -> PendingTables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.discard()
+
+    def publish(self) -> None:
+        """Move every version to its table; each move is one rename."""
+        fs, folder = self._fs(self.root)
+        for status in fs.listStatus(folder):
+            table = status.getPath().getName()
+            for path in self.versions(table):
+                _, place = self._fs(f"{self._store.root}/{table}")
+                fs.mkdirs(place)
+                source, target = self._fs(path)[1], self._fs(f"{self._store.root}/{table}/{path.rsplit('/', 1)[1]}")[1]
+                if not fs.rename(source, target):
+                    raise OSError(f"cannot move {path} to {target}")
+
+    def discard(self) -> None:
+        fs, folder = self._fs(self.root)
+        fs.delete(folder, True)

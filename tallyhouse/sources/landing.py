@@ -60,13 +60,17 @@ def _day_glob(root: str, day: Day) -> str:
 
 
 def scan_files(
-    spark: SparkSession, root: str, day: Day | None = None, whole: bool = False
+    spark: SparkSession,
+    root: str,
+    day: Day | None = None,
+    whole: bool = False,
+    pattern: str = "*.json",
 ) -> DataFrame:
     """Texts of the JSON files of one day or all days, with file, retailer and date.
 
     ``whole`` gives one row per file, otherwise one row per line. No folder means no rows.
     """
-    reader = spark.read.option("pathGlobFilter", "*.json")
+    reader = spark.read.option("pathGlobFilter", pattern)
     path = root if day is None else _day_glob(root, day)
     try:
         files = reader.option("recursiveFileLookup", True).text(path, wholetext=whole)
