@@ -260,6 +260,10 @@ MISSING_TEXT = """'Record ' || l_linenumber || ': Missing required fields: [' ||
   CASE q WHEN 50 THEN '''unit_price''' WHEN 49 THEN '''retailer_id'''
     ELSE '''transaction_date'', ''transaction_id''' END || ']'"""
 
+ERROR_TEXT = f"""CASE WHEN q >= 48 THEN {MISSING_TEXT} ELSE 'Record ' || l_linenumber || ': ' ||
+  CASE q WHEN 47 THEN 'Unreadable transaction_date' WHEN 46 THEN 'Unknown retailer retailer_9'
+    WHEN 45 THEN 'No value for quantity' ELSE 'No value for product_name' END END"""
+
 LAST_PRODUCT = """
 SELECT product_sku, product_name, category FROM (
   SELECT sku AS product_sku, seen_name AS product_name, seen_category AS category,
@@ -353,12 +357,25 @@ CHECKS = STAR + f""",
 days AS (
   SELECT CAST(unnest(generate_series(DATE '1995-01-01', {AS_OF}, INTERVAL 1 DAY)) AS DATE) AS date
 ),
+fq AS (
+  SELECT date, CASE WHEN quantity <> 47 THEN quantity END AS quantity,
+    CASE WHEN quantity <> 48 THEN unit_price END AS unit_price,
+    CASE WHEN quantity <> 45 THEN total_amount END AS total_amount,
+    CASE WHEN quantity = 50 THEN -product_id WHEN quantity <> 49 THEN product_id END AS product_id,
+    CASE WHEN quantity = 46 THEN 9 WHEN quantity <> 44 THEN retailer_id END AS retailer_id
+  FROM fs
+),
 m AS (
-  SELECT days.date, CAST(days.date AS VARCHAR) AS d, COUNT(fs.date) AS n,
+  SELECT days.date, CAST(days.date AS VARCHAR) AS d, COUNT(fq.date) AS n,
     COALESCE(SUM(CASE WHEN abs(total_amount - quantity * unit_price) > 0.01 THEN 1 ELSE 0 END), 0)
       AS v,
+    COUNT(fq.date) - COUNT(quantity) AS n1, COUNT(fq.date) - COUNT(unit_price) AS n2,
+    COUNT(fq.date) - COUNT(total_amount) AS n3, COUNT(fq.date) - COUNT(product_id) AS n4,
+    COUNT(fq.date) - COUNT(retailer_id) AS n5,
+    COUNT(CASE WHEN fq.date IS NOT NULL AND (product_id IS NULL OR product_id < 0) THEN 1 END) AS o1,
+    COUNT(CASE WHEN fq.date IS NOT NULL AND (retailer_id IS NULL OR retailer_id = 9) THEN 1 END) AS o2,
     datediff('day', days.date, {AS_OF}) AS age
-  FROM days LEFT JOIN fs ON fs.date = days.date GROUP BY days.date
+  FROM days LEFT JOIN fq ON fq.date = days.date GROUP BY days.date
 ),
 c1 AS (
   SELECT d AS date, 'record_count' AS check_name, n > 0 AS passed,
@@ -366,13 +383,15 @@ c1 AS (
     '{{"record_count":"' || n || '","date":"' || d || '"}}' AS details FROM m
 ),
 c2 AS (
-  SELECT d AS date, 'data_completeness' AS check_name, n > 0 AS passed,
+  SELECT d AS date, 'data_completeness' AS check_name, n > 0 AND n1 + n2 + n3 + n4 + n5 = 0 AS passed,
     CASE WHEN n = 0 THEN 'No records found for ' || d ELSE
-      'Data completeness check: ' || n || ' records, No null values in critical fields' END
-      AS message,
+      'Data completeness check: ' || n || ' records, ' || CASE WHEN n1 + n2 + n3 + n4 + n5 = 0
+        THEN 'No null values in critical fields'
+        ELSE 'Found nulls - quantity: ' || n1 || ', unit_price: ' || n2 || ', total_amount: ' || n3 ||
+          ', product_id: ' || n4 || ', retailer_id: ' || n5 END END AS message,
     CASE WHEN n = 0 THEN '{{"total_records":"0"}}' ELSE '{{"total_records":"' || n ||
-      '","null_quantity":"0","null_unit_price":"0","null_total_amount":"0",' ||
-      '"null_product_id":"0","null_retailer_id":"0"}}' END AS details FROM m
+      '","null_quantity":"' || n1 || '","null_unit_price":"' || n2 || '","null_total_amount":"' || n3 ||
+      '","null_product_id":"' || n4 || '","null_retailer_id":"' || n5 || '"}}' END AS details FROM m
 ),
 c3 AS (
   SELECT d AS date, 'business_rules' AS check_name, n > 0 AND v = 0 AS passed,
@@ -383,11 +402,13 @@ c3 AS (
       '","rule_violations":"' || v || '"}}' END AS details FROM m
 ),
 c4 AS (
-  SELECT d AS date, 'referential_integrity' AS check_name, n > 0 AS passed,
+  SELECT d AS date, 'referential_integrity' AS check_name, n > 0 AND o1 + o2 = 0 AS passed,
     CASE WHEN n = 0 THEN 'No records found for ' || d ELSE
-      'Referential integrity check: ' || n || ' records, All foreign keys valid' END AS message,
+      'Referential integrity check: ' || n || ' records' || CASE WHEN o1 + o2 = 0
+        THEN ', All foreign keys valid'
+        ELSE ', Found orphaned records - product: ' || o1 || ', retailer: ' || o2 END END AS message,
     CASE WHEN n = 0 THEN '{{"total_records":"0"}}' ELSE '{{"total_records":"' || n ||
-      '","orphaned_product":"0","orphaned_retailer":"0"}}' END AS details FROM m
+      '","orphaned_product":"' || o1 || '","orphaned_retailer":"' || o2 || '"}}' END AS details FROM m
 ),
 c5 AS (
   SELECT d AS date, 'data_freshness' AS check_name, age <= 7 AS passed,
@@ -538,7 +559,7 @@ ORACLE: dict[str, str] = {
           CASE month(day) WHEN 2 THEN 'not JSON' ELSE 'no records' END AS reason
         FROM sold WHERE retailer <> 2 AND month(day) IN (2, 3)"""),
     "landing_scan_day": sold("""
-        SELECT DISTINCT code AS retailer, true AS has_data FROM sold
+        SELECT DISTINCT code AS retailer, 1 AS files, true AS has_data FROM sold
         WHERE last_day(day) = DATE '2001-08-31'"""),
     "landing_parse": sold("""
         SELECT code AS retailer, field, COUNT(*) AS present, COUNT(value) AS with_value FROM (
@@ -562,8 +583,10 @@ ORACLE: dict[str, str] = {
           COUNT(seen_quantity) AS with_quantity
         FROM landed WHERE status <> 'missing_fields' GROUP BY code, last_day(day)"""),
     "landing_inventory": sold("""
-        SELECT code AS retailer, COUNT(DISTINCT last_day(day)) AS days, COUNT(*) AS records,
-          true AS all_filled FROM sold GROUP BY code"""),
+        SELECT code AS retailer, COUNT(DISTINCT last_day(day)) AS files, COUNT(*) AS records,
+          true AS all_filled, 'category,customer_id,product_id,product_name,quantity,retailer_id,'
+          || 'store_id,total_amount,transaction_date,transaction_id,unit_price' AS record_keys
+        FROM sold WHERE retailer = 2 OR month(day) NOT IN (2, 3) GROUP BY code"""),
     "export_daily_summary": views("SELECT * FROM mv1 WHERE date >= DATE '1996-01-01'", MV1),
     # normalise and validate
     "normalize_source_1": sold(f"{RECORDS} WHERE retailer = 1"),
@@ -591,7 +614,8 @@ ORACLE: dict[str, str] = {
           CAST(price AS VARCHAR) || ',"total_amount":' || CAST(total AS VARCHAR) ||
           ',"transaction_date":"' || iso || '","customer_id":' ||
           COALESCE('"' || customer || '"', 'null') || ',"store_id":' ||
-          COALESCE('"' || store || '"', 'null') || ',"raw_data":null}' AS value FROM sold"""),
+          COALESCE('"' || store || '"', 'null') || ',"raw_data":{"part":"' || sku || '","customer":' ||
+          COALESCE('"' || customer || '"', 'null') || '}}' AS value FROM sold"""),
     "required_fields_gate": landed("""
         SELECT code AS retailer, status <> 'missing_fields' AS complete, COUNT(*) AS records
         FROM landed GROUP BY code, status <> 'missing_fields'"""),
@@ -599,8 +623,10 @@ ORACLE: dict[str, str] = {
         SELECT sku AS product_id, {MISSING_TEXT} AS error
         FROM landed WHERE status = 'missing_fields'"""),
     "load_errors": landed(f"""
-        SELECT {MISSING_TEXT} AS error FROM landed WHERE status = 'missing_fields'
+        SELECT {ERROR_TEXT} AS error FROM landed WHERE q BETWEEN 44 AND 50
         ORDER BY day, code, l_orderkey, l_linenumber, l_suppkey, cents, q LIMIT 10"""),
+    "record_errors": landed(f"""
+        SELECT sku AS product_id, {ERROR_TEXT} AS error FROM landed WHERE q BETWEEN 44 AND 50"""),
     "unknown_retailer_rejects": landed("""
         SELECT seen_code AS retailer_id, txn AS transaction_id, sku AS product_id, q AS quantity
         FROM landed WHERE q = 46"""),
@@ -663,7 +689,7 @@ ORACLE: dict[str, str] = {
           seen_name AS product_name, seen_quantity AS quantity
         FROM landed WHERE q IN (45, 44)"""),
     "process_date_summary": landed("""
-        SELECT code AS retailer, COUNT(*) AS records_found,
+        SELECT code AS retailer, 1 AS files_found, 1 AS files_processed, COUNT(*) AS records_found,
           (SELECT COUNT(*) FROM loadable
            WHERE last_day(day) = DATE '2001-08-31' AND loadable.code = landed.code)
             AS records_loaded

@@ -36,7 +36,30 @@ def missing_field_errors(parsed: DataFrame) -> DataFrame:
     )
 
 
-def typed_records(parsed: DataFrame, *extra: str) -> DataFrame:
+def record_errors(parsed: DataFrame, retailers: DataFrame) -> DataFrame:
+    """One error text for each record that cannot become a fact, with the reason.
+
+    ``parsed`` has ``record``, ``position`` and ``load_seq``. A record counts under the first
+    reason that holds, in the order in which the load finds them.
+    """
+    known = retailers.select(F.col("retailer_code").alias("retailer_id"), F.lit(True).alias("known"))
+    typed = typed_records(parsed, "position", "load_seq", missing_fields(F.col("record")).alias("missing"))
+    nulls = F.array_compact(F.array(*[F.when(F.col(name).isNull(), name) for name in NEEDED]))
+    listing = F.concat(F.lit("['"), F.array_join("missing", "', '"), F.lit("']"))
+    status = F.col("status")
+    reason = (
+        F.when(status == "unreadable", "Not a JSON object")
+        .when(status == "missing_fields", F.concat(F.lit("Missing required fields: "), listing))
+        .when(status == "bad_date", "Unreadable transaction_date")
+        .when(F.col("known").isNull(), F.concat(F.lit("Unknown retailer "), F.coalesce("retailer_id", F.lit("null"))))
+        .when(~satisfies_constraints(), F.concat(F.lit("No value for "), F.array_join(nulls, ", ")))
+    )
+    judged = typed.join(known, "retailer_id", "left").withColumn("reason", reason)
+    error = F.concat(F.lit("Record "), F.col("position"), F.lit(": "), F.col("reason"))
+    return judged.where("reason is not null").select("product_id", "load_seq", error.alias("error"))
+
+
+def typed_records(parsed: DataFrame, *extra: str | Column) -> DataFrame:
     """Landed record maps as typed columns; what does not convert becomes null.
 
     A missing category is the empty text, a null category stays null; a quantity may be written as
@@ -88,10 +111,12 @@ def constraint_violations(records: DataFrame) -> DataFrame:
     return records.where(~satisfies_constraints())
 
 
+#: What a fact and its product need.
+NEEDED = ("product_id", "product_name", "transaction_id", "quantity", "unit_price", "total_amount")
+
+
 def satisfies_constraints() -> Column:
-    needed = ("product_id", "product_name", "transaction_id", "quantity", "unit_price",
-              "total_amount")
     ok = F.lit(True)
-    for name in needed:
+    for name in NEEDED:
         ok = ok & F.col(name).isNotNull()
     return ok

@@ -171,8 +171,8 @@ def landing_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return validate.typed_records(landed).select(*RECORD_SCHEMA.names, "status")
 
 
-def _mixed_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Records and rejected files of a landing zone with one file per retailer and month.
+def _mixed_root(spark: SparkSession, folder: str) -> str:
+    """A landing zone with one file per retailer and month, written on first use.
 
     Retailers 1 and 3 deliver arrays, retailer 2 lines. Fixed rules: arrays of March are empty,
     those of February break off, and each file of lines has one more line that is no JSON.
@@ -191,8 +191,12 @@ def _mixed_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
         value = F.when(F.col("retailer") == "retailer_2", lines).otherwise(array)
         root = f"{store.root}/mixed_files/all"
         files.select(*landing.PARTITIONS, value.alias("value")).write.partitionBy(*landing.PARTITIONS).text(root)
-    texts = landing.scan_files(spark, store.versions("mixed_files")[-1], pattern="*.txt")
-    return landing.parse_files(spark, texts)
+    return store.versions("mixed_files")[-1]
+
+
+def _mixed_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The records and the rejected files of that landing zone."""
+    return landing.parse_files(spark, landing.scan_files(spark, _mixed_root(spark, folder), pattern="*.txt"))
 
 
 def landing_parse_arrays(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,8 +213,10 @@ def landing_rejected_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def landing_scan_day(spark: SparkSession, folder: str) -> DataFrame:
-    files = landing.list_files(spark, _landing_root(spark, folder), DELIVERY)
-    return files.groupBy("retailer").agg((F.sum("file_size") > 0).alias("has_data"))
+    files = landing.list_files(spark, _mixed_root(spark, folder), DELIVERY, "*.txt")
+    return files.groupBy("retailer").agg(
+        F.count("*").alias("files"), F.every(F.col("file_size") > 0).alias("has_data")
+    )
 
 
 def landing_parse(spark: SparkSession, folder: str) -> DataFrame:
@@ -249,13 +255,14 @@ def processed_zone(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def landing_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Days and records per retailer; the number of files depends on how Spark splits them."""
-    files = landing.inventory(_landed(spark, folder))
-    return files.groupBy("retailer").agg(
-        F.count_distinct("file_date").alias("days"),
-        F.sum("records").alias("records"),
-        F.every(F.col("file_size") > 0).alias("all_filled"),
+    """Per retailer: files, records and the keys of the first record of the files."""
+    records, _ = _mixed_files(spark, folder)
+    files = landing.inventory(records.where("record is not null"))
+    keys = files.groupBy("retailer").agg(
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("record_keys")))), ",").alias("record_keys")
     )
+    whole = landing.retailer_inventory(files).withColumn("all_filled", F.col("bytes") > 2 * F.col("files"))
+    return whole.drop("bytes").join(keys, "retailer")
 
 
 def export_daily_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -307,7 +314,9 @@ def normalize_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def serialize_record(spark: SparkSession, folder: str) -> DataFrame:
-    return nrm.serialize(_all_records(spark, folder))
+    """With two members of the feed's own record, one of which may be null."""
+    own = F.create_map(F.lit("part"), "product_id", F.lit("customer"), "customer_id")
+    return nrm.serialize(_all_records(spark, folder), own)
 
 
 def required_fields_gate(spark: SparkSession, folder: str) -> DataFrame:
@@ -326,10 +335,18 @@ def missing_field_errors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def load_errors(spark: SparkSession, folder: str) -> DataFrame:
-    """The first ten error texts in load order."""
+def _errors(spark: SparkSession, folder: str) -> DataFrame:
     parsed = _maps(spark, folder).withColumn("position", F.col("load_seq.line_number"))
-    return facts.first_errors(validate.missing_field_errors(parsed))
+    return validate.record_errors(parsed, dims.seed_retailers(spark))
+
+
+def load_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """The first ten error texts in load order, of whatever kind."""
+    return facts.first_errors(_errors(spark, folder))
+
+
+def record_errors(spark: SparkSession, folder: str) -> DataFrame:
+    return _errors(spark, folder).drop("load_seq")
 
 
 def unknown_retailer_rejects(spark: SparkSession, folder: str) -> DataFrame:
@@ -421,8 +438,9 @@ def fact_constraint_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def process_date_summary(spark: SparkSession, folder: str) -> DataFrame:
-    root = _landing_root(spark, folder)
-    found = landing.parse_lines(landing.scan_files(spark, root, DELIVERY))
+    listed = landing.list_files(spark, _mixed_root(spark, folder), DELIVERY, "*.txt")
+    records, _ = _mixed_files(spark, folder)
+    found = records.where(F.col("record").isNotNull() & (F.col("file_date") == F.lit(DELIVERY).cast("date")))
     star = _loaded(spark, folder).star
     loaded = (
         fn.sales_between(star, fn.month_start(DELIVERY), DELIVERY)
@@ -431,7 +449,7 @@ def process_date_summary(spark: SparkSession, folder: str) -> DataFrame:
         .join(star.retailers, "retailer_id")
         .select(F.col("retailer_code").alias("retailer"), "records_loaded")
     )
-    return landing.day_summary(found, loaded).drop("files_found")
+    return landing.day_summary(listed, found, loaded)
 
 
 # Registry ----------------------------------------------------------------------------------
@@ -448,7 +466,8 @@ def _views(function: Callable, *args) -> Query:
 
 def _checks(function: Callable, *args) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        results = function(warehouse(spark, folder).star, FIRST_DAY, AS_OF, *args)
+        star = tables.faulty(warehouse(spark, folder).star)
+        results = function(star, FIRST_DAY, AS_OF, *args)
         return results.withColumn("details", F.to_json("details"))
 
     return run
@@ -534,6 +553,7 @@ _QUERIES: dict[str, Query] = {
     "fact_idempotent_reload": fact_idempotent_reload,
     "load_counters": load_counters,
     "load_errors": load_errors,
+    "record_errors": record_errors,
     "fact_constraint_rejects": fact_constraint_rejects,
     "process_date_summary": process_date_summary,
     "sales_enriched": _star(
@@ -586,7 +606,7 @@ _QUERIES: dict[str, Query] = {
     "dq_latest_by_retailer": _star(quality.latest_by_retailer, AS_OF, AS_OF),
     "dq_run_all": _checks(quality.run_all_checks, AS_OF),
     "dq_run_summary": _star(
-        lambda star: quality.summarize_checks(quality.run_all_checks(star, *SPAN, AS_OF))
+        lambda star: quality.summarize_checks(quality.run_all_checks(tables.faulty(star), *SPAN, AS_OF))
     ),
     "dq_report": _star(quality.quality_report, *SPAN),
     "dq_summary": _star(quality.quality_summary, *SPAN),

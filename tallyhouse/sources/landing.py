@@ -100,12 +100,12 @@ def with_file_columns(texts: DataFrame) -> DataFrame:
     ).where(_known(F.col("retailer")))
 
 
-def list_files(spark: SparkSession, root: str, day: Day) -> DataFrame:
+def list_files(spark: SparkSession, root: str, day: Day, pattern: str = "*.json") -> DataFrame:
     """The JSON files of a day over the known retailers; other names are skipped.
 
     No folder means no rows.
     """
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.json")
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     try:
         files = found.load(_day_glob(root, day))
     except AnalysisException as error:
@@ -208,12 +208,17 @@ def retailer_inventory(files: DataFrame) -> DataFrame:
     )
 
 
-def day_summary(loaded_files: DataFrame, inserted: DataFrame) -> DataFrame:
-    """Per retailer: files found and records in them, with the number of facts they added."""
-    found = loaded_files.groupBy("retailer").agg(
-        F.count_distinct("file").alias("files_found"), F.count("*").alias("records_found")
+def day_summary(listed: DataFrame, loaded_files: DataFrame, inserted: DataFrame) -> DataFrame:
+    """Per retailer: files found, those that gave records, these records, and the facts they added.
+
+    ``listed`` has a row per file of the day, ``loaded_files`` one per record with its file.
+    """
+    found = listed.groupBy("retailer").agg(F.count("*").alias("files_found"))
+    processed = loaded_files.groupBy("retailer").agg(
+        F.count_distinct("file").alias("files_processed"), F.count("*").alias("records_found")
     )
-    return found.join(inserted, "retailer", "left").na.fill(0, ["records_loaded"])
+    counts = ["files_processed", "records_found", "records_loaded"]
+    return found.join(processed, "retailer", "left").join(inserted, "retailer", "left").na.fill(0, counts)
 
 
 def external_view(spark: SparkSession, root: str, name: str) -> DataFrame:

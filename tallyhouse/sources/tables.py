@@ -7,6 +7,8 @@ tenth customer and every twenty-fifth store as unknown, so nulls occur. Amounts
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -238,3 +240,19 @@ def landed_maps(records: DataFrame) -> DataFrame:
         .otherwise(_map_without(values))
     )
     return damaged(records).select(record.alias("record"), "load_seq")
+
+
+def faulty(star: Star) -> Star:
+    """A star schema with what the quality checks look for.
+
+    Fixed rules by quantity: facts of 50 refer to a product and those of 46 to a retailer that does
+    not exist; 49 has no product, 48 no price, 47 no quantity, 45 no amount, 44 no retailer.
+    """
+    quantity = F.col("quantity")
+    return replace(star, fact=star.fact.withColumns({
+        "product_id": F.when(quantity == 50, -F.col("product_id")).when(quantity != 49, F.col("product_id")),
+        "retailer_id": F.when(quantity == 46, 9).when(quantity != 44, F.col("retailer_id")),
+        "unit_price": F.when(quantity != 48, F.col("unit_price")),
+        "total_amount": F.when(quantity != 45, F.col("total_amount")),
+        "quantity": F.when(quantity != 47, quantity),
+    }))
