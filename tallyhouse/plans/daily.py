@@ -63,7 +63,8 @@ def land_feeds(
                 rows = rows.withColumn("record", F.create_map(*pairs))
                 records = normalize_table(rows, feed, "record")
             landed = serializable(records, raw=F.col("record"))
-            landing.land(landed.withColumns({"retailer": F.lit(code), **folders}), root)
+            order = ("transaction_date", "transaction_id", "product_id", "quantity", "total_amount")
+            landing.land(landed.withColumns({"retailer": F.lit(code), **folders}), root, order=order)
         except Exception as error:  # reported to the caller; the other feeds still land
             failed[code] = str(error).splitlines()[0]
     return failed

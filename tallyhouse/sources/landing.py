@@ -7,6 +7,8 @@ number texts exact and tells a missing key from a null value.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,15 +30,19 @@ def partition_columns(date: Column) -> dict[str, Column]:
     }
 
 
-def land(records: DataFrame, root: str, replace: bool = True) -> None:
+def land(records: DataFrame, root: str, replace: bool = True, order: Sequence[str] = ()) -> None:
     """Write records as JSON Lines under ``root/retailer=/year=/month=/day=``.
 
     With ``replace`` only the folders that get records are overwritten, so a rerun of a day
     replaces that day and nothing is written for a retailer without records; without it ``root``
     must be new, as for a backfill. The rebalance splits a large retailer-day over several files
-    and gathers a small one into a single file.
+    and gathers a small one into a single file. Rows that share a shuffle arrive in any order, so
+    name the columns of the ``order`` within a file where a loader goes by it.
     """
-    writer = records.hint("rebalance", *PARTITIONS).write.option("ignoreNullFields", False)
+    spread = records.hint("rebalance", *PARTITIONS)
+    if order:
+        spread = spread.sortWithinPartitions(*PARTITIONS, *order)
+    writer = spread.write.option("ignoreNullFields", False)
     if replace:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*PARTITIONS).json(root)

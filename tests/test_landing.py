@@ -93,6 +93,13 @@ def test_landing_a_day_again_replaces_only_that_day(spark, folder):
     assert spark.sql("SELECT sum(quantity) FROM raw_sales").first()[0] == 3 and "day" in view.columns
 
 
+def test_a_file_is_in_order(spark, folder):
+    rows = [(f"o{i * 7 % 10}", f"{DAY} 09:{i * 7 % 10:02d}:00", "A", 1, None) for i in range(10)]
+    daily.land_feeds({"retailer_1": sales(spark, *rows).repartition(4)}, f"{folder}/raw", DAY)
+    parsed = landing.parse_lines(landing.scan_files(spark, f"{folder}/raw")).orderBy("load_seq").collect()
+    assert [r["record"]["transaction_id"] for r in parsed] == [f"o{i}" for i in range(10)]
+
+
 def test_a_failing_feed_does_not_stop_the_others(spark, folder):
     good = sales(spark, ("o1", f"{DAY} 09:00:00", "A", 1, None))
     failed = daily.land_feeds({"retailer_2": good, "retailer_1": good}, f"{folder}/raw", DAY)
