@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import by_bytes, components, table, written
@@ -22,6 +21,12 @@ BATCH_CHARS = 1 << 20
 LARGEST_SMALL = 64
 #: What an entry of an inverted list costs against a subset: its pairs must still be compared.
 LIST_COST = 2
+#: Lists up to this length give all pairs that may meet. Longer ones are cleared in two rounds, which
+#: move all shingles of their sets.
+SHORT = 64
+#: A shingle in FREQUENT sets of a chunk of CHUNK shingles is taken for frequent, and ordered behind
+#: all others; at most MARKED are marked so. That changes what lists cost, not what is found.
+FREQUENT, CHUNK, MARKED = 2, 1 << 21, 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -47,30 +52,9 @@ class Rule:
         """How many subsets a set of size n has to enumerate."""
         return sum(comb(n, self.overlap(n, m)) for m in self.partners(n) if self.overlap(n, m) <= min(n, m))
 
-    def classes(self, n: int) -> int:
-        """Sizes are cut into classes so that linked sets are of one class or of neighbours."""
-        return int(np.searchsorted(_ends(self), n))
-
-    def blocks(self, size_class: int) -> tuple[int, int]:
-        """Blocks into which this class and the one below cut a set, and how many of them may be spare.
-
-        At most ``h`` shingles are in only one of two linked sets, so of h + 1 blocks one is the
-        same in both. Blocks without any shingle say nothing; the spare ones make up for them.
-        """
-        end = _ends(self)[size_class]
-        h = 2 * end * (self.den - self.num) // (self.den + self.num)
-        spare = 1 + h // 400
-        return h + 1 + spare, spare
-
-
-@lru_cache(maxsize=8)
-def _ends(rule: Rule) -> list[int]:
-    """The last size of each class, up to sizes that no text has."""
-    out, begin = [], 1
-    while begin < 1 << 40:
-        out.append(begin * rule.den // rule.num)
-        begin = out[-1] + 1
-    return out
+    def prefix(self, n: int) -> int:
+        """Two linked sets share one of so many first shingles of each, in any order of shingles."""
+        return n - -(-self.num * n // self.den) + 1
 
 
 def shingle_sets(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,27 +127,26 @@ def _subset_keys(x: np.ndarray, rule: Rule, below: int) -> np.ndarray:
     return mix(np.array(sums, np.uint64), 71) ^ np.array(kinds, np.uint64)
 
 
-def _block_keys(x: np.ndarray, rule: Rule) -> np.ndarray:
-    """The digests of the blocks of a set, as its own class cuts it and as the next one does.
+def _prefix_keys(x: np.ndarray, rule: Rule, marked: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles of a set: those not marked by hash, then the marked by count and hash."""
+    most = rule.prefix(len(x))
+    if len(marked):
+        at = np.minimum(np.searchsorted(marked, x), len(marked) - 1)
+        known = marked[at] == x
+        if known.any():
+            count = np.where(known, counts[at], 0)
+            return x[np.lexsort((x, count))[:most]]
+    return x[:most]
+
+
+def _bits(x: np.ndarray) -> np.ndarray:
+    """A parity bitmap of at least as many bits as shingles, as 64-bit numbers.
 
-    Shingles are dealt to blocks by their hash. A set with more empty blocks than may be spared
-    gives these too.
+    Bitmaps differ in no more bits than their sets do in shingles.
     """
-    own = rule.classes(len(x))
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(x, 80), dtype=np.uint64)])
-        out = []
-        for view in (own, own + 1):
-            blocks, spare = rule.blocks(view)
-            width = np.uint64((1 << 64) // blocks)
-            cuts = np.concatenate([[0], np.searchsorted(x, np.arange(1, blocks).astype(np.uint64) * width), [len(x)]])
-            full = cuts[1:] > cuts[:-1]
-            if blocks - np.count_nonzero(full) > spare:
-                full[:] = True
-            digest = sums[cuts[1:]] - sums[cuts[:-1]]
-            name = mix(np.arange(blocks, dtype=np.uint64) + np.uint64(view << 32), 81)
-            out.append(mix(digest + name, 82)[full])
-    return np.concatenate(out)
+    size = max(64, 1 << max(len(x) - 1, 0).bit_length())
+    odd = np.bincount((mix(x, 90) % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def choose_boundary(sizes: dict[int, int], rule: Rule) -> int:
@@ -171,38 +154,87 @@ def choose_boundary(sizes: dict[int, int], rule: Rule) -> int:
 
     ``sizes`` has the number of sets of each size below LARGEST_SMALL.
     """
-    def blocks(n: int) -> int:
-        return sum(rule.blocks(rule.classes(n) + i)[0] for i in (0, 1))
-
     saved, best, boundary = 0, 0, 1
     for n in range(1, LARGEST_SMALL):
-        saved += sizes.get(n, 0) * (LIST_COST * blocks(n) - rule.subsets(n))
+        saved += sizes.get(n, 0) * (LIST_COST * rule.prefix(n) - rule.subsets(n))
         if saved > best:
             best, boundary = saved, n + 1
     return boundary
 
 
+def _frequent(chunk: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    shingles, count = np.unique(np.concatenate(chunk), return_counts=True)
+    often = count >= FREQUENT
+    return shingles[often], count[often]
+
+
+def _marked(often: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles (k, often), MARKED at most, sorted, and their counts."""
+    total = written(often.groupBy("k").agg(F.sum("often").alias("often")), "often")
+    least, left = 1 << 62, MARKED
+    for r in total.groupBy(F.floor(F.log2("often") * 4).alias("step")).agg(F.count("*").alias("n"), F.min("often").alias("least")).orderBy(F.desc("step")).collect():
+        left -= r.n  # a few hundred steps
+        if left < 0:
+            break
+        least = r.least
+    rows = total.where(F.col("often") >= least).toArrow()
+    k, count = rows["k"].to_numpy().view(np.uint64), rows["often"].to_numpy()
+    order = np.argsort(k)
+    return k[order], count[order]
+
+
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Scans sorted lists (sig, k) and gives those of two or more sets, without repetitions.
+    """Scans sorted lists (sig, k, at, n) and gives those of two or more sets, without repetitions.
 
-    Nothing but the last entry is held from batch to batch, however long a list is.
+    ``short`` tells those of SHORT sets or fewer. No more than the begin of a list is held from
+    batch to batch, however long it is.
     """
-    held: tuple[int, int, bool] | None = None  # the last entry: list, set, already given
-    for batch in batches:
-        sig, k = (batch.column(i).to_numpy() for i in (0, 1))
-        if held:
-            sig, k = np.append(held[0], sig), np.append(held[1], k)
+    names = ["sig", "k", "at", "n"]
+    rows = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
+    going: int | None = None  # a long list that was given in part
+
+    def give(rows: list[np.ndarray], ended: bool) -> tuple[pa.RecordBatch, list[np.ndarray], int | None]:
+        sig, k = rows[:2]
         other = np.append(True, (sig[1:] != sig[:-1]) | (k[1:] != k[:-1]))[: len(sig)]
-        sig, k = sig[other], k[other]
-        if not len(sig):
-            continue
-        new = np.append(True, sig[1:] != sig[:-1])
-        give = ~new | np.append(~new[1:], False)  # it follows an entry of its list, or one follows it
-        given = bool(give[-1] or (held and len(sig) == 1 and held[2]))
-        if held and held[2]:
-            give[0] = False
-        held = (int(sig[-1]), int(k[-1]), given)
-        yield pa.RecordBatch.from_arrays([pa.array(x[give]) for x in (sig, k)], names=["sig", "k"])
+        rows = [x[other] for x in rows]
+        sig = rows[0]
+        begins = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])[: len(sig)])
+        length = np.diff(np.append(begins, len(sig)))
+        fresh = sig != going if going is not None else np.ones(len(sig), bool)
+        short = np.repeat(length <= SHORT, length) & fresh
+        keep = ~(np.repeat(length == 1, length) & fresh)
+        hold, long = len(sig), going
+        if not ended and len(sig):
+            hold = int(begins[-1])
+            if not short[-1]:  # all but its last entry, which may be repeated, can go
+                long, hold = int(sig[-1]), len(sig) - 1
+        out = [x[:hold][keep[:hold]] for x in (*rows, short)]
+        batch = pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=[*names, "short"])
+        return batch, [x[hold:] for x in rows], long
+
+    for batch in batches:
+        new = [batch.column(i).to_numpy() for i in range(4)]
+        out, rows, going = give([np.append(x, y) for x, y in zip(rows, new, strict=True)], False)
+        yield out
+    yield give(rows, True)[0]
+
+
+def _hopeful(long: DataFrame, rule: Rule) -> DataFrame:
+    """The entries of long lists that may be the first common one of a linked pair.
+
+    A set has too few shingles from there on, even for the smallest set it can meet in the list, if
+    too many that nobody there has come before: so it is with sets that are not quite alike.
+    """
+    low = long.groupBy("sig").agg(F.min("n").alias("low"))
+    smallest = F.greatest(F.col("low"), F.ceil(F.col("n") * rule.num / rule.den))
+    overlap = F.ceil((F.col("n") + smallest) * rule.num / (rule.num + rule.den))
+    return long.join(low, "sig").where(F.col("n") - F.col("at") >= overlap).select("sig", "k")
+
+
+def _may_meet(x: str, y: str, rule: Rule) -> Column:
+    """Enough shingles from the first common one on, in both sets?"""
+    most = F.least(F.col(f"{x}.n") - F.col(f"{x}.at"), F.col(f"{y}.n") - F.col(f"{y}.at"))
+    return most * (rule.num + rule.den) >= (F.col(f"{x}.n") + F.col(f"{y}.n")) * rule.num
 
 
 def _stars(shared: DataFrame) -> DataFrame:
@@ -214,9 +246,9 @@ def _stars(shared: DataFrame) -> DataFrame:
     return stars.select(F.least("a", "k").alias("a"), F.greatest("a", "k").alias("b")).distinct()
 
 
-def _sets(texts: DataFrame, named: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+def _sets(texts: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(k, key, shingles) of the sets ``wanted`` (k), made again from one text of each: only these move."""
-    chosen = named.join(wanted, "k", "left_semi").groupBy("k", "key").agg(F.min("id").alias("rep"))
+    chosen = classes.join(wanted, "k", "left_semi").select("k", "key", "rep")
     own = texts.join(chosen.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("rep"))).select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,6 +267,30 @@ def _sets(texts: DataFrame, named: DataFrame, wanted: DataFrame, words: int) ->
     return own.mapInArrow(run, "k long, key string, shingles array<long>")
 
 
+def _may_link(classes: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """The ``pairs`` (a, b) that sizes and bitmaps of ``classes`` (k, n, bits) don't rule out.
+
+    A bitmap twice as long as the other is folded to its length first.
+    """
+
+    def xor(x: Column, y: Column) -> Column:
+        return F.zip_with(x, y, lambda v, w: v.bitwiseXOR(w))
+
+    def folded(x: Column, y: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        return F.when(F.size(x) > F.size(y), xor(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half))).otherwise(x)
+
+    x, y = (classes.select(F.col("k").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab")
+    bits_a, bits_b = F.col("bits_a"), F.col("bits_b")
+    total = F.col("n_a") + F.col("n_b")
+    overlap = F.ceil(total * rule.num / (rule.num + rule.den))
+    differ = F.aggregate(
+        xor(folded(bits_a, bits_b), folded(bits_b, bits_a)), F.lit(0), lambda so_far, v: so_far + F.bit_count(v)
+    )
+    sizes = overlap <= F.least("n_a", "n_b")
+    return pairs.join(x, "a").join(y, "b").where(sizes & (differ <= total - 2 * overlap)).select("a", "b")
+
+
 def _linked(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) whose sets are alike, as edges between their long names."""
     x, y = (sets.select(F.col("k").alias(c), F.col("key").alias(f"key_{c}"), F.col("shingles").alias(f"set_{c}")) for c in "ab")
@@ -265,10 +321,8 @@ def _across(sets: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     )
     rarest = written(rarest, "rarest")
     x, y = rarest.alias("x"), rarest.alias("y")
-    need = (F.col("x.n") + F.col("y.n")) * rule.num
-    most = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
-    may = most * (rule.num + rule.den) >= need  # of this shingle and those behind it
-    pairs = x.join(y, (F.col("x.s") == F.col("y.s")) & (F.col("x.root") < F.col("y.root")) & may)
+    apart = F.col("x.root") < F.col("y.root")
+    pairs = x.join(y, (F.col("x.s") == F.col("y.s")) & apart & _may_meet("x", "y", rule))
     return pairs.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
 
 
@@ -282,75 +336,117 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     rows stay, an empty table gives no rows, other columns are not looked at.
 
     Two sets below the boundary, or one below and one above, share a subset of the size that their
-    intersection must have. Two larger ones share a block of shingles: their inverted lists hold
-    digests of blocks, not single shingles, whose lists would be as long as a shingle is frequent.
-    Each set in a list is compared with the list's most central set. Sets in lists that the links
-    found so far leave in several components are then compared across these, where they share one
-    of their rarest shingles. Any link between components is found by that.
+    intersection must have. Two larger ones share one of their first shingles, in an order that has
+    frequent shingles last; inverted lists are scanned of these alone. Short lists give all their
+    pairs. In a long one each set is paired with the list's most central set; if the links found
+    leave a long list in several components, its sets are paired across these where they share one
+    of the rarest shingles. Sizes and bitmaps rule out most pairs, the sets decide on the others.
+    Any link between components is found by that.
     """
-    spark = docs.sparkSession
     words = rule.words
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, sets in _read(batches, 1, words):
-            keys = _keys(sets)
-            n = [len(x) for x in sets]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(n, pa.int64()), pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.string())],
-                names=["id", "n", "k", "key"],
-            )
+        seen: set[str] = set()
+        chunk, held = [], 0
 
-    named = written(texts.mapInArrow(sizes, f"id {id_type}, n long, k long, key string"), "sets")
+        def frequent() -> pa.RecordBatch:
+            found, count = _frequent(chunk)
+            rest = [pa.nulls(len(found), t) for t in (ids, pa.int64(), pa.string(), pa.list_(pa.int64()))]
+            columns = [rest[0], rest[1], pa.array(found.view(np.int64)), rest[2], rest[3], pa.array(count.astype(np.int64))]
+            return pa.RecordBatch.from_arrays(columns, names=names)
+
+        for rows, sets in _read(batches, 1, words):
+            keys, ids = _keys(sets), rows.schema.field(0).type
+            columns = [
+                rows.column(0), pa.array([len(x) for x in sets], pa.int64()),
+                pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.string()),
+                pa.array([_bits(x) for x in sets], pa.list_(pa.int64())), pa.nulls(len(sets), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+            for x, (_, key) in zip(sets, keys, strict=True):
+                if key not in seen:
+                    seen.add(key)
+                    chunk.append(x)
+                    held += len(x)
+            if held > CHUNK:
+                yield frequent()
+                seen, chunk, held = set(), [], 0
+        if chunk:
+            yield frequent()
+
+    schema = f"id {id_type}, n long, k long, key string, bits array<long>, often long"
+    names = [x.split(" ")[0] for x in schema.split(", ")]
+    found = written(texts.mapInArrow(sizes, schema), "sets")
+    named = found.where("often is null")
     small = named.where((F.col("n") > 0) & (F.col("n") < LARGEST_SMALL)).groupBy("n").count()
     below = choose_boundary({x.n: x["count"] for x in small.collect()}, rule)
+    marked, counts = _marked(found.where("often is not null").select("k", "often"))
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()
         for _, sets in _read(batches, 1, words):
-            sig, k = [], []
+            out: list[tuple[np.ndarray, int, np.ndarray, int]] = []
             for x, (short, key) in zip(sets, _keys(sets), strict=True):
                 if not len(x) or key in seen:
                     continue
                 if len(seen) < 1 << 18:
                     seen.add(key)
-                if min(rule.partners(len(x)), default=0) < below:
-                    own = _subset_keys(x, rule, below)
-                    sig.append(own)
-                    k.append(np.full(len(own), short))
+                if rule.partners(len(x)).start < below:
+                    sig = _subset_keys(x, rule, below)
+                    out.append((sig, short, np.zeros(len(sig), np.int32), len(x)))
                 if len(x) >= below:
-                    own = _block_keys(x, rule)
-                    sig.append(own)
-                    k.append(np.full(len(own), short))
-            if sig:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(k).astype(np.int64))], names=["sig", "k"]
-                )
-
-    lists = texts.mapInArrow(entries, "sig long, k long").repartition("sig").sortWithinPartitions("sig", "k")
-    shared = written(lists.mapInArrow(_lists, "sig long, k long"), "lists")
-    sets = written(_sets(texts, named, shared.select("k").distinct(), words), "shingles")
-    links = written(_linked(sets, _stars(shared), rule), "links")
-    root = components(links)
-    # lists whose sets are still in several components: compare across these
-    placed = sets.join(root, F.col("key") == F.col("node"), "left").select("k", F.coalesce("root", "key").alias("root"))
-    entry = written(shared.join(placed, "k"), "entries")
+                    sig = _prefix_keys(x, rule, marked, counts)
+                    out.append((sig, short, np.arange(len(sig), dtype=np.int32), len(x)))
+            if out:
+                columns = [
+                    np.concatenate([s.view(np.int64) for s, *_ in out]),
+                    np.repeat(np.array([k for _, k, *_ in out], np.int64), [len(s) for s, *_ in out]),
+                    np.concatenate([at for _, _, at, _ in out]),
+                    np.repeat(np.array([n for *_, n in out], np.int32), [len(s) for s, *_ in out]),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["sig", "k", "at", "n"])
+
+    entry_schema = "sig long, k long, at int, n int"
+    lists = texts.mapInArrow(entries, entry_schema).repartition("sig").sortWithinPartitions("sig", "k")
+    shared = written(lists.mapInArrow(_lists, f"{entry_schema}, short boolean"), "lists")
+    classes = named.where("n > 0").groupBy("k", "key").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    classes = written(classes, "classes")
+    long = written(_hopeful(shared.where("not short"), rule), "long")
+    x, y = (shared.where("short").alias(c) for c in "xy")
+    one = F.col("x.k") < F.col("y.k")
+    near = x.join(y, (F.col("x.sig") == F.col("y.sig")) & one & _may_meet("x", "y", rule))
+    pairs = near.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).union(_stars(long)).distinct()
+    first = written(_may_link(classes, pairs, rule), "pairs")
+    links = written(_linked(written(_sets(texts, classes, _ends(first), words), "shingles"), first, rule), "links")
+    root = written(components(links), "roots")
+    # long lists whose sets are still in several components: compare across these
+    placed = classes.join(root, F.col("key") == F.col("node"), "left").select("k", F.coalesce("root", "key").alias("root"))
+    entry = written(long.join(placed, "k"), "entries")
     still = entry.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     nodes = written(entry.join(still, "sig", "left_semi").select("k", "root").distinct(), "open")
-    more = written(_linked(sets, written(_across(sets, nodes, rule), "across"), rule), "more_links")
-    if not more.isEmpty():
-        root = components(links.union(more))
-    nodes = named.join(root, F.col("key") == F.col("node"), "left").withColumn(
-        "root", F.when(F.col("n") > 0, F.coalesce("root", "key"))
-    )
-    least = nodes.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
-    return nodes.join(least, "root", "left").select(
+    if not nodes.isEmpty():
+        sets = written(_sets(texts, classes, nodes.select("k"), words), "open_sets")
+        across = written(_may_link(classes, _across(sets, nodes, rule), rule), "across")
+        more = written(_linked(sets, across, rule), "more_links")
+        if not more.isEmpty():
+            root = written(components(links.union(more)), "roots")
+    # one row for each set; written, so that the join with its copies can be split
+    joined_to = classes.join(root, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key"))
+    joined_to = written(joined_to.select("key", "root", "rep"), "joined_to")
+    least = joined_to.groupBy("root").agg(F.min("rep").alias("component"))
+    labels = written(joined_to.join(written(least, "least"), "root").select("key", "component"), "labels")
+    return named.join(labels, "key", "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
     )
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), Rule(words=3, num=90, den=100))

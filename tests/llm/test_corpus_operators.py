@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -192,16 +193,50 @@ def test_jaccard_of_nothing(spark):
     assert jaccard.jaccard_components(documents(spark, [])).count() == 0
 
 
-def test_blocks_lose_no_link():
-    rule, pick = jaccard.Rule(3, 90, 100), np.random.default_rng(4)
-    for n in (12, 20, 31, 57, 100, 333, 1000):
-        for _ in range(60):
-            universe = np.unique(pick.integers(0, 1 << 63, 2 * n, dtype=np.uint64) * 2)
-            a = universe[:n]
-            m = int(pick.integers(rule.partners(n).start, rule.partners(n).stop))
-            common = min(n, m, rule.overlap(n, m))
-            b = np.sort(np.concatenate([pick.choice(a, common, replace=False), universe[n : n + m - common]]))
-            assert set(jaccard._block_keys(a, rule)) & set(jaccard._block_keys(b, rule))
+@pytest.mark.parametrize("short", [2, 5])
+def test_jaccard_of_long_lists(spark, monkeypatch, short):
+    """Crowds of near copies, most of them not quite alike, in lists of all lengths."""
+    monkeypatch.setattr(jaccard, "SHORT", short)
+    monkeypatch.setattr(jaccard, "FREQUENT", 4)
+    rows = [(1000 * n + i, t) for n in (40, 90, 200) for i, t in enumerate(edited(n, n) + edited(n, n + 4))]
+    docs = documents(spark, [(d, t, "a") for d, t in rows])
+    for rule in (jaccard.Rule(3, 90, 100), jaccard.Rule(2, 70, 100)):
+        got = Counter(tuple(r) for r in jaccard.jaccard_components(docs, rule).collect())
+        assert got == plain_jaccard(rows, rule)
+
+
+def test_lists_across_batches(monkeypatch):
+    monkeypatch.setattr(jaccard, "SHORT", 3)
+    pick = np.random.default_rng(6)
+    for _ in range(200):
+        rows = sorted((int(a), int(b)) for a, b in zip(pick.integers(0, 6, 40), pick.integers(0, 9, 40), strict=True))
+        cuts = [0, *sorted(pick.integers(0, 41, 6).tolist()), 40]
+        batches = [
+            pa.RecordBatch.from_arrays(
+                [pa.array([f(r) for r in rows[a:b]], t) for f, t in (
+                    (lambda r: r[0], pa.int64()), (lambda r: r[1], pa.int64()),
+                    (lambda r: 2 * r[1], pa.int32()), (lambda r: 9, pa.int32()),
+                )],
+                names=["sig", "k", "at", "n"],
+            )
+            for a, b in zip(cuts, cuts[1:], strict=False)
+        ]
+        got = [tuple(r.values()) for b in jaccard._lists(iter(batches)) for r in b.to_pylist()]
+        sets = defaultdict(set)
+        for a, b in rows:
+            sets[a].add(b)
+        assert got == [(a, b, 2 * b, 9, len(x) <= 3) for a, x in sorted(sets.items()) if len(x) > 1 for b in sorted(x)]
+
+
+def test_bitmaps_rule_out_no_link():
+    pick = np.random.default_rng(4)
+    for n in (5, 60, 64, 65, 300, 1000):
+        universe = np.unique(pick.integers(0, 1 << 63, 2 * n, dtype=np.uint64) * 2)
+        a, b = universe[:n], np.sort(universe[n // 5 : n + n // 10])
+        x, y = sorted((jaccard._bits(a), jaccard._bits(b)), key=len)
+        if len(x) < len(y):
+            y = y[: len(x)] ^ y[len(x) :]
+        assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
 
 
 def test_segments_are_all_maximal():
