@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import shared_path, table, written
+from tallyhouse.llm.common import fresh, shared_path, table, written
 
 
 @dataclass(frozen=True)
@@ -159,7 +159,8 @@ class BlobLedger:
         """
         scanned = self.scan(docs, rules, id_col, text_col)
         found = scanned.where(F.size("found") > 0).groupBy("blob").agg(F.first("found").alias("found"))
-        found = written(found.select(F.col("blob").alias("found_in"), F.col("found").alias("spans_found")), "found")
+        blob, spans_found = fresh(docs, "found_in"), fresh(docs, "spans_found")
+        found = written(found.select(F.col("blob").alias(blob), F.col("found").alias(spans_found)), "found")
         text = F.col(text_col)
         start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
 
@@ -173,8 +174,8 @@ class BlobLedger:
         def finish(end: Column) -> Column:
             return F.concat(end["out"], F.substring(text, (end["at"] + 1).cast("int"), F.length(text)))
 
-        clean = F.when(F.col("spans_found").isNull(), text).otherwise(F.aggregate("spans_found", start, step, finish))
-        marked = docs.join(found, F.sha2(F.coalesce(text, F.lit("")), 256) == F.col("found_in"), "left")
+        clean = F.when(F.col(spans_found).isNull(), text).otherwise(F.aggregate(spans_found, start, step, finish))
+        marked = docs.join(found, F.sha2(F.coalesce(text, F.lit("")), 256) == F.col(blob), "left")
         return marked.select(*(clean.alias(c) if c == text_col else docs[c] for c in docs.columns))
 
 
