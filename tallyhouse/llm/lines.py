@@ -72,31 +72,33 @@ def without_boilerplate(
         .select("id", "of_text", "site", "place", F.xxhash64("text").alias("line"), F.octet_length("text").alias("size")),
         "lines",
     )
-    spread = written(site_spread(occurrences, min_sites), "boilerplate")
-    found = occurrences.join(spread, ["line", "size"])
     # structs compare field by field; the flag puts a null id behind all others
     where = F.struct(F.col("id").isNull().alias("no_id"), "id", "place")
-    first = found.groupBy("line", "size").agg(F.min(where).alias("first"))
+    spread = (
+        occurrences.join(written(site_spread(occurrences, min_sites), "boilerplate"), ["line", "size"])
+        .groupBy("line", "size").agg(F.min(where).alias("first"))
+    )
+    gone_id, gone_text, places = (fresh(docs, x) for x in ("gone_id", "gone_text", "gone"))
     gone = (
-        found.join(first, ["line", "size"])
+        occurrences.join(written(spread, "first"), ["line", "size"])
         .where(where != F.col("first"))
-        .groupBy(F.col("id").alias("gone_id"), F.col("of_text").alias("gone_text"))
-        .agg(F.collect_set("place").alias("gone"))
+        .groupBy(F.col("id").alias(gone_id), F.col("of_text").alias(gone_text))
+        .agg(F.collect_set("place").alias(places))
     )
     key, digest = _row_key(id_col, text_col)
     marked = docs.join(
-        gone, key.eqNullSafe(F.col("gone_id")) & digest.eqNullSafe(F.col("gone_text")), "left"
+        gone, key.eqNullSafe(F.col(gone_id)) & digest.eqNullSafe(F.col(gone_text)), "left"
     )
     lines = _lines(F.col(text_col))
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone", i)), "\n")
+    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(places, i)), "\n")
     n_lines, n_removed = fresh(docs, "n_lines"), fresh(docs, "n_removed")
     return marked.select(
         *(
-            F.when(F.col("gone").isNull(), docs[c]).otherwise(kept).alias(c) if c == text_col else docs[c]
+            F.when(F.col(places).isNull(), docs[c]).otherwise(kept).alias(c) if c == text_col else docs[c]
             for c in docs.columns
         ),
         F.size(lines).cast("long").alias(n_lines),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias(n_removed),
+        F.coalesce(F.size(places), F.lit(0)).cast("long").alias(n_removed),
     )
 
 
