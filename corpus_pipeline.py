@@ -11,7 +11,7 @@ from tallyhouse.llm.common import fresh, shared_path, table, written
 from tallyhouse.llm.jaccard import Rule, jaccard_components
 from tallyhouse.llm.lines import without_boilerplate
 from tallyhouse.llm.packing import pack, token_pieces
-from tallyhouse.llm.secrets import BASE, MORE, BlobLedger
+from tallyhouse.llm.secrets import BASE, KEY_MARK, MORE, BlobLedger
 from tallyhouse.llm.toxicity import fit, without_toxic
 
 
@@ -27,8 +27,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that stand on many sites go but for their first place, and texts that lose all of it."""
-    removed = without_boilerplate(docs)
+    """Lines that stand on many sites go but for their first place, and texts that lose all of it.
+
+    Marks of key blocks stay: without them the secret scans would not see the keys.
+    """
+    removed = without_boilerplate(docs, spared=KEY_MARK)
     n_removed = removed[removed.columns[-1]]
     left = removed.where((n_removed == 0) | (F.trim("text") != "") | F.col("text").isNull())
     return _same_columns(left, docs)

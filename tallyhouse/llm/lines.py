@@ -51,24 +51,25 @@ def site_spread(lines: DataFrame, min_sites: int) -> DataFrame:
 
 def without_boilerplate(
     docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS,
-    id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
+    id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", spared: str | None = None,
 ) -> DataFrame:
     """``docs`` with its texts less the lines that stand on ``min_sites`` sites, and two counts.
 
     Adds ``n_lines`` and ``n_removed`` (with ``_`` behind where ``docs`` has them). Each such line
     stays where it comes first: in the row of the smallest id (nulls last), at its first place
     there; rows that repeat an id and text are alike. Lines are compared exactly, up to their 64-bit
-    hash and length; those under ``min_chars`` characters always stay. A null site is one site. A
-    null text has one empty line and stays null, a text whose lines all go becomes empty, and an
-    empty table gives no rows.
+    hash and length; those under ``min_chars`` characters always stay, and so do those that contain
+    ``spared``. A null site is one site. A null text has one empty line and stays null, a text whose
+    lines all go becomes empty, and an empty table gives no rows.
     """
+    spared_line = F.lit(False) if spared is None else F.col("text").contains(spared)
     occurrences = written(
         docs.select(
             *_row_key(id_col, text_col),
             F.coalesce(F.col(site_col).cast("string"), F.lit("")).alias("site"),
             F.posexplode(_lines(F.col(text_col))).alias("place", "text"),
         )
-        .where(F.length("text") >= min_chars)
+        .where((F.length("text") >= min_chars) & ~spared_line)
         .select("id", "of_text", "site", "place", F.xxhash64("text").alias("line"), F.octet_length("text").alias("size")),
         "lines",
     )

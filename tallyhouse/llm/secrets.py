@@ -40,10 +40,24 @@ BASE = (
     Rule("access", "AKIA[A-Z0-9]+", 20, needs=("AKIA",)),
     Rule("hex", "[0-9a-f]{24,}", 24),  # the same as [0-9a-f]+ of 24 or more characters
 )
+#: Marks of a private key block, and what may stand between its lines, in strings of code as well.
+KEY_MARK = "PRIVATE KEY"
+_LABEL = f"(?:[A-Z]+ )*{KEY_MARK}(?: BLOCK)?-----"
+_GAP = r"""(?:[\s"'>#*,|+]|\\[nr])*"""
+#: A key block goes up to its end mark, but not into another block. If the end is missing it goes as
+#: far as headers and then base64 do; the last line may be short, and a checksum may follow.
+_PEM = (
+    rf"-----BEGIN {_LABEL}"
+    rf"(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END {_LABEL}"
+    rf"|(?:{_GAP}(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\n\\]*)*"
+    rf"(?:{_GAP}[A-Za-z0-9+/]{{16,}}+={{0,2}})*"
+    rf"""(?:{_GAP}[A-Za-z0-9+/]+={{0,2}}(?=[\x20\t\r"',+]*(?:\n|\\[nr]|\Z)))?"""
+    rf"(?:{_GAP}=[A-Za-z0-9+/]{{4}}(?![A-Za-z0-9+/]))?)"
+)
 _PREFIXES = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "glpat-", "xox")
 #: What the ledger looks for besides: private key blocks and prefixed access tokens.
 MORE = (
-    Rule("pem", "-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 1, needs=("-----BEGIN ",)),
+    Rule("pem", _PEM, 1, version=2, needs=("-----BEGIN ",)),
     Rule("prefixed", "(?:gh[pousr]_|glpat-|xox[abpr]-)[A-Za-z0-9_-]{20,}", 24, needs=_PREFIXES),
 )
 

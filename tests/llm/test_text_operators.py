@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -12,6 +13,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tallyhouse.llm import fingerprints, lines, packing, pieces, secrets, tokens
 from tallyhouse.llm.common import written
 from tests.llm.cases import documents, texts
@@ -174,6 +176,49 @@ def test_redaction_leaves_no_span(docs, spark, folder):
     assert masked == "é [assign] z"
 
 
+def key_block(seed: int, label: str = "RSA PRIVATE KEY", head: str = "") -> list[str]:
+    pick = random.Random(seed)
+    body = ["".join(pick.choices(string.ascii_letters + string.digits + "+/", k=64)) for _ in range(25)]
+    return [f"-----BEGIN {label}-----", *head.splitlines(), *body, body[0][:21] + "Q==", f"-----END {label}-----"]
+
+
+def key_texts() -> list[str]:
+    """Key blocks in many forms, each between "before" and "after"."""
+    plain, other = key_block(1), key_block(2, "PRIVATE KEY")
+    sealed = key_block(3, head="Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n")
+    pgp = key_block(4, "PGP PRIVATE KEY BLOCK", "Version: GnuPG v2\n\n")
+    pgp.insert(-1, "=aB3d")
+    quoted = ' +\n  '.join(f'"{x}\\n"' for x in plain)
+    forms = ["\n".join(x) for x in (plain, other, sealed, pgp)]
+    forms += ["\r\n".join(plain), "\\n".join(plain), " ".join(plain), "\n".join("> " + x for x in plain), quoted]
+    forms += ["\n".join(x[:-1]) for x in (plain, sealed, pgp)] + ["\\n".join(plain[:-1])]  # the end is missing
+    forms += ["\n".join(plain[:-1] + other), "\n".join(plain[:5]), "\n".join(plain[:-1]) + "\n-----END RSA PRIV"]
+    return [f"before it\n{x}\nafter it all" for x in forms]
+
+
+def test_no_key_line_survives_redaction(spark, folder):
+    ledger = secrets.BlobLedger(spark, f"{folder}/ledger")
+    masked = ledger.redact(documents(spark, [(i, t, "a") for i, t in enumerate(key_texts())]), secrets.MORE).collect()
+    for r in masked:
+        assert not re.search("[A-Za-z0-9+/]{16}|Q==|BEGIN|aB3d|DEK", r.text), r.text
+        assert "before it" in r.text and "after it all" in r.text and "[pem]" in r.text
+
+
+def test_text_without_a_key_stays():
+    rule = secrets.MORE[0]
+    for text in ("-----BEGIN PRIVATE KEY----- opens such a block, and so on", "-----BEGIN CERTIFICATE-----\nMIIB"):
+        assert [text[a:b] for a, b in secrets.spans(text, rule)] == re.findall("-----BEGIN PRIVATE KEY-----", text)
+    half = "-----BEGIN PRIVATE KEY-----" + " - x" * 100_000
+    assert secrets.spans(half, rule) == [(0, 27)]
+
+
+def test_marks_of_keys_outlive_line_dedup(spark):
+    rows = [(i, "\n".join(["words", *key_block(i), "a line that is on many sites"]), f"s{i}") for i in range(8)]
+    docs = corpus_pipeline.line_dedup(spark, documents(spark, rows), "")
+    for r in corpus_pipeline.secrets(spark, docs, "").collect():
+        assert not re.search("[A-Za-z0-9+/]{16}", r.text)
+
+
 def plain_difference(a: str, b: str) -> tuple[int, int]:
     x, y = (Counter(fingerprints.digests([t])[0].tolist()) for t in (a, b))
     return sum((x - y).values()) + sum((y - x).values()), sum(x.values()) + sum(y.values())
