@@ -119,6 +119,26 @@ def test_neighbours_of_few_and_equal_vectors(spark):
     assert neighbours.nearest(vectors(spark, []), vectors(spark, [])).count() == 0
 
 
+def test_neighbours_in_a_large_group_of_equal_vectors(spark):
+    pick = np.random.default_rng(9)
+    data = pick.normal(size=(4000, 24)).astype(np.float32)
+    group = np.sort(pick.permutation(4000)[:1400])  # beyond both SHARE of the block and LEAST
+    data[group] = data[group[-1]]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(data)] + [(int(group[3]), [float(x) for x in data[group[3]]])]
+    items = vectors(spark, rows)
+    got = defaultdict(list)
+    asked = sorted(int(i) for i in {*group[:60:4], *group[-5:], *range(0, 4000, 200)})
+    for r in neighbours.nearest(items, items.where(items.vec_id.isin(asked)), 20).collect():
+        got[r.query_id].append((r["rank"], r.vec_id))
+    ids = sorted([*group.tolist(), int(group[3])])
+    assert sorted(got) == asked
+    for q in set(asked) & set(ids):
+        assert [x for _, x in sorted(got[q])] == [i for i in ids if i != q][:20]
+    near = data[group[-1]].astype(float) + pick.normal(size=24) / 100
+    found = neighbours.nearest(items, vectors(spark, [(9999, [float(x) for x in near])]), 20).orderBy("rank").collect()
+    assert [r.vec_id for r in found] == ids[:20]
+
+
 def test_footrule_of_prefixes():
     pick = np.random.default_rng(1)
     order = np.array([pick.permutation(12)[:6] for _ in range(50)])
