@@ -1,5 +1,5 @@
 """From documents to packed training sequences: toxic texts out, boilerplate lines out, one of each
-group of near copies, secrets masked, the rest packed."""
+group of near copies, secrets masked, passages that others repeat out, the rest packed."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from tallyhouse.llm.common import fresh, shared_path, table, written
 from tallyhouse.llm.jaccard import Rule, jaccard_components
 from tallyhouse.llm.lines import without_boilerplate
 from tallyhouse.llm.packing import pack, token_pieces
+from tallyhouse.llm.passages import without_passages
 from tallyhouse.llm.secrets import BASE, KEY_MARK, MORE, BlobLedger
 from tallyhouse.llm.toxicity import fit, without_toxic
 
@@ -54,6 +55,18 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _same_columns(ledger.redact(docs, [*BASE, *MORE]), docs)
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of over 50 words go but from the first document that has them, and texts that lose all.
+
+    This comes behind the near copies, whose remains would be no copies any more, and behind the
+    secrets, whose marks a passage may end with.
+    """
+    removed = without_passages(docs)
+    n_cut = removed[removed.columns[-1]]
+    left = removed.where((n_cut == 0) | (F.trim("text") != "") | F.col("text").isNull())
+    return _same_columns(left, docs)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' ids and their places in sequences of 1024."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,6 +78,7 @@ STAGES = [
     ("line dedup", line_dedup),
     ("near duplicates", near_duplicates),
     ("secret scans", secrets),
+    ("repeated passages", repeated_passages),
     ("packing", packing),
 ]
 

@@ -1,0 +1,166 @@
+"""Repeated passages: runs of over 50 words that stand in several documents stay in the first alone."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tallyhouse.llm.common import by_bytes, fresh, written
+from tallyhouse.llm.hashing import joined, mix, range_hashes
+
+#: Words of the shortest passage that goes, and words of the runs whose hashes find candidates.
+LEAST, RUN = 51, 26
+#: Bytes that are hashed together.
+MOST = 1 << 22
+_POWER = np.uint64(0x9FB21C651E98DF25)
+
+
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word (bytes without ASCII white space) starts, and ends."""
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
+    edges = np.diff(inside)
+    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+
+
+def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words, the text each is in, and the number of words before each text."""
+    data, begin, _ = joined(texts, b"\n")
+    starts, ends = _words(data)
+    before = np.searchsorted(starts, begin)
+    of = np.repeat(np.arange(len(texts)), np.diff(np.append(before, len(starts))))
+    return range_hashes(data, starts, ends - starts), of, before
+
+
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words; ``words`` are their hashes."""
+    if len(words) < size:
+        return np.zeros(0, np.uint64)
+    inverse = np.uint64(pow(int(_POWER), -1, 1 << 64))
+    with np.errstate(over="ignore"):
+        down = np.multiply.accumulate(np.full(len(words), inverse))
+        up = np.multiply.accumulate(np.full(len(words), _POWER))
+        total = np.append(np.uint64(0), np.cumsum(words * down))
+        return mix((total[size:] - total[:-size]) * up[: len(words) - size + 1])
+
+
+def signs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, hash) of chosen runs of RUN words.
+
+    Of all runs within LEAST words the one of the smallest hash is chosen, so texts that share LEAST
+    words share a chosen run in them.
+    """
+    words, of, before = _hashed(texts)
+    if len(words) < LEAST:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
+    runs, width = _runs(words, RUN), LEAST - RUN + 1
+    inside = np.flatnonzero(of[: len(words) - LEAST + 1] == of[LEAST - 1 :])
+    view = np.lib.stride_tricks.sliding_window_view(runs, width)
+    chosen = np.unique(inside + view.argmin(axis=1)[inside])
+    return of[chosen], chosen - before[of[chosen]], runs[chosen]
+
+
+def windows(texts: list[bytes], spots: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, hash) of all runs of LEAST words that hold the run of RUN words at a spot."""
+    words, of, before = _hashed(texts)
+    runs = _runs(words, LEAST)
+    at = np.repeat(before, [len(x) for x in spots]) + np.array([x for y in spots for x in y], np.int64)
+    text = np.repeat(np.arange(len(texts)), [len(x) for x in spots])
+    near = at[:, None] - np.arange(LEAST - RUN + 1)
+    inside = (near >= before[text][:, None]) & (near < len(runs))
+    near = np.unique(near[inside])
+    near = near[of[near] == of[near + LEAST - 1]]
+    return of[near], near - before[of[near]], runs[near]
+
+
+def cut(text: str | None, places: list[int] | None) -> str | None:
+    """``text`` less the passages of LEAST words at ``places``; lines stay apart."""
+    if text is None or places is None:
+        return text
+    data = text.encode()
+    starts, ends = _words(np.frombuffer(data, np.uint8))
+    gone = np.zeros(len(starts) + 2, np.int64)
+    at = np.unique(np.array(places, np.int64)) + 1
+    gone[at] += 1
+    np.subtract.at(gone, np.minimum(at + LEAST, len(gone) - 1), 1)
+    edges = np.diff((np.cumsum(gone)[: len(starts) + 1] > 0).astype(np.int8), append=0)
+    out, kept_to = [], 0
+    for a, b in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True):
+        left = int(ends[a - 1]) if a else 0
+        right = int(starts[b]) if b < len(starts) else len(data)
+        gap, after = data[left : starts[a]], data[ends[b - 1] : right]
+        if b"\n" in after and b"\n" not in gap and a:
+            gap = after
+        out += [data[kept_to:left], gap]
+        kept_to = right
+    return b"".join([*out, data[kept_to:]]).decode()
+
+
+def without_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` less the passages that an earlier document has, and ``n_cut``: LEAST-word runs that go.
+
+    A passage is a run of LEAST words or more, wherever it stands in its lines. It stays in the
+    document of the smallest id (nulls last) and goes from all others, on whatever source they are;
+    what a document repeats within itself stays. Rows that repeat an id and text are alike. Words
+    are bytes between ASCII white space, compared by 64-bit hashes. Null texts stay null, a text all
+    of which goes becomes empty, an empty table gives no rows.
+
+    Two passes: runs of RUN words that are chosen by their hash, about one in 13, show where
+    documents may share a passage, and all LEAST-word runs there are compared.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = [F.col(id_col).alias("id"), F.xxhash64(text).alias("of_text")]
+    doc = F.struct(F.col("id").isNull().alias("no_id"), "id", "of_text")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    schema = f"id {id_type}, of_text long, at long, sig long"
+
+    def table(batch: pa.RecordBatch, rows: range, found: tuple) -> pa.RecordBatch:
+        which, at, sig = found
+        own = pa.array(which + rows.start, pa.int64())
+        columns = [batch.column("id").take(own), batch.column("of_text").take(own)]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array(at, pa.int64()), pa.array(sig.view(np.int64))], names=["id", "of_text", "at", "sig"]
+        )
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for rows in by_bytes(texts, MOST):
+                yield table(batch, rows, signs(texts[rows.start : rows.stop]))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, spots = batch.column("text").to_pylist(), batch.column("spots").to_pylist()
+            for rows in by_bytes(texts, MOST):
+                yield table(batch, rows, windows(texts[rows.start : rows.stop], spots[rows.start : rows.stop]))
+
+    def repeated(runs: DataFrame) -> DataFrame:
+        firsts = runs.groupBy("sig").agg(F.min(doc).alias("first"), F.max(doc).alias("last"))
+        return firsts.where(F.col("first") != F.col("last")).select("sig", "first")
+
+    def of(runs: DataFrame, name: str) -> tuple[DataFrame, str]:
+        """``docs`` with the places of ``runs`` in each, under ``name``."""
+        own_id, own_text, places = (fresh(docs, x) for x in (f"{name}_id", f"{name}_text", name))
+        grouped = runs.groupBy(F.col("id").alias(own_id), F.col("of_text").alias(own_text)).agg(
+            F.collect_set("at").alias(places)
+        )
+        same = F.col(id_col).eqNullSafe(F.col(own_id)) & F.xxhash64(text).eqNullSafe(F.col(own_text))
+        return docs.join(grouped, same, "left"), places
+
+    chosen = written(docs.select(*key, text.cast("binary").alias("text")).mapInArrow(choose, schema), "signs")
+    spots, at_spots = of(chosen.join(repeated(chosen), "sig"), "spots")
+    near = spots.where(F.col(at_spots).isNotNull()).select(
+        *key, text.cast("binary").alias("text"), F.col(at_spots).alias("spots")
+    )
+    near = written(near.dropDuplicates(["id", "of_text"]).mapInArrow(compare, schema), "passages")
+    marked, places = of(near.join(repeated(near), "sig").where(doc != F.col("first")), "cut_at")
+    less = F.udf(cut, "string", useArrow=True)(F.col(text_col), F.col(places))
+    kept = F.when(F.col(places).isNull(), F.col(text_col)).otherwise(less)
+    return marked.select(
+        *(kept.alias(c) if c == text_col else docs[c] for c in docs.columns),
+        F.coalesce(F.size(places), F.lit(0)).cast("long").alias(fresh(docs, "n_cut")),
+    )

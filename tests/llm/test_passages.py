@@ -1,0 +1,71 @@
+"""Repeated passages against a comparison of all runs of words."""
+
+from collections import Counter
+
+import corpus_pipeline
+from tallyhouse.llm import passages
+from tests.llm.cases import documents, prose, texts
+
+
+def own(seed, words):
+    return [f"w{seed}x{i}" for i in range(words)]
+
+
+def passage_rows():
+    """Passages inside lines, across lines, on one source, at the limit, overlapping, in many documents."""
+    shared, other = own(0, 90), own(1, 60)
+    rows = [(i, " ".join([*own(10 + i, 30 + i), *shared, *own(50 + i, 20)]), "hot") for i in range(1, 9)]
+    rows += [(20, "\n".join([*own(70, 9), *shared[:40], *other]), "hot"), (21, " ".join([*other, *shared[40:]]), "b")]
+    rows += [(22, " ".join(own(2, 51) + own(71, 5)), "a"), (23, " ".join(own(72, 5) + own(2, 51)), "a")]
+    rows += [(24, " ".join(own(3, 50) + own(73, 5)), "a"), (25, " ".join(own(74, 5) + own(3, 50)), "b")]
+    rows += [(26, " ".join(own(4, 300)), "a"), (27, " ".join(own(4, 300)[100:200]), "a"), (28, "é " + " ".join(own(4, 300)) + " 漢", "c")]
+    rows += [(29, "again " * 200, "a"), (30, "again " * 300 + "end", "a"), (None, " ".join(shared), "a"), (31, prose(5, 400), "c")]
+    return rows + texts()
+
+
+def plain(rows):
+    """(doc_id, words that stay) of every row."""
+    size, first, out = passages.LEAST, {}, Counter()
+    words = [(t or "").encode().split() for _, t, _ in rows]
+    keys = [(d is None, d or 0, t or "") for d, t, _ in rows]
+    for key, own_words in zip(keys, words, strict=True):
+        for i in range(len(own_words) - size + 1):
+            run = tuple(own_words[i : i + size])
+            first[run] = min(first.get(run, key), key)
+    for key, own_words, (d, *_) in zip(keys, words, rows, strict=True):
+        gone = {
+            i + j for i in range(len(own_words) - size + 1)
+            if first[tuple(own_words[i : i + size])][:2] != key[:2] for j in range(size)
+        }
+        out[d, tuple(x for i, x in enumerate(own_words) if i not in gone)] += 1
+    return out
+
+
+def test_passages(spark):
+    rows = [r for r in passage_rows() if r[0] != 10]
+    docs = documents(spark, rows)
+    out = passages.without_passages(docs)
+    assert out.columns == [*docs.columns, "n_cut"]
+    found = out.collect()
+    assert Counter((r.doc_id, tuple((r.text or "").encode().split())) for r in found) == plain(rows)
+    before = Counter((d, t) for d, t, _ in rows)
+    assert Counter((r.doc_id, r.text) for r in found if not r.n_cut) <= before
+    assert {r.doc_id for r in found if r.n_cut} >= {2, 8, 21, 23, 27, 28, 30, None}
+    assert passages.without_passages(documents(spark, [])).count() == 0
+
+
+def test_cuts_leave_lines_apart():
+    run = " ".join(own(0, 51))
+    assert passages.cut(f"a {run} b", [1]) == "a b"
+    assert passages.cut(f"a {run}\nb", [1]) == "a\nb"
+    assert passages.cut(f"a\n{run} b", [1]) == "a\nb"
+    assert passages.cut(run, [0]) == "" and passages.cut(f"{run}\nb", [0]) == "b"
+
+
+def test_pipeline_drops_passages_of_one_source(spark):
+    rows = [(i, " ".join([*own(10 + i, 60), *own(0, 70), *own(30 + i, 60)]), "hot") for i in range(3)]
+    docs = documents(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        docs = stage(spark, docs, "")
+    got = {r.doc_id: r.text.split() for r in docs.collect()}
+    assert got == {i: own(10 + i, 60) + own(0, 70) * (i == 0) + own(30 + i, 60) for i in range(3)}
