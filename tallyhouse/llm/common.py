@@ -6,6 +6,9 @@ import re
 import uuid
 from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -133,3 +136,18 @@ def by_bytes(texts: Sequence[str], most: int) -> Iterator[range]:
         held += len(text)
     if begin < len(texts):
         yield range(begin, len(texts))
+
+
+def byte_slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices whose texts in ``column`` hold about ``most`` bytes, one row at least.
+
+    Cut before any text becomes a Python object, so that a worker holds one slice of them.
+    """
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size, dtype=np.int64)
+    begin = 0
+    while begin < len(ends):
+        before = int(ends[begin - 1]) if begin else 0
+        end = max(int(np.searchsorted(ends, before + most, side="right")), begin + 1)
+        yield batch.slice(begin, end - begin)
+        begin = end

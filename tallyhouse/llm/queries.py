@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallyhouse.llm.bytepairs import op11_bytepairs
 from tallyhouse.llm.fingerprints import op10_fingerprints
 from tallyhouse.llm.jaccard import op7_ngram_join
 from tallyhouse.llm.lines import OP8_SQL, op8_line_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_fingerprints": op10_fingerprints,
+    "op11_bytepairs": op11_bytepairs,
 }
 
 ORACLE: dict[str, str] = {
