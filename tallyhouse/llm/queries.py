@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallyhouse.llm.bytepairs import op11_bytepairs
+from tallyhouse.llm.dialogues import op12_dialogues
 from tallyhouse.llm.fingerprints import op10_fingerprints
 from tallyhouse.llm.jaccard import op7_ngram_join
 from tallyhouse.llm.lines import OP8_SQL, op8_line_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_fingerprints": op10_fingerprints,
     "op11_bytepairs": op11_bytepairs,
+    "op12_dialogues": op12_dialogues,
 }
 
 ORACLE: dict[str, str] = {

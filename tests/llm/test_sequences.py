@@ -2,13 +2,17 @@
 
 import base64
 import hashlib
+import random
+import re
+import zlib
 from collections import Counter
 
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import bytepairs
+from tallyhouse.llm import bytepairs, dialogues
 from tests.llm.cases import documents, texts
 from tests.llm.test_text_operators import odd_texts
 
@@ -71,3 +75,129 @@ def test_decoding_other_ids(spark):
     assert {x.doc_id: bytes(x.bytes) for x in got} == {1: model.decode([300, 5]), 2: b"", 3: b""}
     none = bytepairs.encode_bytepairs(documents(spark, []), RANKS, public_tokenizers.PATTERN)
     assert none.count() == 0
+
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def plain_repair(rows):
+    """(counts, cost, audit, repaired) of rows (turn, role, text) by trying all targets in full."""
+    faults, seen = [], set()
+    for _, role, text in rows:
+        trimmed = text.strip(SPACES)
+        faults.append(
+            "blank" if not trimmed else "duplicate" if (role, text) in seen else "truncated" if trimmed[-1] not in ".!?" else ""
+        )
+        seen.add((role, text))
+    n, best = len(rows), None
+    goals = [("s" if x % 2 else "") + "ua" * (x // 2) for x in range(2 * n + 3) if x != 1]
+    for goal in goals:
+        m = len(goal)
+        cell = {(n, m): (0, "")}
+        for i in range(n, -1, -1):
+            for j in range(m, -1, -1):
+                ways = []
+                if i < n:
+                    cost, audit = cell[i + 1, j]
+                    ways.append((cost + 4, "D" + audit))
+                if i < n and j < m and faults[i] not in ("blank", "duplicate"):
+                    cost, audit = cell[i + 1, j + 1]
+                    cost += 3 * (faults[i] == "truncated")
+                    if rows[i][1][:1] == goal[j]:
+                        ways.append((cost, "K" + audit))
+                    if goal[j] != "s":
+                        ways.append((cost + 3, "R" + audit))
+                if j < m and goal[j] != "s":
+                    cost, audit = cell[i, j + 1]
+                    ways.append((cost + 3, "I" + audit))
+                cell[i, j] = min([*ways, *([cell[i, j]] if (i, j) in cell else [])], default=(1 << 30, ""))
+        best = min(x for x in (best, (*cell[0, 0], goal)) if x is not None)
+    cost, audit, goal = best
+    out, i, j = [], 0, 0
+    for edit in audit:
+        if edit in "KRI":
+            role = {"u": "user", "a": "assistant"}.get(goal[j])
+            out.append(("" if edit == "I" else rows[i][2], rows[i][1] if edit == "K" else role))
+            j += 1
+        i += edit != "I"
+    numbers = [t for t, *_ in rows if t is not None]
+    gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+    initials = [r[:1] for _, r, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False))
+    counts = [faults.count(x) for x in ("blank", "duplicate", "truncated")]
+    return (gaps, *counts, illegal, cost, audit, sha("\n".join(f"{r}:{t}" for t, r in out)))
+
+
+def plain_dialogues(conversations):
+    want = {}
+    for conv, turn, role, text in conversations:
+        rows = want.setdefault(conv, [])
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        fate = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if fate == 1:
+            text = ""
+        if fate == 2:
+            text = re.sub("[.!?]", "", text)
+        if fate == 4:
+            role = "user"
+        rows += [] if fate == 0 else [(turn, role, text)] * (2 if fate == 3 else 1)
+    for rows in want.values():
+        digest = {x: hashlib.sha256(f"{len(x[1])}:{x[1]}{x[2]}".encode()).hexdigest() for x in rows}
+        rows.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1], digest[x]))
+    return {conv: plain_repair(rows) for conv, rows in want.items()}
+
+
+def conversations(seed, many):
+    pick = random.Random(seed)
+    roles = ["system", "user", "user", "assistant", "assistant", "tool", "", None]
+    said = ["Yes.", "No!", "why?", "cut off", "", " \n", None, "the same.", "漢字。", "end. \t"]
+    rows = []
+    for conv in [*range(many), None]:
+        size = pick.choice([1, 2, 3, 5, 8, 13])
+        turns = [pick.choice([*range(size), None]) if pick.random() < 0.2 else t for t in range(size)]
+        usual = ["system"] * (conv is not None and conv % 3 == 0) + ["user", "assistant"] * size
+        for t, role in zip(turns, usual, strict=False):
+            odd = pick.random() < 0.25
+            rows.append((conv, t, pick.choice(roles) if odd else role, pick.choice(said) if odd else f"words {pick.randrange(99)}."))
+    long = [(-5, t, ("user", "assistant")[pick.random() < 0.5], f"turn {pick.randrange(40)}.") for t in range(90)]
+    pick.shuffle(rows)
+    return [*rows, *rows[:9], *long]
+
+
+@pytest.mark.parametrize("block", [1, 4, 24])
+def test_blocks_join_to_the_least_audit(block):
+    pick = random.Random(block)
+    for _ in range(250):
+        size = pick.randrange(9)
+        turns = [(pick.choice("suaa u"), pick.choice([0, 0, 0, 1, 2, 3])) for _ in range(size)]
+        texts_of = {0: "whole.", 3: "cut off"}
+        rows = [(i, x, f"{i} {texts_of.get(f, '')}" if f in texts_of else "") for i, (x, f) in enumerate(turns)]
+        turns = [(x, dialogues.BLANK if f in (1, 2) else f) for x, f in turns]
+        cut = [turns[i : i + block] for i in range(0, size, block)]
+        states = range(4)
+        blocks = [{s: dialogues.options(x, s) for s in (states if i else [0])} for i, x in enumerate(cut)]
+        assert dialogues.join_blocks(blocks) == plain_repair(rows)[5:7], turns
+
+
+@pytest.mark.parametrize("block", [3, 24])
+def test_op12_over_a_table(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(dialogues, "BLOCK", block)
+    rows = conversations(block, 60)
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for c in ("conv", "body", "fault", "digest", "audit", "gone", "copy"):
+        frame = frame.withColumn(c, F.lit(7))
+    frame.repartition(5).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = dialogues.op12_dialogues(spark, str(tmp_path))
+    assert got.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    found = [tuple(x) for x in got.collect()]
+    want = plain_dialogues(rows)
+    assert len(found) == len(want)
+    assert {x[0]: x[1:] for x in found} == want
+
+
+def test_no_conversations(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    audits = dialogues.audit_turns(none)
+    assert audits.count() == 0
+    assert dialogues.repaired_turns(none, audits).count() == 0
