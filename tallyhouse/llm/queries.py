@@ -10,6 +10,7 @@ from tallyhouse.llm.lines import OP8_SQL, op8_line_dedup
 from tallyhouse.llm.neighbours import op3_nearest
 from tallyhouse.llm.packing import op6_packing
 from tallyhouse.llm.pieces import op2_sentencepiece
+from tallyhouse.llm.runs import op13_periodic_runs
 from tallyhouse.llm.secrets import op1_secret_scan
 from tallyhouse.llm.shards import op5_shards
 from tallyhouse.llm.tokens import op4_token_counts
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_fingerprints": op10_fingerprints,
     "op11_bytepairs": op11_bytepairs,
     "op12_dialogues": op12_dialogues,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {

@@ -7,12 +7,13 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bytepairs, dialogues
+from tallyhouse.llm import bytepairs, dialogues, runs
 from tests.llm.cases import documents, texts
 from tests.llm.test_text_operators import odd_texts
 
@@ -201,3 +202,89 @@ def test_no_conversations(spark):
     audits = dialogues.audit_turns(none)
     assert audits.count() == 0
     assert dialogues.repaired_turns(none, audits).count() == 0
+
+
+def plain_runs(words):
+    """Runs by comparing all words at each distance."""
+    n, out = len(words), []
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            run = words[start : i + q]
+            smaller = any(run[d:] == run[:-d] for d in range(1, q))
+            if len(run) >= max(6, 4 * q) and not smaller:
+                out.append((start, len(run), q))
+    return sorted(out, key=lambda x: (x[0], x[2]))
+
+
+def periodic(pick):
+    kinds, words = pick.choice([1, 2, 2, 3, 4, 8]), []
+    while len(words) < pick.randrange(60):
+        part = [b"%d" % pick.randrange(kinds) for _ in range(pick.randrange(1, 7))]
+        words += part * pick.choice([1, pick.randrange(1, 8)])
+    return words
+
+
+def test_runs_are_all_there():
+    pick = random.Random(9)
+    for _ in range(1500):
+        words = periodic(pick)
+        want = plain_runs(words)
+        assert runs.find_runs(words) == want, words
+        if words:  # trees over the whole text find the same
+            assert runs.runs_of(np.unique(words, return_inverse=True)[1]) == want
+
+
+@pytest.mark.parametrize("words", [[b"x"] * 50_000, [b"%d" % (i % 9_000) for i in range(50_000)]])
+def test_long_runs_take_linear_time(words):
+    period = len(set(words))
+    assert runs.find_runs(words) == [(0, 50_000, period)]
+    assert runs.collapsed(words, runs.find_runs(words)) == b" ".join(words[:period])
+
+
+def test_common_prefixes():
+    pick = random.Random(4)
+    text = [pick.randrange(1, 4) for _ in range(200)]
+    found = runs.Prefixes([*text, 0])
+    i, j = np.array([(a, b) for a in range(200) for b in range(a + 1, 200)]).T
+
+    def plain(a, b):
+        return next((k for k in range(200 - b) if text[a + k] != text[b + k]), 200 - b)
+
+    assert found.common(i, j).tolist() == [plain(a, b) for a, b in zip(i, j, strict=True)]
+
+
+def plain_op13(key, text):
+    words = (text or "").encode().split()
+    n = len(words)
+    h = None if key is None else zlib.crc32(str(key).encode())
+    if h is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    found = plain_runs(words) if n < 3_000 else runs.find_runs(words)
+    top = min(((-size, s, q) for s, size, q in found), default=None)
+    gone = {i for s, size, q in found for i in range(s + q, s + size)}
+    kept = b" ".join(x for i, x in enumerate(words) if i not in gone)
+    best = (None,) * 4 if top is None else (top[1], -top[0], top[2], -1000 * top[0] // top[2])
+    return (len(found), *best, sha("".join(f"{s},{size},{q}\n" for s, size, q in found)), sha(kept))
+
+
+def test_op13_over_a_table(spark, tmp_path):
+    pick = random.Random(2)
+    rows = [*texts(), *((i, b" ".join(periodic(pick)).decode(), "a") for i in range(1000, 1200))]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = runs.op13_periodic_runs(spark, str(tmp_path))
+    assert got.columns == [
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256",
+    ]
+    want = Counter((key, *plain_op13(key, text)) for key, text, _ in rows)
+    assert Counter(map(tuple, got.collect())) == want
+    assert runs.periodic_runs(documents(spark, [])).count() == 0
