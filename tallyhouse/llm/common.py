@@ -100,9 +100,10 @@ def components(edges: DataFrame) -> DataFrame:
         seen = tuple(state)
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = written(least, "least")  # not an aggregate any more, so that the join with a hub's edges can be split
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.distinct(), "large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(
             small.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "small"

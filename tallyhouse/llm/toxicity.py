@@ -9,16 +9,16 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import table, written
+from tallyhouse.llm.common import byte_slices, table, written
 
-#: At most so many labelled rows fit the model, chosen by the hash of their id; and so many tokens
-#: make it up, those with the surest log-odds.
-SAMPLE, TOKENS = 50_000, 20_000
+#: At most so many labelled rows fit the model, chosen by the hash of their id.
+SAMPLE = 50_000
+#: Bytes of text that are handled together.
+MOST = 1 << 20
 #: The prior's weight against the counts; how many standard deviations a log-odds must be from 0;
 #: what each token costs, so that a chance segment's expected score is below 0; letters of a stem.
 PRIOR, SURE, DRIFT, STEM = 0.02, 2.5, 0.25, 4
@@ -72,28 +72,31 @@ class Model:
 def segments(scores: Sequence[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (begin, end, sum), in one pass over ``scores``.
 
-    A candidate keeps the running sum before it and after it. A new one joins the nearest earlier
-    one that starts lower, if the sum since has a new height; what lies between goes into it.
+    A candidate keeps the running sum before it and after it, and which earlier candidate is the
+    nearest that starts lower. A new one joins the nearest that starts lower, if the sum since has a
+    new height; what lies between goes into it. The search jumps from candidate to candidate that
+    starts lower still, and never meets again what it jumped over, so time is linear.
     """
-    begin, end, low, high = [], [], [], []
+    begin, end, low, high, lower = [], [], [], [], []
     total = 0.0
     for i, score in enumerate(scores):
         total += score
         if score <= 0:
             continue
-        start, below = i, total - score
+        start, below, j = i, total - score, len(low) - 1
         while True:
-            j = len(low) - 1
             while j >= 0 and low[j] >= below:
-                j -= 1
+                j = lower[j]
             if j < 0 or high[j] >= total:
                 break
-            start, below = begin[j], low[j]
-            del begin[j:], end[j:], low[j:], high[j:]
+            start, below, next_lower = begin[j], low[j], lower[j]
+            del begin[j:], end[j:], low[j:], high[j:], lower[j:]
+            j = next_lower
         begin.append(start)
         end.append(i + 1)
         low.append(below)
         high.append(total)
+        lower.append(j)
     return [(b, e, h - x) for b, e, x, h in zip(begin, end, low, high, strict=True)]
 
 
@@ -138,7 +141,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Texts, not occurrences: a word that one long text repeats says little about its class.
     """
-    for batch in batches:
+    for batch in (rows for whole in batches for rows in byte_slices(whole, 0, MOST)):
         for label in (0, 1):
             found = Counter()
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -229,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return Model(a=math.log(share / (1 - share)))
     once = rows.dropDuplicates()  # copies of a text are one piece of evidence
     counts = written(once.mapInArrow(_count, "token string, toxic int, n long"), "tokens")
-    sure = _log_odds(counts).where(F.abs("z") >= SURE).orderBy(F.abs("z").desc(), "token").limit(TOKENS)
+    sure = _log_odds(counts).where(F.abs("z") >= SURE)
     odds = {x.token: max(x.odds, -1.0) for x in sure.collect()}
     model = Model(
         words={w: x for w, x in odds.items() if not w.endswith("*")},
@@ -259,7 +262,7 @@ def _profile(model: Model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, out = Weights(model.words, model.stems), Counter()
-        for batch in batches:
+        for batch in (rows for whole in batches for rows in byte_slices(whole, 0, MOST)):
             for text, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 scores = list(map(weights.__getitem__, tokens(text)))
                 for value, n in Counter(scores).items():
@@ -281,7 +284,7 @@ def _total(found: list[tuple[int, int, float, float]]) -> float:
 def _evidence(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights(model.words, model.stems)
-        for batch in batches:
+        for batch in (rows for whole in batches for rows in byte_slices(whole, 0, MOST)):
             got = [_total(passages(x, weights, model)) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(got, pa.float64()), batch.column(1)], names=["evidence", "toxic"]
@@ -307,7 +310,7 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = Weights(model.words, model.stems)
-        for batch in batches:
+        for batch in (rows for whole in batches for rows in byte_slices(whole, 1, MOST)):
             found = [passages(x, weights, model) for x in batch.column(1).to_pylist()]
             score = np.array([model.score(_total(x)) for x in found], float)
             spans = [[dict(zip(names, x, strict=True)) for x in own] for own in found]
@@ -329,11 +332,11 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> Data
     Only texts go to Python. Null and empty texts are scored as empty ones.
     """
 
-    @F.pandas_udf("double")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights = Weights(model.words, model.stems)
         for batch in texts:
-            yield pd.Series([model.score(_total(passages(x or "", weights, model))) for x in batch], dtype="float64")
+            yield pa.array([model.score(_total(passages(x.as_py() or "", weights, model))) for x in batch], pa.float64())
 
     return docs.where(score(F.col(text_col)) < 0.5)
 
