@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import by_bytes, components, table, written
+from tallyhouse.llm.common import byte_slices, components, table, written
 from tallyhouse.llm.hashing import joined, mix, range_hashes
 
-#: Characters handled together.
-BATCH_CHARS = 1 << 20
+#: Bytes of text handled together.
+BATCH_BYTES = 1 << 20
 #: Sets from this size on always go to the lists; the boundary is chosen below it.
 LARGEST_SMALL = 64
 #: What an entry of an inverted list costs against a subset: its pairs must still be compared.
@@ -102,12 +102,10 @@ def _keys(sets: list[np.ndarray]) -> list[tuple[int, str]]:
 def _read(batches: Iterator[pa.RecordBatch], column: int, words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of the batches with the shingle sets of their texts."""
     for batch in batches:
-        texts = batch.column(column).to_pylist()
-        for part in by_bytes(texts, BATCH_CHARS):
-            own = texts[part.start : part.stop]
-            hashes, owner = shingle_sets(own, words)
-            cuts = np.searchsorted(owner, np.arange(1, len(own)))
-            yield batch.slice(part.start, len(own)), np.split(hashes, cuts)
+        for rows in byte_slices(batch, column, BATCH_BYTES):
+            hashes, owner = shingle_sets(rows.column(column).to_pylist(), words)
+            cuts = np.searchsorted(owner, np.arange(1, rows.num_rows))
+            yield rows, np.split(hashes, cuts)
 
 
 def _subset_keys(x: np.ndarray, rule: Rule, below: int) -> np.ndarray:
@@ -225,7 +223,7 @@ def _hopeful(long: DataFrame, rule: Rule) -> DataFrame:
     A set has too few shingles from there on, even for the smallest set it can meet in the list, if
     too many that nobody there has come before: so it is with sets that are not quite alike.
     """
-    low = long.groupBy("sig").agg(F.min("n").alias("low"))
+    low = written(long.groupBy("sig").agg(F.min("n").alias("low")), "low")  # so that the join can be split
     smallest = F.greatest(F.col("low"), F.ceil(F.col("n") * rule.num / rule.den))
     overlap = F.ceil((F.col("n") + smallest) * rule.num / (rule.num + rule.den))
     return long.join(low, "sig").where(F.col("n") - F.col("at") >= overlap).select("sig", "k")
@@ -239,24 +237,26 @@ def _may_meet(x: str, y: str, rule: Rule) -> Column:
 
 def _stars(shared: DataFrame) -> DataFrame:
     """Pairs (a, b) of each set of a list and its most central one: the one that most others meet."""
-    length = shared.groupBy("sig").agg(F.count("*").alias("length"))
-    central = shared.join(length, "sig").groupBy("k").agg(F.sum("length").alias("met"))
+    length = written(shared.groupBy("sig").agg(F.count("*").alias("length")), "length")
+    central = written(shared.join(length, "sig").groupBy("k").agg(F.sum("length").alias("met")), "central")
     lead = shared.join(central, "k").groupBy("sig").agg(F.max(F.struct("met", "k"))["k"].alias("a"))
-    stars = shared.join(lead, "sig").where("k <> a")
+    stars = shared.join(written(lead, "lead"), "sig").where("k <> a")
     return stars.select(F.least("a", "k").alias("a"), F.greatest("a", "k").alias("b")).distinct()
 
 
 def _sets(texts: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(k, key, shingles) of the sets ``wanted`` (k), made again from one text of each: only these move."""
-    chosen = classes.join(wanted, "k", "left_semi").select("k", "key", "rep")
-    own = texts.join(chosen.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("rep"))).select("key", "text")
+    chosen = written(classes.join(wanted, "k", "left_semi").select("k", "key", "rep", "of_text"), "chosen")
+    # by its hash and id a text meets its own class alone, whatever ids are repeated or null
+    same = (F.xxhash64("text") == F.col("of_text")) & F.col("id").eqNullSafe(F.col("rep"))
+    own = texts.join(chosen, same).select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()
         for rows, found in _read(batches, 1, words):
             keep = []
             for x, (short, key), is_key in zip(found, _keys(found), rows.column(0).to_pylist(), strict=True):
-                if key == is_key and key not in seen:  # else another text of that id, or a repeated row
+                if key == is_key and key not in seen:  # else a repeated row
                     seen.add(key)
                     keep.append((short, key, x.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
@@ -346,6 +346,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     words = rule.words
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    hashed = texts.select("id", "text", F.xxhash64("text").alias("of_text"))
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()
@@ -353,8 +354,8 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
 
         def frequent() -> pa.RecordBatch:
             found, count = _frequent(chunk)
-            rest = [pa.nulls(len(found), t) for t in (ids, pa.int64(), pa.string(), pa.list_(pa.int64()))]
-            columns = [rest[0], rest[1], pa.array(found.view(np.int64)), rest[2], rest[3], pa.array(count.astype(np.int64))]
+            rest = [pa.nulls(len(found), t) for t in (ids, pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int64())]
+            columns = [*rest[:2], pa.array(found.view(np.int64)), *rest[2:], pa.array(count.astype(np.int64))]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         for rows, sets in _read(batches, 1, words):
@@ -362,7 +363,7 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
             columns = [
                 rows.column(0), pa.array([len(x) for x in sets], pa.int64()),
                 pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.string()),
-                pa.array([_bits(x) for x in sets], pa.list_(pa.int64())), pa.nulls(len(sets), pa.int64()),
+                pa.array([_bits(x) for x in sets], pa.list_(pa.int64())), rows.column(2), pa.nulls(len(sets), pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
             for x, (_, key) in zip(sets, keys, strict=True):
@@ -376,9 +377,9 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
         if chunk:
             yield frequent()
 
-    schema = f"id {id_type}, n long, k long, key string, bits array<long>, often long"
+    schema = f"id {id_type}, n long, k long, key string, bits array<long>, of_text long, often long"
     names = [x.split(" ")[0] for x in schema.split(", ")]
-    found = written(texts.mapInArrow(sizes, schema), "sets")
+    found = written(hashed.mapInArrow(sizes, schema), "sets")
     named = found.where("often is null")
     small = named.where((F.col("n") > 0) & (F.col("n") < LARGEST_SMALL)).groupBy("n").count()
     below = choose_boundary({x.n: x["count"] for x in small.collect()}, rule)
@@ -411,8 +412,9 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_
     entry_schema = "sig long, k long, at int, n int"
     lists = texts.mapInArrow(entries, entry_schema).repartition("sig").sortWithinPartitions("sig", "k")
     shared = written(lists.mapInArrow(_lists, f"{entry_schema}, short boolean"), "lists")
-    classes = named.where("n > 0").groupBy("k", "key").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    classes = written(classes, "classes")
+    one_text = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "of_text")).alias("one")
+    classes = named.where("n > 0").groupBy("k", "key").agg(one_text, F.first("n").alias("n"), F.first("bits").alias("bits"))
+    classes = written(classes.select("k", "key", "one.id", "one.of_text", "n", "bits").withColumnRenamed("id", "rep"), "classes")
     long = written(_hopeful(shared.where("not short"), rule), "long")
     x, y = (shared.where("short").alias(c) for c in "xy")
     one = F.col("x.k") < F.col("y.k")
