@@ -3,63 +3,79 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import ranked, salts_of, table, written
+from tallyhouse.llm.common import fresh, ranked, salts_of, table, written
 
-#: A group of more than this share of a shard is placed alone; there are at most FINE x shards such
-#: groups. Smaller ones are first tied into BUNDLES bundles by the hash of their key.
-FINE, BUNDLES = 4096, 65_536
+#: Runs of more than this many equal groups a shard are dealt by level first, then by the heap.
+AT_ONCE = 4
 
 
-def longest_first(sizes: Iterable[tuple[int, str]], shards: int) -> dict[str, int]:
-    """The shard of each (size, name): largest first, ties by name, each to the least-loaded shard."""
-    loads = [(0, i) for i in range(shards)]
-    out = {}
-    for size, name in sorted(sizes, key=lambda x: (-x[0], x[1])):
-        load, shard = loads[0]
-        heapq.heapreplace(loads, (load + size, shard))
-        out[name] = shard
-    return out
+def longest_first(histogram: Iterable[tuple[int, int]], shards: int) -> Iterator[tuple[int, list[int]]]:
+    """How many of the groups of each (weight, count) every shard gets: heaviest first, each group to
+    the least-loaded shard, of equal ones to the first.
+
+    Through a heap. A long run of equal groups goes to the shards in the order of what each holds
+    before a group, so the highest level that takes no more than the run tells what all get at
+    once, and the heap deals the rest.
+    """
+    heap = [(0, i) for i in range(shards)]
+    for weight, count in sorted(histogram, reverse=True):
+        given = [0] * shards
+        if count > AT_ONCE * shards and weight > 0:
+
+            def up_to(level: int) -> list[tuple[int, int]]:
+                return [(max(0, -(-(level - load) // weight)), i) for load, i in heap]
+
+            low, high = heap[0][0], heap[0][0] + weight * (count + 1)
+            while low < high:
+                level = (low + high + 1) // 2
+                low, high = (level, high) if sum(n for n, _ in up_to(level)) <= count else (low, level - 1)
+            dealt = up_to(low)
+            for n, i in dealt:
+                given[i] = n
+            heap = [(load + n * weight, i) for (load, i), (n, _) in zip(heap, dealt, strict=True)]
+            heapq.heapify(heap)
+            count -= sum(given)
+        for _ in range(count):
+            load, i = heap[0]
+            heapq.heapreplace(heap, (load + weight, i))
+            given[i] += 1
+        yield weight, given
 
 
 def place_groups(rows: DataFrame, shards: int, group_col: str = "group", size_col: str = "size") -> DataFrame:
     """``rows`` with ``shard`` (int): each group of ``group_col`` (binary, no nulls) is placed whole.
 
-    The heap and the two broadcast tables hold a bounded number of items whatever the input: groups
-    above 1/FINE of a shard by themselves, and bundles of the others that weigh what their groups
-    weigh. Sums are per group and task before anything moves, so a group of any size is cheap.
-    Repeated rows are rows of their group; an empty table gives no rows. ``rows`` is read twice, so
-    pass a written table.
+    What the heap sees is the histogram of group weights: the driver holds a row for each different
+    weight, of which n bytes have no more than the square root of 2 n. Groups of one weight are
+    told apart by their rank there, and find their shard by it. Sums are per group and task before
+    anything moves, so a group of any size is cheap. Repeated rows are rows of their group; an empty
+    table gives no rows. ``rows`` is read twice, so pass a written table.
     """
     spark = rows.sparkSession
-    sizes = written(rows.groupBy(group_col).agg(F.sum(size_col).alias("weight")), "group_sizes")
-    total = sizes.agg(F.sum("weight")).first()[0] or 0
-    large = F.col("weight") > F.lit(total / (FINE * shards))
-    alone = sizes.where(large).select(F.hex(group_col).alias("item"), "weight")
-    tied = sizes.where(~large).groupBy(_bundle(group_col).alias("item")).agg(F.sum("weight").alias("weight"))
-    items = alone.union(tied.select(F.col("item").cast("string"), "weight")).collect()
-    placed = longest_first([(weight, item) for item, weight in items], shards)
-    lone = {x: s for x, s in placed.items() if not x.startswith("-")}
-    lone_table = pa.table({"lone": pa.array([bytes.fromhex(x) for x in lone], pa.binary()), "lone_shard": pa.array(list(lone.values()), pa.int32())})
-    bundles = [(int(x), s) for x, s in placed.items() if x.startswith("-")]
-    bundle_table = pa.table({"tied": pa.array([x for x, _ in bundles], pa.int32()), "tied_shard": pa.array([s for _, s in bundles], pa.int32())})
-    return (
-        rows.join(F.broadcast(spark.createDataFrame(lone_table)), F.col(group_col) == F.col("lone"), "left")
-        .join(F.broadcast(spark.createDataFrame(bundle_table)), _bundle(group_col) == F.col("tied"), "left")
-        .select(*(rows[c] for c in rows.columns), F.coalesce("lone_shard", "tied_shard").alias("shard"))
+    of, to_shard = fresh(rows, "of_group"), fresh(rows, "to_shard")
+    sizes = rows.groupBy(F.col(group_col).alias(of)).agg(F.sum(size_col).cast("long").alias("weight"))
+    sizes = written(sizes, "group_sizes")
+    counted = sizes.groupBy("weight").agg(F.count("*").alias("n")).toArrow()
+    histogram = zip(counted["weight"].to_pylist(), counted["n"].to_pylist(), strict=True)
+    plan = [(weight, list(accumulate(given))) for weight, given in longest_first(histogram, shards)]
+    weights, until = pa.array([w for w, _ in plan], pa.int64()), pa.array([u for _, u in plan], pa.list_(pa.int64()))
+    ranks = ranked(sizes, ["weight"], [of], [of], salts_of(spark), "rank")
+    dealt = spark.createDataFrame(pa.table({"weight": weights, "until": until}))
+    # written, so that the join with a group of very many rows can be split
+    shard = F.size(F.filter("until", lambda x: x <= F.col("rank"))).alias(to_shard)
+    placed = written(ranks.join(dealt, "weight").select(of, shard), "group_shards")
+    return rows.join(placed, F.col(group_col) == F.col(of)).select(
+        *(rows[c] for c in rows.columns), F.col(to_shard).alias("shard")
     )
 
 
-def _bundle(group_col: str) -> Column:
-    """From -1 to -BUNDLES, so that no key in hexadecimal reads the same."""
-    return (-1 - F.pmod(F.xxhash64(group_col, F.lit("bundle")), F.lit(BUNDLES))).cast("int")
-
-
 def shard_documents(
     docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

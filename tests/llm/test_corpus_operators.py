@@ -1,6 +1,7 @@
 """Shards, neighbours, toxicity, the Jaccard join and the pipeline against brute force."""
 
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -49,13 +50,24 @@ def plain_components(edges, nodes=()):
     return {x: find(x) for x in root}
 
 
+def plain_longest_first(sizes, n):
+    loads = [0] * n
+    for size in sorted(sizes, reverse=True):
+        loads[loads.index(min(loads))] += size
+    return loads
+
+
 def test_longest_first():
-    sizes = [(7, "a"), (7, "b"), (6, "c"), (5, "d"), (4, "e"), (4, "f"), (3, "g")]
-    placed = shards.longest_first(sizes, 3)
-    loads = Counter()
-    for size, name in sizes:
-        loads[placed[name]] += size
-    assert sorted(loads.values()) == [11, 11, 14]
+    pick = np.random.default_rng(2)
+    cases = [[7, 7, 6, 5, 4, 4, 3], [1000] + [1] * 500, [50, 49] + [7] * 300 + [1] * 5, [], [3] * 24]
+    cases += [pick.integers(1, pick.integers(2, 40), pick.integers(1, 300)).tolist() for _ in range(60)]
+    for sizes in cases:
+        for n in (1, 3, 8):
+            loads, counts = [0] * n, Counter()
+            for weight, given in shards.longest_first(Counter(sizes).items(), n):
+                counts[weight] += sum(given)
+                loads = [load + weight * x for load, x in zip(loads, given, strict=True)]
+            assert counts == Counter(sizes) and sorted(loads) == sorted(plain_longest_first(sizes, n))
 
 
 def test_shards(spark, docs):
@@ -71,15 +83,15 @@ def test_shards(spark, docs):
     assert shards.shard_documents(documents(spark, [])).count() == 0
 
 
-def test_small_groups_are_bundled_evenly(spark, monkeypatch):
-    monkeypatch.setattr(shards, "FINE", 20)
-    monkeypatch.setattr(shards, "BUNDLES", 500)
-    rows = [(i, prose(i, 1 + i % 50), "a") for i in range(2000)] + [(5000 + i, "copy of one", "b") for i in range(300)]
+def test_small_groups_go_longest_first(spark):
+    rows = [(i, prose(i, 1 + i % 50), "a") for i in range(2000)] + [(5000 + i, "copy of one", "b") for i in range(900)]
     got = shards.shard_documents(documents(spark, rows), 8).collect()
-    loads = Counter()
+    loads, groups = Counter(), Counter()
     for r in got:
         loads[r.shard] += r.size
-    assert max(loads.values()) - min(loads.values()) < 0.02 * sum(loads.values()) / 8
+    for _, text, _ in rows:
+        groups[text] += len(text.encode()) + 1
+    assert sorted(loads.values()) == sorted(plain_longest_first(groups.values(), 8))
     assert len({r.shard for r in got if r.doc_id >= 5000}) == 1
 
 
@@ -267,6 +279,15 @@ def test_segments_are_all_maximal():
         assert all(abs(sum(scores[b:e]) - s) < 1e-9 for b, e, s in toxicity.segments(scores))
 
 
+def test_segments_take_linear_time():
+    pick = np.random.default_rng(1)
+    falling = pick.choice([-1.0, 0.5], 1_000_000, p=[0.6, 0.4]).tolist()
+    for scores in (falling, [1.0, -1.5] * 500_000, [1.0] * 1_000_000):
+        begin = time.process_time()
+        found = toxicity.segments(scores)
+        assert found and time.process_time() - begin < 10
+
+
 def plain_segments(scores, offset):
     """The best segment (shortest, leftmost of equals), then the same on both sides of it."""
     best = max(((sum(scores[i:j]), i - j, -i) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)), default=(0, 0, 0))
@@ -329,6 +350,21 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, SMALL).count() == len(new)
 
 
+def test_repeated_ids_are_documents_of_their_own(spark):
+    one, other, third = (prose(i, 80) for i in (1, 2, 3))
+    rows = [(1, one, "a"), (1, other, "b"), (1, one, "a"), (2, one, "c"), (3, third, "a"), (None, one, "a"), (None, one, "a"), (4, None, "a"), (4, "", "a")]
+    left = corpus_pipeline.near_duplicates(spark, documents(spark, rows), "")
+    assert left.columns == documents(spark).columns
+    got = Counter((r.doc_id, r.text or "") for r in left.collect())
+    assert got == Counter([(1, one), (1, other), (3, third), (None, one), (None, one), (4, "")])
+
+
+def test_pipeline_stages_are_the_five(spark):
+    assert [x for x, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "line dedup", "near duplicates", "secret scans", "packing",
+    ]
+
+
 def test_pipeline_on_odd_rows(spark, tmp_path):
     folder = f"file://{tmp_path}"
     documents(spark).write.parquet(f"{folder}/documents.parquet")
