@@ -10,8 +10,9 @@ from functools import lru_cache, partial
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from tallyhouse.llm.common import fresh, shared_path, table, written
+from tallyhouse.llm.common import byte_slices, fresh, shared_path, table, written
 
 
 @dataclass(frozen=True)
@@ -61,8 +62,12 @@ MORE = (
     Rule("prefixed", "(?:gh[pousr]_|glpat-|xox[abpr]-)[A-Za-z0-9_-]{20,}", 24, needs=_PREFIXES),
 )
 
+#: Bytes of text that are handled together.
+MOST = 1 << 22
+
 LEDGER = "blob string, kind string, version int"
 FINDINGS = "blob string, kind string, version int, start long, end long"
+PLACES = "path string, revision string, blob string"
 
 
 def spans(text: str, rule: Rule) -> list[tuple[int, int]]:
@@ -79,11 +84,11 @@ def _compiled(rule: Rule) -> re.Pattern:
 
 
 class BlobLedger:
-    """What was scanned, and what was found, as two Parquet tables that only grow.
+    """What was scanned, what was found and where contents stood, as Parquet tables that only grow.
 
-    ``scanned`` has a row for each pair of blob and rule version, ``findings`` one for each span. A
-    scan writes its findings first, so that one that breaks off is done again; the findings are
-    read distinct, so nothing counts twice.
+    ``scanned`` has a row for each pair of blob and rule version, ``findings`` one for each span,
+    ``places`` one for each path and revision of it that held a blob. A scan writes its findings
+    first, so that one that breaks off is done again; all are read distinct, so nothing counts twice.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -102,11 +107,29 @@ class BlobLedger:
     def findings(self) -> DataFrame:
         return self._read("findings", FINDINGS).distinct()
 
+    def places(self) -> DataFrame:
+        return self._read("places", PLACES).distinct()
+
+    def located(self) -> DataFrame:
+        """All findings at all paths and revisions that ever held their blobs, also ones long gone."""
+        return self.places().join(self.findings(), "blob")
+
+    def owed(self, rules: Sequence[Rule]) -> DataFrame:
+        """(blob, kind, version) of known contents that weren't scanned for a rule's present version."""
+        listed = F.array(*(_rule(i, x) for i, x in enumerate(rules)))
+        pairs = self.places().select("blob").distinct().select("blob", F.inline(listed)).drop("place")
+        return pairs.join(self.scanned(), ["blob", "kind", "version"], "left_anti")
+
     def scan(
-        self, docs: DataFrame, rules: Sequence[Rule], id_col: str = "doc_id", text_col: str = "text"
+        self, docs: DataFrame, rules: Sequence[Rule], id_col: str = "doc_id", text_col: str = "text",
+        revision_col: str | None = None,
     ) -> DataFrame:
         """Scan every pair of a content in ``docs`` and a rule version that the ledger doesn't have.
 
+        Each row is one revision of a path: ``id_col``, as text, names the path and ``revision_col`` its
+        revision (empty without it). ``places`` keeps them all, so that ``located`` tells of rows that
+        later scans don't get any more.
+
         Returns the rows of ``docs``, as (id, ``blob``, ``found``): ``found`` is the array of all
         spans (start, place, kind, end) of the given rules, sorted; ``place`` is the rule's place in
         ``rules``. A null text is the empty content; repeated rows stay; an empty table gives no
@@ -122,7 +145,13 @@ class BlobLedger:
             F.col(id_col).alias("id"),
             F.coalesce(text_col, F.lit("")).alias("text"),
             F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("blob"),
+            (F.lit("") if revision_col is None else F.col(revision_col).cast("string")).alias("revision"),
         )
+        here = texts.select(F.col("id").cast("string").alias("path"), "revision", "blob").distinct().alias("h")
+        known = [F.col(f"h.{c}").eqNullSafe(F.col(f"p.{c}")) for c in ("path", "revision", "blob")]
+        stood = self._read("places", PLACES).alias("p")
+        here.join(stood, known, "left_anti").write.mode("append").parquet(f"{self.path}/places")
+        texts = texts.drop("revision")
         listed = F.array(*(_rule(i, x) for i, x in enumerate(rules)))
         blobs = texts.groupBy("blob").agg(F.min("id").alias("id"))
         pairs = blobs.select("blob", "id", F.inline(listed))
@@ -130,7 +159,7 @@ class BlobLedger:
         todo = written(unseen.groupBy("blob", "id").agg(F.collect_set("kind").alias("kinds")), "todo")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (rows for whole in batches for rows in byte_slices(whole, 2, MOST)):
                 rows = []
                 for blob, kinds, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     for kind in kinds:
@@ -142,7 +171,7 @@ class BlobLedger:
                 )
 
         chosen = F.col("c.blob").eqNullSafe(F.col("t.blob")) & F.col("c.id").eqNullSafe(F.col("t.id"))
-        new = texts.alias("t").join(todo.alias("c").hint("shuffle_hash"), chosen)
+        new = texts.alias("t").join(todo.alias("c"), chosen)
         found = new.select("t.blob", "kinds", "text").mapInArrow(run, FINDINGS)
         found.write.mode("append").parquet(f"{self.path}/findings")
         versions = F.array(*(F.struct(F.lit(x.kind).alias("kind"), F.lit(x.version).alias("version")) for x in rules))
@@ -175,22 +204,27 @@ class BlobLedger:
         found = scanned.where(F.size("found") > 0).groupBy("blob").agg(F.first("found").alias("found"))
         blob, spans_found = fresh(docs, "found_in"), fresh(docs, "spans_found")
         found = written(found.select(F.col("blob").alias(blob), F.col("found").alias(spans_found)), "found")
-        text = F.col(text_col)
-        start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
+        text, there = F.col(text_col), F.col(spans_found).isNotNull()
+        # only texts with findings go to Python
+        clean = F.when(there, _masked(F.when(there, text), F.col(spans_found))).otherwise(text)
+        marked = docs.join(found, F.sha2(F.coalesce(text, F.lit("")), 256) == F.col(blob), "left")
+        return marked.select(*(clean.alias(c) if c == text_col else docs[c] for c in docs.columns))
 
-        def step(so_far: Column, span: Column) -> Column:
-            between = F.substring(text, (so_far["at"] + 1).cast("int"), (span["start"] - so_far["at"]).cast("int"))
-            put = F.concat(so_far["out"], between, F.lit("["), span["kind"], F.lit("]"))
-            further = F.struct(put.alias("out"), span["end"].alias("at"))
-            joined = F.struct(so_far["out"].alias("out"), F.greatest(so_far["at"], span["end"]).alias("at"))
-            return F.when(span["start"] >= so_far["at"], further).otherwise(joined)
 
-        def finish(end: Column) -> Column:
-            return F.concat(end["out"], F.substring(text, (end["at"] + 1).cast("int"), F.length(text)))
+def mask(text: str, found: list[dict]) -> str:
+    """``text`` with its sorted spans replaced; those that overlap together, by the first one's kind."""
+    out, at = [], 0
+    for span in found:
+        if span["start"] >= at:
+            out += [text[at : span["start"]], f"[{span['kind']}]"]
+        at = max(at, span["end"])
+    return "".join([*out, text[at:]])
 
-        clean = F.when(F.col(spans_found).isNull(), text).otherwise(F.aggregate(spans_found, start, step, finish))
-        marked = docs.join(found, F.sha2(F.coalesce(text, F.lit("")), 256) == F.col(blob), "left")
-        return marked.select(*(clean.alias(c) if c == text_col else docs[c] for c in docs.columns))
+
+@F.arrow_udf(StringType())
+def _masked(text: pa.Array, found: pa.Array) -> pa.Array:
+    both = ((t.as_py(), s.as_py()) for t, s in zip(text, found, strict=True))
+    return pa.array([None if t is None or s is None else mask(t, s) for t, s in both], pa.string())
 
 
 def _rule(place: int, rule: Rule) -> Column:

@@ -164,6 +164,45 @@ def test_ledger_scans_each_blob_and_rule_version_once(spark, folder):
     assert ledger.scan(documents(spark, []), secrets.BASE).count() == 0
 
 
+def test_findings_join_back_to_all_paths_and_revisions(spark, folder):
+    ledger = secrets.BlobLedger(spark, f"{folder}/ledger")
+    schema = "file string, commit string, text string, revision int"
+    old = [("a", "c1", "token=abcdef1", 5), ("b", "c1", "token=abcdef1", 5), ("a", "c2", "clean", 5), (None, None, None, 5)]
+    ledger.scan(spark.createDataFrame(old, schema), secrets.BASE, "file", "text", "commit").count()
+    new = [("a", "c3", "clean", 5), ("c", "c3", "token=abcdef1", 5), ("a", "c2", "clean", 5)]
+    ledger.scan(spark.createDataFrame(new, schema), secrets.BASE, "file", "text", "commit").count()
+    got = {(r.path, r.revision, r.kind, r.start, r.end) for r in ledger.located().collect()}
+    assert got == {(p, c, "assign", 0, 13) for p, c in (("a", "c1"), ("b", "c1"), ("c", "c3"))}
+    assert ledger.places().count() == spark.read.parquet(f"{folder}/ledger/places").count() == 6
+    assert ledger.owed(secrets.BASE).count() == 0
+    newer = [*secrets.BASE[1:], secrets.Rule("assign", "clean", 1, version=2)]
+    assert ledger.owed(newer).select("kind", "version").distinct().collect() == [("assign", 2)]
+    assert ledger.owed(newer).count() == 3
+
+
+def test_one_new_document_moves_no_other_text(spark, folder, docs):
+    ledger = secrets.BlobLedger(spark, f"{folder}/ledger")
+    ledger.scan(docs, secrets.BASE).count()
+    more = docs.unionByName(documents(spark, [(900, "token=abcdef1", "a")]))
+    plans = []
+    given = type(docs).mapInArrow
+
+    def noted(self, *args, **kwargs):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return given(self, *args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(docs), "mapInArrow", noted)
+        found = ledger.scan(more, secrets.BASE)
+    assert {r.doc_id: len(r.found) for r in found.collect()}[900] == 1
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0] and "Exchange hashpartitioning" not in plans[0]
+
+
+def test_masking_many_spans_takes_linear_time():
+    found = [{"start": 30 * i, "end": 30 * i + 24, "kind": "hex"} for i in range(100_000)]
+    assert secrets.mask("x" * 3_000_000, found) == "[hex]xxxxxx" * 100_000
+
+
 def test_redaction_leaves_no_span(docs, spark, folder):
     ledger = secrets.BlobLedger(spark, f"{folder}/ledger")
     out = ledger.redact(docs, secrets.BASE)
