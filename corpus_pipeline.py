@@ -1,5 +1,5 @@
 """From documents to packed training sequences: toxic texts out, boilerplate lines out, one of each
-group of near copies, secrets masked, passages that others repeat out, the rest packed."""
+group of near copies, secrets masked, the rest packed."""
 
 from __future__ import annotations
 
@@ -11,7 +11,6 @@ from tallyhouse.llm.common import fresh, shared_path, table, written
 from tallyhouse.llm.jaccard import Rule, jaccard_components
 from tallyhouse.llm.lines import without_boilerplate
 from tallyhouse.llm.packing import pack, token_pieces
-from tallyhouse.llm.passages import without_passages
 from tallyhouse.llm.secrets import BASE, KEY_MARK, MORE, BlobLedger
 from tallyhouse.llm.toxicity import fit, without_toxic
 
@@ -39,14 +38,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of documents alike in their five-word shingles the smallest doc_id stays.
+    """Of each component of documents alike in their five-word shingles the first stays.
 
-    Rows that repeat a doc_id are one document and stay once; those without any stay all.
+    That is the one of the smallest doc_id, and of unlike texts under that id the one whose text has
+    the smallest hash. Documents without an id stay all. Unlike texts that share a doc_id are
+    documents of their own, rows that repeat an id and a text are one document.
     """
-    groups = jaccard_components(docs, Rule(words=5, num=80, den=100))
-    stays, kept = fresh(docs, "stays"), written(groups.where("doc_id = component_id"), "kept")
-    named = docs.join(kept.select(F.col("doc_id").alias(stays)).distinct(), F.col("doc_id") == F.col(stays))
-    return named.drop(stays).dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    doc, of_text = fresh(docs, "doc"), fresh(docs, "of_text")
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    named = docs.where("doc_id is not null").select("doc_id", "text", F.struct("doc_id", text_hash.alias("of_text")).alias(doc))
+    groups = jaccard_components(named.select(F.col(doc).alias("doc_id"), "text"), Rule(words=5, num=80, den=100))
+    first = groups.where("doc_id = component_id").select("doc_id.*").distinct()
+    kept = written(first.select(F.col("doc_id").alias(doc), F.col("of_text").alias(of_text)), "kept")
+    left = docs.join(kept, (F.col("doc_id") == F.col(doc)) & (text_hash == F.col(of_text)))
+    return left.dropDuplicates([doc, of_text]).drop(doc, of_text).unionByName(docs.where("doc_id is null"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,18 +60,6 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _same_columns(ledger.redact(docs, [*BASE, *MORE]), docs)
 
 
-def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of over 50 words go but from the first document that has them, and texts that lose all.
-
-    This comes behind the near copies, whose remains would be no copies any more, and behind the
-    secrets, whose marks a passage may end with.
-    """
-    removed = without_passages(docs)
-    n_cut = removed[removed.columns[-1]]
-    left = removed.where((n_cut == 0) | (F.trim("text") != "") | F.col("text").isNull())
-    return _same_columns(left, docs)
-
-
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' ids and their places in sequences of 1024."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,7 +71,6 @@ STAGES = [
     ("line dedup", line_dedup),
     ("near duplicates", near_duplicates),
     ("secret scans", secrets),
-    ("repeated passages", repeated_passages),
     ("packing", packing),
 ]
 
