@@ -249,7 +249,8 @@ def _sets(texts: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -
     chosen = written(classes.join(wanted, "k", "left_semi").select("k", "key", "rep", "of_text"), "chosen")
     # by its hash and id a text meets its own class alone, whatever ids are repeated or null
     same = (F.xxhash64("text") == F.col("of_text")) & F.col("id").eqNullSafe(F.col("rep"))
-    own = texts.join(chosen, same).select("key", "text")
+    # sorted, so that classes of any number fit
+    own = texts.join(chosen.hint("merge"), same).select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()

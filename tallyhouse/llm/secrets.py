@@ -136,7 +136,9 @@ class BlobLedger:
         rows; other columns are not looked at.
 
         Only ids and addresses are grouped, one row of each content is chosen, and its text alone
-        goes to the scan; where few contents are new Spark broadcasts that list, and no text moves.
+        goes to the scan. Where most contents are new, as in a first scan, their texts move to meet
+        their addresses, sorted, so that any number fits; where few are, Spark is free to broadcast
+        the addresses if they are small, and then no text moves.
         """
         if len({x.kind for x in rules}) < len(rules):
             raise ValueError("rules must be of different kinds")
@@ -171,7 +173,9 @@ class BlobLedger:
                 )
 
         chosen = F.col("c.blob").eqNullSafe(F.col("t.blob")) & F.col("c.id").eqNullSafe(F.col("t.id"))
-        new = texts.alias("t").join(todo.alias("c"), chosen)
+        mostly_new = 2 * todo.count() > blobs.count()
+        picked = todo.hint("merge") if mostly_new else todo
+        new = texts.alias("t").join(picked.alias("c"), chosen)
         found = new.select("t.blob", "kinds", "text").mapInArrow(run, FINDINGS)
         found.write.mode("append").parquet(f"{self.path}/findings")
         versions = F.array(*(F.struct(F.lit(x.kind).alias("kind"), F.lit(x.version).alias("version")) for x in rules))
@@ -207,7 +211,8 @@ class BlobLedger:
         text, there = F.col(text_col), F.col(spans_found).isNotNull()
         # only texts with findings go to Python
         clean = F.when(there, _masked(F.when(there, text), F.col(spans_found))).otherwise(text)
-        marked = docs.join(found, F.sha2(F.coalesce(text, F.lit("")), 256) == F.col(blob), "left")
+        # sorted, not broadcast below some size: a plan that is the same for any number of findings
+        marked = docs.join(found.hint("merge"), F.sha2(F.coalesce(text, F.lit("")), 256) == F.col(blob), "left")
         return marked.select(*(clean.alias(c) if c == text_col else docs[c] for c in docs.columns))
 
 
