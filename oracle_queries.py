@@ -718,6 +718,15 @@ ORACLE: dict[str, str] = {
     "refresh_together_status": per_view(
         "true AS successful, COUNT(*) AS row_count, CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue"
     ),
+    "touched_daily_sales_summary": views("SELECT * FROM mv1", MV1),
+    "touched_monthly_sales_by_category": views("SELECT * FROM mv2", MV2),
+    "touched_top_products_by_revenue": views("SELECT * FROM mv3", MV3),
+    "touched_weekly_sales_trends": views("SELECT * FROM mv4", MV4),
+    "touched_quarterly_sales_summary": views("SELECT * FROM mv5", MV5),
+    "touched_daily_sales_by_product": views("SELECT * FROM mv6", MV6),
+    "touched_status": per_view(
+        "true AS successful, COUNT(*) AS row_count, CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue"
+    ),
     "view_info": per_view('true AS "exists", COUNT(*) AS row_count'),
     "verify_views": per_view(
         'true AS "exists", COUNT(*) AS row_count, COUNT(*) > 0 AS has_data, true AS queryable, '

@@ -94,6 +94,46 @@ def top_products_by_revenue(star: Star) -> DataFrame:
         ],
         TRANSACTIONS,
     )
+    return _labelled_products(sold, star)
+
+
+def product_months(star: Star) -> DataFrame:
+    """What each month adds to :func:`top_products_by_revenue`: sums, counts and extremes that merge."""
+    return group_with_distincts(
+        star.fact,
+        ["month_id", "product_id", "retailer_id"],
+        [
+            F.count("*").alias("transaction_count"),
+            F.sum("quantity").alias("total_quantity_sold"),
+            total("total_amount").alias("total_revenue"),
+            F.sum("unit_price").alias("price_sum"),
+            F.count("unit_price").alias("price_count"),
+            F.min("unit_price").alias("min_unit_price"),
+            F.max("unit_price").alias("max_unit_price"),
+        ],
+        TRANSACTIONS,
+    )
+
+
+def top_products_of_months(months: DataFrame, star: Star) -> DataFrame:
+    """:func:`top_products_by_revenue` from :func:`product_months`.
+
+    A transaction has a product once per retailer, as the loads see to, so the months' counts of
+    transactions add up.
+    """
+    sold = months.groupBy("product_id", "retailer_id").agg(
+        F.sum("transaction_count").alias("transaction_count"),
+        F.sum("unique_transactions").alias("unique_transactions"),
+        F.sum("total_quantity_sold").alias("total_quantity_sold"),
+        F.sum("total_revenue").cast("decimal(20,2)").alias("total_revenue"),
+        F.try_divide(F.sum("price_sum").cast("double"), F.sum("price_count")).alias("avg_unit_price"),
+        F.min("min_unit_price").alias("min_unit_price"),
+        F.max("max_unit_price").alias("max_unit_price"),
+    )
+    return _labelled_products(sold, star)
+
+
+def _labelled_products(sold: DataFrame, star: Star) -> DataFrame:
     products = star.products.select("product_id", "product_sku", "product_name", "category")
     return _with_retailer_name(sold.join(products, "product_id"), star).select(
         "product_id", "product_sku", "product_name", "category", "retailer_id", "retailer_name",

@@ -16,7 +16,7 @@ from tallyhouse.operators.normalize import (
     normalize_table,
     serializable,
 )
-from tallyhouse.plans.refresh import refresh_all
+from tallyhouse.plans.refresh import PRODUCT_MONTHS, months_of_changed, refresh_all, refresh_months
 from tallyhouse.plans.store import TableStore
 from tallyhouse.schemas import FEED_BY_CODE, Star
 from tallyhouse.sources import feeds, landing
@@ -74,13 +74,15 @@ def land_feeds(
 class LoadResult:
     """What a load did: the star schema after it, the records with their status, the counters.
 
-    ``rejected_files`` (file, retailer, file_date, reason) are those that gave no record at all.
+    ``rejected_files`` (file, retailer, file_date, reason) are those that gave no record at all;
+    ``touched_months`` (yyyymm) those with new facts, or with sales of products that changed.
     """
 
     star: Star
     records: DataFrame
     counters: DataFrame
     rejected_files: DataFrame | None = None
+    touched_months: frozenset[int] = frozenset()
 
 
 @dataclass(frozen=True)
@@ -113,7 +115,8 @@ def load_records(store: TableStore, records: DataFrame, load_ts: Column) -> Load
         store.append(f"dim_{name}", new)
 
     add("dates", dims.new_dates(valid, existing("dates"), load_ts))
-    store.write("dim_products", dims.upsert_products(named, existing("products"), load_ts))
+    known = existing("products")
+    products = store.write("dim_products", dims.upsert_products(named, known, load_ts))
     add("customers", dims.new_customers(named, existing("customers"), load_ts))
     add("stores", dims.new_stores(named, existing("stores"), load_ts))
     if existing("retailers") is None:
@@ -122,13 +125,16 @@ def load_records(store: TableStore, records: DataFrame, load_ts: Column) -> Load
     before = store.read_if_exists("fact_sales")
     new = facts.laid_out(facts.new_facts(valid, star, before, load_ts))
     seen = Observation()  # counts the rows while they are written
-    store.append("fact_sales", new.observe(seen, F.count("*").alias("inserted")), ["month_id"])
+    counted = [F.count("*").alias("inserted"), F.collect_set("month_id").alias("months")]
+    store.append("fact_sales", new.observe(seen, *counted), ["month_id"])
+    touched = {*(seen.get.get("months") or []), *months_of_changed(known, products, store)}
     for table in ("staged", "dim_products"):
         store.drop_old(table)
     return LoadResult(
         star=read_star(store),
         records=records,
         counters=facts.load_counters(records, star, seen.get.get("inserted", 0)),
+        touched_months=frozenset(touched),
     )
 
 
@@ -179,4 +185,8 @@ def run_daily(
     failed = land_feeds(tables, root, day)
     loaded = load_day(spark, store, root, day, stamp, without=failed)
     quality.require_passed(quality.run_all_checks(loaded.star, day, day, as_of))
-    return DailyResult(failed, loaded, refresh_all(loaded.star, store))
+    if store.exists(PRODUCT_MONTHS):
+        return DailyResult(failed, loaded, refresh_months(loaded.star, store, loaded.touched_months))
+    refreshed = refresh_all(loaded.star, store)
+    refresh_months(loaded.star, store, ())  # the parts by month, for the next run
+    return DailyResult(failed, loaded, refreshed)

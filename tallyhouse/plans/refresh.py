@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.rollups import ROLLUPS
+from tallyhouse.operators.rollups import ROLLUPS, product_months, top_products_of_months
 from tallyhouse.plans.store import TableStore
 from tallyhouse.schemas import Star
 
 # The rollup that grows with days and products is kept by month, so that reports on recent days
 # read only those; the others are small.
 BY_MONTH = ("mv_daily_sales_by_product",)
+# Rollups of months and of quarters: a month that is touched changes no row of another period.
+MONTHLY = ("mv_daily_sales_summary", "mv_monthly_sales_by_category")
+QUARTERLY = ("mv_weekly_sales_trends", "mv_quarterly_sales_summary")
+# What each month adds to the rollup over all time, kept by month.
+PRODUCT_MONTHS, ALL_TIME = "part_product_months", "mv_top_products_by_revenue"
 STATUS = "view_name string, successful boolean, error string"
 
 
@@ -64,6 +70,86 @@ def refresh_all(star: Star, store: TableStore) -> DataFrame:
     return store.spark.createDataFrame(status, STATUS)
 
 
+def _facts_of(star: Star, months: Collection[int]) -> Star:
+    return replace(star, fact=star.fact.where(F.col("month_id").isin(sorted(months))))
+
+
+def _quarter(month: int) -> tuple[int, int]:
+    return month // 100, (month % 100 + 2) // 3
+
+
+def _fold(star: Star, store: TableStore, name: str, months: Collection[int]) -> None:
+    """Rows of the touched periods computed anew, beside the others as they are.
+
+    These rollups have a row for each day, week or category and retailer, so they are written whole.
+    """
+    if name in MONTHLY:
+        codes, code = set(months), F.col("year") * 100 + F.col("month")
+    else:
+        quarters = {_quarter(x) for x in months}
+        codes, code = {y * 10 + q for y, q in quarters}, F.col("year") * 10 + F.col("quarter")
+        months = {y * 100 + 3 * q - i for y, q in quarters for i in range(3)}
+    kept = store.read(name).where(~code.isin(sorted(codes)))
+    store.write(name, kept.unionByName(ROLLUPS[name](_facts_of(star, months))).hint("rebalance"))
+
+
+def _swap_by_month(star: Star, store: TableStore, name: str, months: Collection[int]) -> None:
+    """The touched months' partitions computed anew; no other file is read or written."""
+    by = ["year", "month"]
+    rows = ROLLUPS[name](_facts_of(star, months)).hint("rebalance", *by)
+    store.replace_parts(name, rows, by, [divmod(x, 100) for x in months])
+
+
+def _merge_months(star: Star, store: TableStore, name: str, months: Collection[int]) -> None:
+    """The touched months' parts computed anew, and all months' parts merged."""
+    if store.exists(PRODUCT_MONTHS):
+        rows = product_months(_facts_of(star, months)).hint("rebalance", "month_id")
+        store.replace_parts(PRODUCT_MONTHS, rows, ["month_id"], [(x,) for x in months])
+    else:
+        store.write(PRODUCT_MONTHS, product_months(star).hint("rebalance", "month_id"), ["month_id"])
+    store.write(name, top_products_of_months(store.read(PRODUCT_MONTHS), star))
+    store.drop_old(PRODUCT_MONTHS)
+
+
+def refresh_months(star: Star, store: TableStore, months: Collection[int]) -> DataFrame:
+    """Bring every rollup up to date when only facts of ``months`` (yyyymm) changed; a status row each.
+
+    Facts of these months are read, and of their quarters for the rollups by week and quarter. A
+    rollup that isn't there yet is computed whole, and one that fails keeps its previous version, as
+    in :func:`refresh_all`. Without a month nothing is done.
+    """
+    status: list[tuple[str, bool, str | None]] = []
+    for name in ROLLUPS:
+        try:
+            if not store.exists(name):
+                write_rollup(star, store, name)
+            if name == ALL_TIME and (months or not store.exists(PRODUCT_MONTHS)):
+                _merge_months(star, store, name, months)
+            elif months:
+                (_swap_by_month if name in BY_MONTH else _fold)(star, store, name, months)
+            store.drop_old(name)
+            status.append((name, True, None))
+        except Exception as error:  # any failure is reported, and raised below
+            status.append((name, False, str(error).splitlines()[0]))
+    if not all(ok for _, ok, _ in status):
+        raise RefreshFailed(status)
+    return store.spark.createDataFrame(status, STATUS)
+
+
+def months_of_changed(before: DataFrame | None, after: DataFrame, store: TableStore) -> set[int]:
+    """The months that have sales of products whose name or category changed: rollups show both."""
+    if before is None or not store.exists(PRODUCT_MONTHS):
+        return set()
+    labels = ("product_name", "category")
+    old = before.select("product_id", *(F.col(c).alias(f"old_{c}") for c in labels))
+    same = F.lit(True)
+    for c in labels:
+        same = same & F.col(c).eqNullSafe(F.col(f"old_{c}"))
+    changed = after.join(old, "product_id").where(~same).select("product_id")
+    sold = store.read(PRODUCT_MONTHS).join(changed, "product_id", "left_semi")
+    return {x.month_id for x in sold.select("month_id").distinct().collect()}  # as many as months
+
+
 def refresh_together(star: Star, store: TableStore) -> DataFrame:
     """Refresh every rollup or none: all are computed first, and shown when all are there.
 

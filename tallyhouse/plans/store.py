@@ -4,6 +4,9 @@ Spark cannot overwrite a path it is reading, so every write goes to a new folder
 ``root/table/version`` and the newest folder whose job finished (it has ``_SUCCESS``) is the
 table. A lost executor costs only task retries; a lost job leaves the previous version in place. The schema
 is kept beside the files, so a partitioned table without rows, which has no file, reads as empty.
+
+A version need not hold all its files: ``replace_parts`` writes the partitions that change and a
+manifest that names them and the older versions' folders of all others.
 """
 
 from __future__ import annotations
@@ -11,10 +14,10 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 
 class TableStore:
@@ -58,39 +61,98 @@ class TableStore:
         path = self.path(table)
         if path is None:
             raise LookupError(f"no such table: {table}")
-        schema = self._schema(path)
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(path)
-
-    def _schema(self, path: str) -> StructType | None:
-        fs, file = self._fs(f"{path}/_schema.json")
-        if not fs.exists(file):
+        return self._read(table, path)
+
+    def _read(self, table: str, path: str) -> DataFrame:
+        schema, parts = self._schema(path), self._manifest(path)
+        if parts is None:
+            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+            return reader.parquet(path)
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/{table}"
+        # the version's name is a partition column like the others, so partitions are still pruned
+        wide = StructType([*schema.fields]).add("v", StringType())
+        files = self.spark.read.option("basePath", base).schema(wide).parquet(*(f"{base}/{x}" for x in parts))
+        return files.select(*schema.names)
+
+    def _json(self, file: str):
+        fs, there = self._fs(file)
+        if not fs.exists(there):
             return None
-        stream = fs.open(file)
+        stream = fs.open(there)
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return StructType.fromJson(json.loads(text))
 
-    def _keep_schema(self, path: str, schema: StructType) -> None:
-        fs, file = self._fs(f"{path}/_schema.json")
-        stream = fs.create(file, True)
+    def _put(self, file: str, content: str) -> None:
+        fs, there = self._fs(file)
+        stream = fs.create(there, True)
         try:
-            stream.write(schema.json().encode())
+            stream.write(content.encode())
         finally:
             stream.close()
 
+    def _schema(self, path: str) -> StructType | None:
+        found = self._json(f"{path}/_schema.json")
+        return None if found is None else StructType.fromJson(found)
+
+    def _keep_schema(self, path: str, schema: StructType) -> None:
+        self._put(f"{path}/_schema.json", schema.json())
+
+    def _manifest(self, path: str) -> list[str] | None:
+        """The partitions' folders, from the table's on, of a version that names them."""
+        return self._json(f"{path}/_manifest.json")
+
+    def _listed(self, path: str, depth: int) -> list[str]:
+        """The same, of the partitions that lie in the version's own folder."""
+        fs, pattern = self._fs("/".join([path, *["*=*"] * depth]))
+        version = path.rsplit("/", 1)[1]
+        folders = [x.getPath().toString().rsplit("/", depth)[1:] for x in fs.globStatus(pattern) or []]
+        return sorted("/".join([version, *x]) for x in folders)
+
+    def _parts(self, path: str, depth: int) -> list[str]:
+        found = self._manifest(path)
+        return self._listed(path, depth) if found is None else found
+
     def read_if_exists(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
 
     def write(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write a new version and return it as read back."""
-        path = f"{self.root}/{table}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        path = self._new_path(table)
         df.write.partitionBy(*partition_by).parquet(path)
         self._keep_schema(path, df.schema)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _new_path(self, table: str) -> str:
+        return f"{self.root}/{table}/v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+    def replace_parts(
+        self, table: str, df: DataFrame, partition_by: Sequence[str], replaced: Collection[tuple]
+    ) -> DataFrame:
+        """A new version in which ``df`` stands for the partitions ``replaced`` (values of ``partition_by``).
+
+        ``df`` has rows of these partitions alone. No file of another partition is read or written.
+        """
+        before = self.path(table)
+        if before is None:
+            return self.write(table, df, partition_by)
+        path, depth = self._new_path(table), len(partition_by)
+        # not shown before its manifest is there
+        unmarked = df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        unmarked.partitionBy(*partition_by).parquet(path)
+        gone = {"/".join(f"{c}={x}" for c, x in zip(partition_by, values, strict=True)) for values in replaced}
+        kept = [x for x in self._parts(before, depth) if x.split("/", 1)[1] not in gone]
+        new = self._listed(path, depth)
+        if {x.split("/", 1)[1] for x in new} - gone:
+            raise ValueError(f"rows of other partitions of {table}: {sorted(set(new) - gone)[:3]}")
+        self._keep_schema(path, df.schema)
+        self._put(f"{path}/_manifest.json", json.dumps([*kept, *new]))
+        self._put(f"{path}/_SUCCESS", "")
+        return self._read(table, path)
+
     def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Add rows to the current version, or start the table."""
         path = self.path(table)
@@ -104,10 +166,19 @@ class TableStore:
         return PendingTables(self)
 
     def drop_old(self, table: str, keep: int = 2) -> None:
-        """Delete all but the newest versions; the one before may still be read."""
-        for path in self.versions(table)[:-keep]:
-            fs, folder = self._fs(path)
-            fs.delete(folder, True)
+        """Delete all but the newest versions; the one before may still be read.
+
+        Of an older version the partitions stay that one of these still names.
+        """
+        versions = self.versions(table)
+        named = {x for path in versions[-keep:] for x in self._manifest(path) or []}
+        for path in versions[:-keep]:
+            version = path.rsplit("/", 1)[1]
+            used = {x for x in named if x.split("/", 1)[0] == version}
+            depth = next(iter(used)).count("/") if used else 0
+            for part in set(self._listed(path, depth)) - used if used else [version]:
+                fs, folder = self._fs(f"{self.root}/{table}/{part}")
+                fs.delete(folder, True)
 
 
 class PendingTables(TableStore):
