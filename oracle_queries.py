@@ -724,6 +724,7 @@ ORACLE: dict[str, str] = {
     "touched_weekly_sales_trends": views("SELECT * FROM mv4", MV4),
     "touched_quarterly_sales_summary": views("SELECT * FROM mv5", MV5),
     "touched_daily_sales_by_product": views("SELECT * FROM mv6", MV6),
+    "touched_sales_summary": summary("true"),
     "touched_status": per_view(
         "true AS successful, COUNT(*) AS row_count, CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue"
     ),

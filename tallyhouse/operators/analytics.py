@@ -17,6 +17,7 @@ from tallyhouse.operators.aggregate import (
     products_per_group,
     total_with_distincts,
 )
+from tallyhouse.operators.members import Members, count_members
 from tallyhouse.schemas import Star
 
 Day = dt.date | str
@@ -67,25 +68,31 @@ def sales_between(
     return fact.join(F.broadcast(columns), "date_id")
 
 
-def sales_summary(star: Star, start: Day, end: Day, retailer_id: int | None = None) -> DataFrame:
-    """One row of totals, extremes and distinct counts."""
-    return total_with_distincts(
-        sales_between(star, start, end, retailer_id),
-        [
-            F.count("*").alias("total_line_items"),
-            F.sum("quantity").alias("total_quantity"),
-            total("total_amount").alias("total_revenue"),
-            mean("total_amount").alias("avg_transaction_amount"),
-            F.min("total_amount").alias("min_transaction_amount"),
-            F.max("total_amount").alias("max_transaction_amount"),
-        ],
-        {
-            "total_transactions": "transaction_id",
-            "unique_products": "product_id",
-            "unique_customers": "customer_id",
-            "unique_stores": "store_id",
-        },
-    )
+def sales_summary(
+    star: Star, start: Day, end: Day, retailer_id: int | None = None, members: Members | None = None
+) -> DataFrame:
+    """One row of totals, extremes and distinct counts.
+
+    With ``members`` the facts are read once, for the measures and transactions; products, customers
+    and stores are counted from the bitmaps of the range's months and days.
+    """
+    lines = sales_between(star, start, end, retailer_id)
+    measures = [
+        F.count("*").alias("total_line_items"),
+        F.sum("quantity").alias("total_quantity"),
+        total("total_amount").alias("total_revenue"),
+        mean("total_amount").alias("avg_transaction_amount"),
+        F.min("total_amount").alias("min_transaction_amount"),
+        F.max("total_amount").alias("max_transaction_amount"),
+    ]
+    transactions = {"total_transactions": "transaction_id"}
+    uniques = {"unique_products": "product_id", "unique_customers": "customer_id", "unique_stores": "store_id"}
+    if members is None:
+        return total_with_distincts(lines, measures, transactions | uniques)
+    counted = count_members(members.between(as_day(start), as_day(end), retailer_id))
+    found = counted.select(F.struct(*uniques)).scalar()
+    out = total_with_distincts(lines, measures, transactions).withColumn("_found", found)
+    return out.select("*", *(F.col(f"_found.{x}").alias(x) for x in uniques)).drop("_found")
 
 
 def top_products(
@@ -190,23 +197,24 @@ def sales_by_category(
     )
 
 
-def retailer_performance(star: Star, start: Day, end: Day) -> DataFrame:
-    """Per retailer with its share of all revenue."""
-    lines = sales_between(star, start, end)
+def retailer_performance(star: Star, start: Day, end: Day, members: Members | None = None) -> DataFrame:
+    """Per retailer with its share of all revenue; ``members`` as in :func:`sales_summary`."""
+    transactions = {"transaction_count": "transaction_id"}
+    uniques = {"unique_products": "product_id", "unique_customers": "customer_id"}
     grouped = group_with_distincts(
-        lines,
+        sales_between(star, start, end),
         ["retailer_id"],
         [
             total("total_amount").alias("total_revenue"),
             F.sum("quantity").alias("total_quantity"),
             mean("total_amount").alias("avg_transaction_amount"),
         ],
-        {
-            "transaction_count": "transaction_id",
-            "unique_products": "product_id",
-            "unique_customers": "customer_id",
-        },
+        transactions if members is not None else transactions | uniques,
     )
+    if members is not None:
+        counted = count_members(members.between(as_day(start), as_day(end)), ["retailer_id"])
+        # a retailer all of whose keys are null has no bitmap
+        grouped = grouped.join(counted.drop("unique_stores"), "retailer_id", "left").fillna(0, list(uniques))
     return (
         grouped.join(star.retailers.select("retailer_id", "retailer_name"), "retailer_id")
         .withColumn("revenue_percentage", share(F.col("total_revenue"), _all_rows("total_revenue")))

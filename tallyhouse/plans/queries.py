@@ -462,6 +462,16 @@ def _star(function: Callable, *args) -> Query:
     return lambda spark, folder: function(warehouse(spark, folder).star, *args)
 
 
+def _counted(function: Callable, *args) -> Query:
+    """With the bitmaps of daily keys."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        wh = warehouse(spark, folder)
+        return function(wh.star, *args, members=wh.members)
+
+    return run
+
+
 def _views(function: Callable, *args) -> Query:
     return lambda spark, folder: function(warehouse(spark, folder).views, *args)
 
@@ -518,6 +528,7 @@ def _touched(spark: SparkSession, folder: str) -> TableStore:
             early = replace(star, fact=star.fact.where(~late))
             refresh.refresh_all(early, store)
             refresh.refresh_months(early, store, ())
+            refresh.write_members(early, store)
             refresh.refresh_months(star, store, [newest, newest - 100])
             store.write("done", spark.range(1))
     return store
@@ -600,13 +611,16 @@ _QUERIES: dict[str, Query] = {
     "refresh_all_status": refresh_all_status,
     "refresh_together_status": refresh_together_status,
     **{f"touched_{name}": _touched_rollup(f"mv_{name}") for name in TOUCHED_ROLLUPS},
+    "touched_sales_summary": lambda spark, folder: fn.sales_summary(
+        warehouse(spark, folder).star, *SPAN, members=refresh.read_members(_touched(spark, folder))
+    ),
     "touched_status": lambda spark, folder: refresh.refresh_status(_touched(spark, folder)),
     "view_info": _refreshed(lambda wh: refresh.view_info(wh.store)),
     "verify_views": _refreshed(lambda wh: refresh.verify_views(wh.store)),
     "view_row_counts": _refreshed(lambda wh: refresh.view_row_counts(wh.store)),
     # parameterised analytics
-    "sales_summary": _star(fn.sales_summary, *SPAN),
-    "sales_summary_retailer": _star(fn.sales_summary, *SPAN, 2),
+    "sales_summary": _counted(fn.sales_summary, *SPAN),
+    "sales_summary_retailer": _counted(fn.sales_summary, *SPAN, 2),
     "top_products": _star(fn.top_products, *SPAN, 10),
     "top_products_retailer": _star(fn.top_products, *SPAN, 25, 3),
     "sales_trends_daily": _star(fn.sales_trends, *SPAN, "daily"),
@@ -616,14 +630,14 @@ _QUERIES: dict[str, Query] = {
     "sales_trends_retailer": _star(fn.sales_trends, *SPAN, "weekly", 1),
     "sales_by_category": _star(fn.sales_by_category, *SPAN),
     "sales_by_category_retailer": _star(fn.sales_by_category, *SPAN, 1),
-    "retailer_performance": _star(fn.retailer_performance, *SPAN),
+    "retailer_performance": _counted(fn.retailer_performance, *SPAN),
     "recent_sales": _star(fn.recent_sales, AS_OF, 7),
     # the same over the days, weeks and months before today
-    "sales_summary_30d": _star(fn.sales_summary, *_last(30)),
+    "sales_summary_30d": _counted(fn.sales_summary, *_last(30)),
     "top_products_90d": _star(fn.top_products, *_last(90), 20),
     "sales_trends_90d": _star(fn.sales_trends, *_last(90), "weekly"),
     "sales_by_category_90d": _star(fn.sales_by_category, *_last(90)),
-    "retailer_performance_30d": _star(fn.retailer_performance, *_last(30)),
+    "retailer_performance_30d": _counted(fn.retailer_performance, *_last(30)),
     "dq_report_30d": _star(quality.quality_report, *_last(30)),
     "dq_summary_30d": _star(quality.quality_summary, *_last(30)),
     "database_statistics": _star(fn.database_statistics),

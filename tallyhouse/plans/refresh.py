@@ -8,6 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.members import Members, daily_members, monthly_members
 from tallyhouse.operators.rollups import ROLLUPS, product_months, top_products_of_months
 from tallyhouse.plans.store import TableStore
 from tallyhouse.schemas import Star
@@ -20,6 +21,8 @@ MONTHLY = ("mv_daily_sales_summary", "mv_monthly_sales_by_category")
 QUARTERLY = ("mv_weekly_sales_trends", "mv_quarterly_sales_summary")
 # What each month adds to the rollup over all time, kept by month.
 PRODUCT_MONTHS, ALL_TIME = "part_product_months", "mv_top_products_by_revenue"
+# Bitmaps of what was sold on each day, and in each month, kept by month.
+DAILY_MEMBERS, MONTHLY_MEMBERS = "daily_members", "monthly_members"
 STATUS = "view_name string, successful boolean, error string"
 
 
@@ -111,14 +114,36 @@ def _merge_months(star: Star, store: TableStore, name: str, months: Collection[i
     store.drop_old(PRODUCT_MONTHS)
 
 
+def write_members(star: Star, store: TableStore, months: Collection[int] = ()) -> Members:
+    """The bitmaps of the touched months anew; of all months if there are none yet."""
+    by = ["month_id"]
+    if not store.exists(MONTHLY_MEMBERS):
+        daily = store.write(DAILY_MEMBERS, daily_members(star).hint("rebalance", *by), by)
+        return Members(daily, store.write(MONTHLY_MEMBERS, monthly_members(daily).hint("rebalance", *by), by))
+    gone, touched = [(x,) for x in months], F.col("month_id").isin(sorted(months))
+    daily = store.replace_parts(DAILY_MEMBERS, daily_members(_facts_of(star, months)).hint("rebalance", *by), by, gone)
+    rows = monthly_members(daily.where(touched)).hint("rebalance", *by)
+    monthly = store.replace_parts(MONTHLY_MEMBERS, rows, by, gone)
+    for name in (DAILY_MEMBERS, MONTHLY_MEMBERS):
+        store.drop_old(name)
+    return Members(daily, monthly)
+
+
+def read_members(store: TableStore) -> Members:
+    return Members(store.read(DAILY_MEMBERS), store.read(MONTHLY_MEMBERS))
+
+
 def refresh_months(star: Star, store: TableStore, months: Collection[int]) -> DataFrame:
     """Bring every rollup up to date when only facts of ``months`` (yyyymm) changed; a status row each.
 
     Facts of these months are read, and of their quarters for the rollups by week and quarter. A
     rollup that isn't there yet is computed whole, and one that fails keeps its previous version, as
-    in :func:`refresh_all`. Without a month nothing is done.
+    in :func:`refresh_all`. Bitmaps of daily keys follow, if the store has them. Without a month
+    nothing is done.
     """
     status: list[tuple[str, bool, str | None]] = []
+    if months and store.exists(MONTHLY_MEMBERS):
+        write_members(star, store, months)
     for name in ROLLUPS:
         try:
             if not store.exists(name):

@@ -10,8 +10,9 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.operators.facts import laid_out
+from tallyhouse.operators.members import Members
 from tallyhouse.operators.rollups import ROLLUPS
-from tallyhouse.plans.refresh import write_rollup
+from tallyhouse.plans.refresh import MONTHLY_MEMBERS, read_members, write_members, write_rollup
 from tallyhouse.plans.store import TableStore
 from tallyhouse.schemas import Star
 from tallyhouse.session import shared_dir
@@ -81,6 +82,15 @@ class Warehouse:
         self.store.delete_on_exit()
         self.star = load_star(spark, folder, self.store)
         self.views = Views(self.star, self.store)
+        self._lock = threading.Lock()
+
+    @property
+    def members(self) -> Members:
+        """The bitmaps of what was sold on each day and in each month, written on first use."""
+        with self._lock:
+            if not self.store.exists(MONTHLY_MEMBERS):
+                return write_members(self.star, self.store)
+        return read_members(self.store)
 
 
 _OPEN: dict[tuple, Warehouse] = {}

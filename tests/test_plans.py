@@ -2,7 +2,7 @@
 
 import pytest
 
-from tallyhouse.operators import analytics, quality, reports, rollups
+from tallyhouse.operators import analytics, members, quality, reports, rollups
 from tallyhouse.plans import refresh
 from tallyhouse.plans.store import TableStore
 from tests.stars import line, star_of
@@ -11,6 +11,14 @@ DAY = "2024-05-02"
 PRODUCTS = [(1, "A", "Anvil", "Tools"), (2, "B", "Bolt", "Parts")]
 
 
+def bitmaps(star):
+    """The bitmaps as tables of their own, as a store has them."""
+    spark, columns = star.fact.sparkSession, "month_id int, date_id int, retailer_id int, kind string, bucket bigint, bits binary"
+    daily = spark.createDataFrame([tuple(x) for x in members.daily_members(star).collect()], columns)
+    monthly = [tuple(x) for x in members.monthly_members(daily).collect()]
+    return members.Members(daily, spark.createDataFrame(monthly, columns.replace("date_id int, ", "")))
+
+
 @pytest.fixture
 def star(spark, folder):
     from dataclasses import replace
@@ -27,6 +35,8 @@ def fact_scans(df) -> int:
 
 @pytest.mark.parametrize(("most", "query"), [
     (4, lambda s: analytics.sales_summary(s, DAY, DAY)),
+    (1, lambda s: analytics.sales_summary(s, DAY, DAY, members=bitmaps(s))),
+    (1, lambda s: analytics.retailer_performance(s, DAY, DAY, members=bitmaps(s))),
     (2, lambda s: analytics.sales_by_category(s, DAY, DAY)),
     (3, lambda s: analytics.retailer_performance(s, DAY, DAY)),
     (1, lambda s: analytics.sales_trends(s, DAY, DAY, "weekly")),
@@ -75,3 +85,22 @@ def test_unknown_customers_stay_unknown(spark):
     star = star_of(spark, [line(DAY, 1, f"t{i}") for i in range(5)], PRODUCTS)
     wide = rollups.sales_enriched(star)
     assert wide.count() == 5 and len(wide.columns) == len(set(wide.columns))
+
+
+def test_bitmaps_count_what_facts_have(spark):
+    lines = [
+        line(f"2024-{4 + i % 3:02}-{1 + i % 9 * 3:02}", 1 + (i * 40_000) % 999_999, f"t{i}", 1 + i % 3, customer=i % 7 or None, store=None if i % 3 == 0 else 5)
+        for i in range(200)
+    ]
+    star = star_of(spark, [*lines, *lines[:20], line("2024-05-31", None, "no product", 4, customer=None, store=None)], PRODUCTS)
+    bits = bitmaps(star)
+    ranges = (
+        ("2024-04-01", "2024-06-30"), ("2024-04-04", "2024-06-10"), ("2024-04-02", "2024-05-31"), ("2024-05-01", "2024-06-29"),
+        ("2024-05-07", "2024-05-13"), ("2024-04-30", "2024-05-01"), ("2024-05-01", "2024-05-31"), ("2023-01-01", "2023-01-02"),
+    )
+    for start, end in ranges:
+        for retailer in (None, 2):
+            plain = analytics.sales_summary(star, start, end, retailer).first()
+            assert analytics.sales_summary(star, start, end, retailer, members=bits).first() == plain, (start, end)
+        plain = analytics.retailer_performance(star, start, end).collect()
+        assert analytics.retailer_performance(star, start, end, members=bits).collect() == plain
