@@ -94,17 +94,20 @@ class DailyResult:
     refreshed: DataFrame
 
 
-def load_records(store: TableStore, records: DataFrame, load_ts: Column) -> LoadResult:
+def load_records(
+    store: TableStore, records: DataFrame, load_ts: Column, whole_folders: bool = True
+) -> LoadResult:
     """Load typed records (with ``status`` and ``load_seq``) into the star schema.
 
     Records are kept as a table first, so that the dimensions and the facts read the same rows and
     only the columns they need. Dimensions are written before facts refer to their keys. Accepted
-    records of landing files also go to the processed zone, which only grows.
+    records of landing files also go to the processed zone: with ``whole_folders`` they are all there
+    is of their retailers and days and stand for what was there, else files not there yet are added.
     """
     records = store.write("staged", records)
     valid = records.where("status = 'valid'")
     if "file_date" in records.columns:
-        _keep_processed(store, valid)
+        _keep_processed(store, records, valid, whole_folders)
     # A record without SKU or product name fails at its product, after its date was created.
     named = valid.where("product_id is not null and product_name is not null")
 
@@ -138,14 +141,25 @@ def load_records(store: TableStore, records: DataFrame, load_ts: Column) -> Load
     )
 
 
-def _keep_processed(store: TableStore, accepted: DataFrame) -> None:
-    """Add accepted records to the processed zone, by retailer and day, each place of a file once."""
+def _keep_processed(store: TableStore, records: DataFrame, accepted: DataFrame, whole_folders: bool) -> None:
+    """Accepted records into the processed zone, by retailer and day, each file's once.
+
+    A folder that is loaded again, landed anew or not, is replaced, also by nothing. The driver sees
+    the folders' names, as it does in listing them.
+    """
     folders = ["retailer", "file_date"]
-    before = store.read_if_exists("processed")
-    if before is not None:
-        places = before.select(*folders, "load_seq")
-        accepted = accepted.join(places, [*folders, "load_seq"], "left_anti")
-    store.append("processed", accepted.hint("rebalance", *folders), folders)
+    if whole_folders:
+        covered = [tuple(x) for x in records.select(*folders).distinct().collect()]
+        if store.exists("processed") and not covered:
+            return
+        store.replace_parts("processed", accepted.hint("rebalance", *folders), folders, covered)
+    else:
+        before = store.read_if_exists("processed")
+        if before is not None:
+            files = before.select(*folders, "file").distinct()
+            accepted = accepted.join(files, [*folders, "file"], "left_anti")
+        store.add_parts("processed", accepted.hint("rebalance", *folders), folders)
+    store.drop_old("processed")
 
 
 def load_day(

@@ -136,6 +136,16 @@ class TableStore:
 
         ``df`` has rows of these partitions alone. No file of another partition is read or written.
         """
+        gone = {"/".join(f"{c}={_folder(x)}" for c, x in zip(partition_by, values, strict=True)) for values in replaced}
+        return self._with_parts(table, df, partition_by, gone, only=gone)
+
+    def add_parts(self, table: str, df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+        """A new version with the rows of ``df`` beside all that are there."""
+        return self._with_parts(table, df, partition_by, gone=set(), only=None)
+
+    def _with_parts(
+        self, table: str, df: DataFrame, partition_by: Sequence[str], gone: set[str], only: set[str] | None
+    ) -> DataFrame:
         before = self.path(table)
         if before is None:
             return self.write(table, df, partition_by)
@@ -143,11 +153,10 @@ class TableStore:
         # not shown before its manifest is there
         unmarked = df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
         unmarked.partitionBy(*partition_by).parquet(path)
-        gone = {"/".join(f"{c}={x}" for c, x in zip(partition_by, values, strict=True)) for values in replaced}
         kept = [x for x in self._parts(before, depth) if x.split("/", 1)[1] not in gone]
         new = self._listed(path, depth)
-        if {x.split("/", 1)[1] for x in new} - gone:
-            raise ValueError(f"rows of other partitions of {table}: {sorted(set(new) - gone)[:3]}")
+        if only is not None and (others := {x.split("/", 1)[1] for x in new} - only):
+            raise ValueError(f"rows of other partitions of {table}: {sorted(others)[:3]}")
         self._keep_schema(path, df.schema)
         self._put(f"{path}/_manifest.json", json.dumps([*kept, *new]))
         self._put(f"{path}/_SUCCESS", "")
@@ -181,6 +190,10 @@ class TableStore:
                 fs.delete(folder, True)
 
 
+def _folder(value) -> str:
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+
+
 class PendingTables(TableStore):
     """Versions written beside a store's tables, which become theirs when all are there."""
 

@@ -23,6 +23,9 @@ def load_new_files(
     ``checkpoint`` remembers the files that were loaded. A load that is repeated after a failure
     adds nothing twice, because facts are inserted only if absent. However many files are new, they
     count in the order of their folders; files that come later are later.
+
+    Files that gave no record go to the store's table ``rejected_files`` with the reason, and the
+    load's counters to ``load_counters``, both by ``stream`` (the checkpoint) and ``batch``.
     """
     stamp = F.current_timestamp().cast("timestamp_ntz") if load_ts is None else load_ts
     lines = (
@@ -31,10 +34,12 @@ def load_new_files(
         .text(root)
     )
 
-    def load(batch: DataFrame, _: int) -> None:
-        parsed, _ = landing.parse_files(batch.sparkSession, landing.with_file_columns(batch))
+    def load(batch: DataFrame, number: int) -> None:
+        parsed, rejected = landing.parse_files(batch.sparkSession, landing.with_file_columns(batch))
         typed = validate.typed_records(parsed, "retailer", "file_date", "file", "load_seq")
-        daily.load_records(store, typed, stamp)
+        loaded = daily.load_records(store, typed, stamp, whole_folders=False)
+        _keep(store, "rejected_files", rejected, checkpoint, number)
+        _keep(store, "load_counters", loaded.counters, checkpoint, number)
 
     (
         lines.select("value", "_metadata")
@@ -44,3 +49,12 @@ def load_new_files(
         .start()
         .awaitTermination()
     )
+
+
+def _keep(store: TableStore, table: str, rows: DataFrame, stream: str, batch: int) -> None:
+    """Add the rows of a batch, unless an earlier try of it did."""
+    before = store.read_if_exists(table)
+    if before is not None and not before.where((F.col("stream") == stream) & (F.col("batch") == batch)).isEmpty():
+        return
+    named = rows.withColumns({"stream": F.lit(stream), "batch": F.lit(batch).cast("long")})
+    store.append(table, named)

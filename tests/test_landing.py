@@ -138,6 +138,45 @@ def test_new_files_are_loaded_once(spark, folder):
     assert store.read("processed").count() == 2
 
 
+def test_the_processed_zone_is_the_same_after_any_rerun(spark, tmp_path, folder):
+    days = ("2024-05-01", DAY, "2024-05-03")
+    for n, day in enumerate(days):
+        table = sales(spark, *((f"o{day}{i}", f"{day} 09:00:00", "A", 1 + i, None) for i in range(3 + n)))
+        daily.land_feeds({"retailer_1": table}, f"{folder}/raw", day)
+        load_day(spark, folder, day)
+    store = TableStore(spark, f"{folder}/store")
+
+    def zone():
+        return sorted((str(r.file_date), r.transaction_id) for r in store.read("processed").collect())
+
+    once = zone()
+    assert len(once) == 12 and len(set(once)) == 12
+    load_day(spark, folder, None)
+    assert zone() == once
+    load_day(spark, folder, DAY)
+    again = sales(spark, *((f"o{DAY}{i}", f"{DAY} 09:00:00", "A", 1 + i, None) for i in range(4)))
+    daily.land_feeds({"retailer_1": again.repartition(3)}, f"{folder}/raw", DAY)
+    load_day(spark, folder, DAY)
+    assert zone() == once
+    load_new_files(spark, store, f"{folder}/raw", f"{folder}/seen")
+    assert {x[0] for x in zone()} == set(days) and store.read("fact_sales").count() == 12
+
+
+def test_a_stream_keeps_rejects_and_counters(spark, tmp_path, folder):
+    store, root, memory = TableStore(spark, f"{folder}/store"), f"{folder}/raw", f"{folder}/seen"
+    put(tmp_path, "good.json", json.dumps([RECORD]))
+    put(tmp_path, "broken.json", "[{", "retailer_2")
+    load_new_files(spark, store, root, memory)
+    put(tmp_path, "more.json", json.dumps([RECORD, {**RECORD, "transaction_id": "t2"}]))
+    put(tmp_path, "empty.json", "[]")
+    load_new_files(spark, store, root, memory)
+    load_new_files(spark, store, root, memory)
+    rejected = store.read("rejected_files").orderBy("batch").collect()
+    assert [(Path(r.file).name, r.reason, r.batch) for r in rejected] == [("broken.json", "not JSON", 0), ("empty.json", "no records", 1)]
+    counters = {(r.batch, r.outcome): r.records for r in store.read("load_counters").collect()}
+    assert counters == {(0, "inserted"): 1, (1, "inserted"): 1, (1, "duplicate"): 1}
+
+
 RECORD = {
     "transaction_date": f"{DAY}T10:00:00", "product_id": "A", "product_name": "Anvil", "transaction_id": "t1",
     "quantity": 2.0, "unit_price": 3.0, "total_amount": 6.0, "retailer_id": "retailer_1", "category": "Tools",
