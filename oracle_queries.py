@@ -551,7 +551,7 @@ ORACLE: dict[str, str] = {
         SELECT code AS retailer, CAST(last_day(day) AS VARCHAR) AS file_date,
           CASE WHEN q = 47 THEN 'bad_date' ELSE 'valid' END AS status,
           COUNT(*) AS records, CAST(SUM(CASE WHEN q <> 45 THEN q END) AS BIGINT) AS quantity
-        FROM sold WHERE retailer = 2 OR month(day) NOT IN (2, 3) GROUP BY 1, 2, 3
+        FROM sold GROUP BY 1, 2, 3
         UNION ALL SELECT DISTINCT code, CAST(last_day(day) AS VARCHAR), 'unreadable', 1, NULL
         FROM sold WHERE retailer = 2"""),
     "landing_rejected_files": sold("""
@@ -559,8 +559,8 @@ ORACLE: dict[str, str] = {
           CASE month(day) WHEN 2 THEN 'not JSON' ELSE 'no records' END AS reason
         FROM sold WHERE retailer <> 2 AND month(day) IN (2, 3)"""),
     "landing_scan_day": sold("""
-        SELECT DISTINCT code AS retailer, 1 AS files, true AS has_data FROM sold
-        WHERE last_day(day) = DATE '2001-08-31'"""),
+        SELECT code AS retailer, CAST(ceil(COUNT(*) / 100000) AS BIGINT) AS files, true AS has_data
+        FROM sold WHERE last_day(day) = DATE '2001-08-31' GROUP BY code"""),
     "landing_parse": sold("""
         SELECT code AS retailer, field, COUNT(*) AS present, COUNT(value) AS with_value FROM (
           SELECT code, 'retailer_id' AS field, code AS value FROM sold
@@ -583,10 +583,10 @@ ORACLE: dict[str, str] = {
           COUNT(seen_quantity) AS with_quantity
         FROM landed WHERE status <> 'missing_fields' GROUP BY code, last_day(day)"""),
     "landing_inventory": sold("""
-        SELECT code AS retailer, COUNT(DISTINCT last_day(day)) AS files, COUNT(*) AS records,
-          true AS all_filled, 'category,customer_id,product_id,product_name,quantity,retailer_id,'
+        SELECT code AS retailer, CAST(SUM(ceil(n / 100000)) AS BIGINT) AS files,
+          CAST(SUM(n) AS BIGINT) AS records, true AS all_filled, 'category,customer_id,product_id,product_name,quantity,retailer_id,'
           || 'store_id,total_amount,transaction_date,transaction_id,unit_price' AS record_keys
-        FROM sold WHERE retailer = 2 OR month(day) NOT IN (2, 3) GROUP BY code"""),
+        FROM (SELECT code, COUNT(*) AS n FROM sold GROUP BY code, last_day(day)) GROUP BY code"""),
     "export_daily_summary": views("SELECT * FROM mv1 WHERE date >= DATE '1996-01-01'", MV1),
     # normalise and validate
     "normalize_source_1": sold(f"{RECORDS} WHERE retailer = 1"),
@@ -689,7 +689,8 @@ ORACLE: dict[str, str] = {
           seen_name AS product_name, seen_quantity AS quantity
         FROM landed WHERE q IN (45, 44)"""),
     "process_date_summary": landed("""
-        SELECT code AS retailer, 1 AS files_found, 1 AS files_processed, COUNT(*) AS records_found,
+        SELECT code AS retailer, CAST(ceil(COUNT(*) / 100000) AS BIGINT) AS files_found,
+          CAST(ceil(COUNT(*) / 100000) AS BIGINT) AS files_processed, COUNT(*) AS records_found,
           (SELECT COUNT(*) FROM loadable
            WHERE last_day(day) = DATE '2001-08-31' AND loadable.code = landed.code)
             AS records_loaded

@@ -31,6 +31,8 @@ NOW = "2001-08-01 12:00:00"
 SCD1_SPLIT = "1998-06-01"
 DELIVERY = "2001-08-31"
 YEAR = int(AS_OF[:4])
+#: Records in a landing file of arrays or lines.
+PER_FILE = 100_000
 
 
 def _time(text: str) -> Column:
@@ -174,25 +176,26 @@ def landing_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _mixed_root(spark: SparkSession, folder: str) -> str:
-    """A landing zone with one file per retailer and month, written on first use.
+    """A landing zone with files of PER_FILE records at most per retailer and month, written on first use.
 
-    Retailers 1 and 3 deliver arrays, retailer 2 lines. Fixed rules: arrays of March are empty,
-    those of February break off, and each file of lines has one more line that is no JSON.
+    Retailers 1 and 3 deliver arrays, retailer 2 lines. Faults stand beside the sales, in place of
+    none, by fixed rules: one more file with an empty array in March and with one that breaks off
+    in February, and in a file of lines of each month one more line that is no JSON.
     """
     store = warehouse(spark, folder).store
     if not store.exists("mixed_files"):
         records = _delivered(tables.damaged(_all_records(spark, folder)))
         item = F.to_json(F.struct(*RECORD_SCHEMA.names), {"ignoreNullFields": "false"})
-        files = records.groupBy(*landing.PARTITIONS).agg(F.sort_array(F.collect_list(item)).alias("items"))
-        array = (
-            F.when(F.col("month") == "03", "[]")
-            .when(F.col("month") == "02", F.concat(F.lit("["), F.element_at("items", 1), F.lit(",\n{")))
-            .otherwise(F.concat(F.lit("["), F.array_join("items", ",\n"), F.lit("]")))
-        )
-        lines = F.concat(F.array_join("items", "\n"), F.lit("\n\n{oops"))
+        files = landing.chunked(records, item, PER_FILE)
+        array = F.concat(F.lit("["), F.array_join("items", ",\n"), F.lit("]"))
+        lines = F.concat(F.array_join("items", "\n"), F.when(F.col("chunk") == 0, "\n\n{oops").otherwise(""))
         value = F.when(F.col("retailer") == "retailer_2", lines).otherwise(array)
-        root = f"{store.root}/mixed_files/all"
-        files.select(*landing.PARTITIONS, value.alias("value")).write.partitionBy(*landing.PARTITIONS).text(root)
+        broken = F.when(F.col("month") == "03", "[]").when(
+            F.col("month") == "02", F.concat(F.lit("["), F.element_at("items", 1), F.lit(",\n{"))
+        )
+        faulty = files.where((F.col("retailer") != "retailer_2") & (F.col("chunk") == 0)).withColumn("value", broken)
+        both = files.withColumn("value", value).unionByName(faulty.where("value is not null"))
+        landing.land_texts(both, f"{store.root}/mixed_files/all")
     return store.versions("mixed_files")[-1]
 
 

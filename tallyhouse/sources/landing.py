@@ -48,6 +48,24 @@ def land(records: DataFrame, root: str, replace: bool = True, order: Sequence[st
     writer.partitionBy(*PARTITIONS).json(root)
 
 
+def chunked(records: DataFrame, item: Column, per_file: int) -> DataFrame:
+    """The items (texts) of each folder in chunks of about ``per_file``: folder, ``chunk``, ``items``.
+
+    Records are dealt to a folder's chunks by their hash, so no task or value holds more than a chunk
+    however large the folder is. Items are sorted within a chunk.
+    """
+    named = records.select(*PARTITIONS, item.alias("item"))
+    sizes = named.groupBy(*PARTITIONS).agg(F.ceil(F.count("*") / per_file).alias("chunks"))
+    dealt = named.join(sizes, list(PARTITIONS)).withColumn("chunk", F.pmod(F.xxhash64("item"), F.col("chunks")))
+    return dealt.groupBy(*PARTITIONS, "chunk").agg(F.sort_array(F.collect_list("item")).alias("items"))
+
+
+def land_texts(files: DataFrame, root: str) -> None:
+    """Write each row's ``value`` as one file of its folder."""
+    rows = files.select(*PARTITIONS, "value")
+    rows.write.option("maxRecordsPerFile", 1).partitionBy(*PARTITIONS).text(root)
+
+
 def path_parts(path: Column) -> dict[str, Column]:
     """Retailer and date from a file path; one-digit months and days are padded."""
     def part(name: str) -> Column:

@@ -289,3 +289,16 @@ def test_shared_folder_is_the_configured_one(spark):
         assert shared_dir(spark) == configured
     else:
         assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_a_large_folder_is_cut_into_arrays(spark, folder):
+    rows = [("retailer_1", "2024", "05", "02", f"t{i}") for i in range(1000)] + [("retailer_2", "2024", "05", "02", "t")]
+    records = spark.createDataFrame(rows, [*landing.PARTITIONS, "transaction_id"])
+    files = landing.chunked(records, F.to_json(F.struct("transaction_id")), 100)
+    sizes = [len(r["items"]) for r in files.where("retailer = 'retailer_1'").collect()]
+    assert len(sizes) == 10 and sum(sizes) == 1000 and max(sizes) < 200
+    value = F.concat(F.lit("["), F.array_join("items", ","), F.lit("]"))
+    landing.land_texts(files.withColumn("value", value).coalesce(1), f"{folder}/raw")
+    parsed, rejected = landing.parse_files(spark, landing.scan_files(spark, f"{folder}/raw", pattern="*.txt"))
+    assert parsed.select("file").distinct().count() == 11 and rejected.count() == 0
+    assert sorted(r["record"]["transaction_id"] for r in parsed.collect()) == sorted(r[4] for r in rows)
