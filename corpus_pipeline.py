@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import fresh, shared_path, table, written
+from tallyhouse.llm.common import Likely, fresh, shared_path, table, written
 from tallyhouse.llm.jaccard import Rule, jaccard_components
 from tallyhouse.llm.lines import without_boilerplate
 from tallyhouse.llm.packing import pack, token_pieces
@@ -42,16 +42,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     That is the one of the smallest doc_id, and of unlike texts under that id the one whose text has
     the smallest hash. Documents without an id stay all. Unlike texts that share a doc_id are
-    documents of their own, rows that repeat an id and a text are one document.
+    documents of their own, rows that repeat an id and a text are one document. Documents that are
+    alone in their component don't move.
     """
     doc, of_text = fresh(docs, "doc"), fresh(docs, "of_text")
     text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
     named = docs.where("doc_id is not null").select("doc_id", "text", F.struct("doc_id", text_hash.alias("of_text")).alias(doc))
     groups = jaccard_components(named.select(F.col(doc).alias("doc_id"), "text"), Rule(words=5, num=80, den=100))
-    first = groups.where("doc_id = component_id").select("doc_id.*").distinct()
-    kept = written(first.select(F.col("doc_id").alias(doc), F.col("of_text").alias(of_text)), "kept")
-    left = docs.join(kept, (F.col("doc_id") == F.col(doc)) & (text_hash == F.col(of_text)))
-    return left.dropDuplicates([doc, of_text]).drop(doc, of_text).unionByName(docs.where("doc_id is null"))
+    is_first = F.col("doc_id") == F.col("component_id")
+    found = written(groups.groupBy("doc_id").agg(F.first(is_first).alias("first"), F.count("*").alias("rows")), "found")
+    found = found.select(F.col("doc_id.doc_id").alias(doc), F.col("doc_id.of_text").alias(of_text), "first", "rows")
+    of_found, of_docs = F.xxhash64(doc, of_text), F.xxhash64("doc_id", text_hash)
+    not_alone = Likely(found.where("not first or rows > 1").select(of_found.alias("h")))
+    kept = not_alone.inside(found.where("first"), of_found).select(doc, of_text)
+    left = not_alone.inside(docs.where("doc_id is not null"), of_docs)
+    left = left.join(kept, (F.col("doc_id") == F.col(doc)) & (text_hash == F.col(of_text)))
+    left = left.dropDuplicates([doc, of_text]).drop(doc, of_text)
+    alone = not_alone.outside(docs.where("doc_id is not null"), of_docs)
+    return alone.unionByName(left).unionByName(docs.where("doc_id is null"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,9 @@ from tallyhouse.session import shared_dir
 #: A space that every tokenizer here keeps with the word after it, so cutting before it is safe.
 _SAFE_CUT = re.compile(r"(?<=[A-Za-z0-9.,;]) (?=[A-Za-z])")
 
+#: Bits of the largest bitmap that tells which rows may have a partner: 524,288 words.
+MOST_BITS = 1 << 25
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -77,6 +80,40 @@ def salts_of(spark: SparkSession) -> int:
     return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+class Likely:
+    """A test of 64-bit hashes: true for all in ``hashes`` (one column, without nulls), false for most others.
+
+    A bitmap of 16 bits for each of them, but no more than MOST_BITS, in words of 64 that are broadcast:
+    at most MOST_BITS / 64 rows of two numbers. So rows that a join would drop don't have to move to it;
+    where the bitmap is full it spares nothing, and the join decides as before. ``hashes`` is read
+    twice, so pass a written table.
+    """
+
+    def __init__(self, hashes: DataFrame):
+        self.scale = min(MOST_BITS, max(64, 16 * hashes.count())).bit_length() - 1
+        place = self._place(F.col(hashes.columns[0]))
+        one = F.expr("shiftleft(1L, bit)")
+        words = hashes.select(F.shiftright(place, 6).alias("word"), (place % 64).cast("int").alias("bit"))
+        self.words = written(words.groupBy("word").agg(F.bit_or(one).alias("bits")), "words")
+
+    def _place(self, of: Column) -> Column:
+        return F.shiftrightunsigned(of, 64 - self.scale)
+
+    def _tested(self, df: DataFrame, of: Column, has: int) -> DataFrame:
+        word, bits = fresh(df, "word_of"), fresh(df, "bits_of")
+        words = F.broadcast(self.words.select(F.col("word").alias(word), F.col("bits").alias(bits)))
+        bit = F.getbit(F.coalesce(bits, F.lit(0)), (self._place(of) % 64).cast("int"))
+        return df.join(words, F.shiftright(self._place(of), 6) == F.col(word), "left").where(bit == has).drop(word, bits)
+
+    def inside(self, df: DataFrame, of: Column) -> DataFrame:
+        """The rows of ``df`` whose hash ``of`` may be among the hashes."""
+        return self._tested(df, of, 1)
+
+    def outside(self, df: DataFrame, of: Column) -> DataFrame:
+        """All other rows; ``of`` must not be null."""
+        return self._tested(df, of, 0)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (node, root), root the smallest node.
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import byte_slices, components, table, written
+from tallyhouse.llm.common import Likely, byte_slices, components, table, written
 from tallyhouse.llm.hashing import joined, mix, range_hashes
 
 #: Bytes of text handled together.
@@ -245,11 +245,12 @@ def _stars(shared: DataFrame) -> DataFrame:
 
 
 def _sets(texts: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(k, key, shingles) of the sets ``wanted`` (k), made again from one text of each: only these move."""
+    """(k, key, shingles) of the sets ``wanted`` (k), made again from one text of each: these move, and few others."""
     chosen = written(classes.join(wanted, "k", "left_semi").select("k", "key", "rep", "of_text"), "chosen")
     # by its hash and id a text meets its own class alone, whatever ids are repeated or null
     same = (F.xxhash64("text") == F.col("of_text")) & F.col("id").eqNullSafe(F.col("rep"))
-    own = texts.join(chosen, same).select("key", "text")
+    reps = Likely(chosen.select(F.xxhash64("of_text", "rep").alias("h")))
+    own = reps.inside(texts, F.xxhash64(F.xxhash64("text"), "id")).join(chosen, same).select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[str] = set()

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tallyhouse.llm.common import byte_slices, fresh, shared_path, table, written
+from tallyhouse.llm.common import Likely, byte_slices, fresh, shared_path, table, written
 
 
 @dataclass(frozen=True)
@@ -136,8 +136,9 @@ class BlobLedger:
         rows; other columns are not looked at.
 
         Only ids and addresses are grouped, one row of each content is chosen, and its text alone
-        goes to the scan. Where most contents are new, as in a first scan, their texts move to meet
-        their addresses, sorted, so that any number fits; where few are, Spark is free to broadcast
+        goes to the scan. Copies and contents scanned before stay where they are, but for the few that
+        a bitmap takes for chosen. Where most contents are new, as in a first scan, their texts move to
+        meet their addresses, sorted, so that any number fits; where few are, Spark is free to broadcast
         the addresses if they are small, and then no text moves.
         """
         if len({x.kind for x in rules}) < len(rules):
@@ -175,7 +176,8 @@ class BlobLedger:
         chosen = F.col("c.blob").eqNullSafe(F.col("t.blob")) & F.col("c.id").eqNullSafe(F.col("t.id"))
         mostly_new = 2 * todo.count() > blobs.count()
         picked = todo.hint("merge") if mostly_new else todo
-        new = texts.alias("t").join(picked.alias("c"), chosen)
+        one_of_each = Likely(todo.select(F.xxhash64("blob", "id").alias("h")))
+        new = one_of_each.inside(texts, F.xxhash64("blob", "id")).alias("t").join(picked.alias("c"), chosen)
         found = new.select("t.blob", "kinds", "text").mapInArrow(run, FINDINGS)
         found.write.mode("append").parquet(f"{self.path}/findings")
         versions = F.array(*(F.struct(F.lit(x.kind).alias("kind"), F.lit(x.version).alias("version")) for x in rules))
@@ -202,7 +204,7 @@ class BlobLedger:
         """``docs`` with each span that ``scan`` finds replaced by its kind in brackets.
 
         Spans that overlap are replaced together, by the first one's kind. Rows without findings,
-        null texts among them, stay as they are.
+        null texts among them, stay as they are, and most of them stay where they are.
         """
         scanned = self.scan(docs, rules, id_col, text_col)
         found = scanned.where(F.size("found") > 0).groupBy("blob").agg(F.first("found").alias("found"))
@@ -211,9 +213,13 @@ class BlobLedger:
         text, there = F.col(text_col), F.col(spans_found).isNotNull()
         # only texts with findings go to Python
         clean = F.when(there, _masked(F.when(there, text), F.col(spans_found))).otherwise(text)
+        address = F.sha2(F.coalesce(text, F.lit("")), 256)
+        has_spans = Likely(found.select(F.xxhash64(blob).alias("h")))
+        touched = has_spans.inside(docs, F.xxhash64(address))
         # sorted, not broadcast below some size: a plan that is the same for any number of findings
-        marked = docs.join(found.hint("merge"), F.sha2(F.coalesce(text, F.lit("")), 256) == F.col(blob), "left")
-        return marked.select(*(clean.alias(c) if c == text_col else docs[c] for c in docs.columns))
+        marked = touched.join(found.hint("merge"), address == F.col(blob), "left")
+        masked = marked.select(*(clean.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
+        return has_spans.outside(docs, F.xxhash64(address)).unionByName(masked)
 
 
 def mask(text: str, found: list[dict]) -> str:

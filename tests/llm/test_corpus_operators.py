@@ -8,10 +8,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyhouse.llm import jaccard, neighbours, shards, toxicity
-from tallyhouse.llm.common import components, ranked, table, written
+from tallyhouse.llm import common, jaccard, neighbours, shards, toxicity
+from tallyhouse.llm.common import Likely, components, ranked, table, written
 from tests.llm.cases import documents, prose, texts
 
 SMALL = "/root/testdata/sf0.001"
@@ -30,6 +31,18 @@ def test_ranks_are_gapless_for_a_hot_key(spark):
     assert {k: sorted(v) == list(range(len(v))) for k, v in got.items()} == {0: True, 1: True}
 
 
+@pytest.mark.parametrize(("rows", "most"), [(0, 1 << 25), (5000, 1 << 25), (5000, 1 << 10)])
+def test_bitmaps_hold_all_hashes(spark, monkeypatch, rows, most):
+    monkeypatch.setattr(common, "MOST_BITS", most)
+    hashes = spark.range(rows).selectExpr("xxhash64(id) as h").union(spark.range(rows // 3).selectExpr("xxhash64(7L)"))
+    test = Likely(hashes)
+    assert test.outside(hashes, F.col("h")).isEmpty()
+    assert test.inside(hashes, F.col("h")).count() == hashes.count()
+    others = test.inside(spark.range(10_000, 20_000), F.xxhash64("id")).count()
+    assert others <= (10_000 if most < 1 << 25 else 900)
+    assert others == 0 or rows
+
+
 @pytest.mark.parametrize("edges", [[], [("a", "a")], [("b", "a"), ("c", "b"), ("e", "d")], [(f"{i:03}", f"{i + 1:03}") for i in range(60)], [("hub", f"{i:03}") for i in range(80)]])
 def test_components(spark, edges):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a string, b string")).collect()}
@@ -359,6 +372,19 @@ def test_repeated_ids_are_documents_of_their_own(spark):
     assert got == Counter([(1, one), (1, other), (3, third), (None, one), (None, one), (4, "")])
 
 
+def test_hot_copies_of_a_text(spark):
+    """A third of all rows is one text, some under one id; the others are near it or alone."""
+    hot = prose(1, 120)
+    near = [hot.replace(hot.split()[60 + i], f"other{i}", 1) for i in range(3)]
+    rows = [(i, hot, "a") for i in range(20, 50)] + [(20, hot, "b")] * 10
+    rows += [(100 + i, x, "c") for i, x in enumerate(near)] + [(200 + i, prose(5 + i, 60), "d") for i in range(70)]
+    left = corpus_pipeline.near_duplicates(spark, documents(spark, rows), "")
+    rule = jaccard.Rule(5, 80, 100)
+    firsts = {c for _, _, c in plain_jaccard([(d, t) for d, t, _ in rows], rule)}
+    assert Counter(r.doc_id for r in left.collect()) == Counter(firsts)
+    assert len(firsts) < len(rows) - 40
+
+
 def test_pipeline_stages_are_the_five(spark):
     assert [x for x, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line dedup", "near duplicates", "secret scans", "packing",
