@@ -587,6 +587,11 @@ ORACLE: dict[str, str] = {
           CAST(SUM(n) AS BIGINT) AS records, true AS all_filled, 'category,customer_id,product_id,product_name,quantity,retailer_id,'
           || 'store_id,total_amount,transaction_date,transaction_id,unit_price' AS record_keys
         FROM (SELECT code, COUNT(*) AS n FROM sold GROUP BY code, last_day(day)) GROUP BY code"""),
+    "landing_external_table": sold("""
+        SELECT code AS retailer, strftime(day, '%Y') AS year, COUNT(*) AS records, 0 AS unreadable,
+          CAST(SUM(CASE WHEN q <> 45 THEN q END) AS BIGINT) AS quantity,
+          CAST(SUM(CASE WHEN q = 47 THEN 1 ELSE 0 END) AS BIGINT) AS bad_dates
+        FROM sold GROUP BY 1, 2"""),
     "export_daily_summary": views("SELECT * FROM mv1 WHERE date >= DATE '1996-01-01'", MV1),
     # normalise and validate
     "normalize_source_1": sold(f"{RECORDS} WHERE retailer = 1"),
@@ -658,6 +663,15 @@ ORACLE: dict[str, str] = {
     "dim_store": landed("""
         SELECT DISTINCT store AS store_external_id FROM landed
         WHERE status = 'valid' AND seen_name IS NOT NULL AND store IS NOT NULL"""),
+    "dim_surrogate_keys": landed("""
+        SELECT dimension, COUNT(DISTINCT key) AS members, COUNT(DISTINCT key) AS keys, true AS above_zero, 0 AS changed
+        FROM (
+          SELECT 'product' AS dimension, sku AS key FROM landed WHERE status = 'valid' AND seen_name IS NOT NULL
+          UNION ALL SELECT 'customer', seen_customer FROM landed
+            WHERE status = 'valid' AND seen_name IS NOT NULL AND seen_customer <> ''
+          UNION ALL SELECT 'store', store FROM landed
+            WHERE status = 'valid' AND seen_name IS NOT NULL AND store IS NOT NULL)
+        GROUP BY dimension"""),
     "dim_retailer": """
         SELECT * FROM (VALUES (1, 'retailer_1', 'Retailer 1'), (2, 'retailer_2', 'Retailer 2'),
           (3, 'retailer_3', 'Retailer 3')) AS t(retailer_id, retailer_code, retailer_name)""",

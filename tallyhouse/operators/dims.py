@@ -50,46 +50,76 @@ def assign_ids(new: DataFrame, id_column: str, existing: DataFrame | None) -> Da
     """
     number = F.monotonically_increasing_id() + 1
     if existing is not None:
-        used = existing.agg(F.coalesce(F.max(id_column), F.lit(0).cast("bigint"))).scalar()
-        number = number + used
+        number = number + largest_id(existing, id_column)
     return new.select(number.alias(id_column), *new.columns)
 
 
-def upsert_products(records: DataFrame, existing: DataFrame | None, load_ts: Column) -> DataFrame:
-    """The whole product dimension after the records.
+#: The product table is kept in so many parts by the hash of the SKU. A load rewrites the parts of its SKUs alone.
+PRODUCT_BUCKETS = 64
 
-    The SKU is the key over all retailers. The latest record in load order sets name and category;
-    a product seen again also gets a new updated_at, even within the batch that created it.
-    """
-    latest = (
+
+def in_buckets(products: DataFrame) -> DataFrame:
+    """Products with the ``bucket`` their SKU belongs to."""
+    return products.withColumn("bucket", F.pmod(F.xxhash64("product_sku"), F.lit(PRODUCT_BUCKETS)).cast("int"))
+
+
+def latest_products(records: DataFrame) -> DataFrame:
+    """Name, category and bucket of each SKU in the records: those of the last one in load order."""
+    return in_buckets(
         records.where("product_id is not null and product_name is not null")
         .groupBy(F.col("product_id").alias("product_sku"))
         .agg(F.max_by(F.struct("product_name", "category"), "load_seq").alias("last"))
         .select("product_sku", "last.product_name", "last.category")
     )
+
+
+def merge_products(latest: DataFrame, existing: DataFrame | None, used: Column, load_ts: Column) -> DataFrame:
+    """``existing`` products (with their bucket) after ``latest``; new ones get keys above ``used``.
+
+    A product seen again also gets a new updated_at, even within the batch that created it. Rows are
+    laid out by bucket first and numbered then, so that nothing moves after a key is given.
+    """
+    number = F.monotonically_increasing_id() + 1 + used
     if existing is None:
-        created = assign_ids(latest, "product_id", None)
+        created = latest.hint("rebalance", "bucket").select(number.alias("product_id"), *latest.columns)
         return created.withColumn("created_at", load_ts).withColumn("updated_at", load_ts)
-    latest = latest.select(
+    seen = latest.select(
+        "bucket",
         "product_sku",
         F.col("product_name").alias("new_name"),
         F.col("category").alias("new_category"),
         F.lit(True).alias("seen"),
     )
-    merged = existing.join(latest, "product_sku", "full_outer")
-    used = existing.agg(F.coalesce(F.max("product_id"), F.lit(0).cast("bigint"))).scalar()
+    merged = existing.join(seen, ["bucket", "product_sku"], "full_outer").hint("rebalance", "bucket")
     return merged.select(
-        F.coalesce("product_id", F.monotonically_increasing_id() + 1 + used).alias("product_id"),
+        F.coalesce("product_id", number).alias("product_id"),
         "product_sku",
         F.when(F.col("seen"), F.col("new_name")).otherwise(F.col("product_name")).alias(
             "product_name"
         ),
         F.when(F.col("seen"), F.col("new_category")).otherwise(F.col("category")).alias("category"),
+        "bucket",
         F.coalesce("created_at", load_ts).alias("created_at"),
         F.when(F.col("seen"), load_ts).otherwise(F.col("updated_at")).alias("updated_at"),
     )
 
 
+def largest_id(existing: DataFrame | None, id_column: str) -> Column:
+    """The largest surrogate key in use, 0 without any."""
+    if existing is None:
+        return F.lit(0).cast("bigint")
+    return existing.agg(F.coalesce(F.max(id_column), F.lit(0).cast("bigint"))).scalar()
+
+
+def upsert_products(records: DataFrame, existing: DataFrame | None, load_ts: Column) -> DataFrame:
+    """The whole product dimension after the records.
+
+    The SKU is the key over all retailers. The latest record in load order sets name and category.
+    """
+    known = None if existing is None else in_buckets(existing)
+    return merge_products(latest_products(records), known, largest_id(existing, "product_id"), load_ts).drop("bucket")
+
+
 def _new_members(
     records: DataFrame, existing: DataFrame | None, source: str, name: str, load_ts: Column
 ) -> DataFrame:

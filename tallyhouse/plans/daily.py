@@ -34,7 +34,7 @@ def read_star(store: TableStore) -> Star:
     if fact is None:
         fact = store.spark.createDataFrame([], EMPTY_FACT)
     names = ("dates", "products", "customers", "stores", "retailers")
-    return Star(fact=fact, **{name: store.read(f"dim_{name}") for name in names})
+    return Star(fact=fact, **{name: store.read(f"dim_{name}").drop("bucket") for name in names})
 
 
 def land_feeds(
@@ -118,8 +118,7 @@ def load_records(
         store.append(f"dim_{name}", new)
 
     add("dates", dims.new_dates(valid, existing("dates"), load_ts))
-    known = existing("products")
-    products = store.write("dim_products", dims.upsert_products(named, known, load_ts))
+    known, products = upsert_products(store, named, load_ts)
     add("customers", dims.new_customers(named, existing("customers"), load_ts))
     add("stores", dims.new_stores(named, existing("stores"), load_ts))
     if existing("retailers") is None:
@@ -131,7 +130,7 @@ def load_records(
     counted = [F.count("*").alias("inserted"), F.collect_set("month_id").alias("months")]
     store.append("fact_sales", new.observe(seen, *counted), ["month_id"])
     touched = {*(seen.get.get("months") or []), *months_of_changed(known, products, store)}
-    for table in ("staged", "dim_products"):
+    for table in ("staged", "staged_products", "dim_products"):
         store.drop_old(table)
     return LoadResult(
         star=read_star(store),
@@ -141,6 +140,25 @@ def load_records(
     )
 
 
+def upsert_products(store: TableStore, records: DataFrame, load_ts: Column) -> tuple[DataFrame | None, DataFrame]:
+    """Bring the product table up to date: only the buckets with SKUs of the records are read and written.
+
+    Returns the products of these buckets before (none in the first load) and after. The driver sees
+    the numbers of the buckets. A table that isn't in buckets yet is rewritten once.
+    """
+    latest = store.write("staged_products", dims.latest_products(records))
+    touched = sorted(x["bucket"] for x in latest.select("bucket").distinct().collect())
+    before = store.read_if_exists("dim_products")
+    if before is not None and "bucket" not in before.columns:
+        before = store.write("dim_products", dims.in_buckets(before).hint("rebalance", "bucket"), ["bucket"])
+    used = dims.largest_id(before, "product_id")
+    known = None if before is None else before.where(F.col("bucket").isin(touched))
+    if before is None or touched:
+        merged = dims.merge_products(latest, known, used, load_ts)
+        before = store.replace_parts("dim_products", merged, ["bucket"], [(x,) for x in touched])
+    return known, before.where(F.col("bucket").isin(touched))
+
+
 def _keep_processed(store: TableStore, records: DataFrame, accepted: DataFrame, whole_folders: bool) -> None:
     """Accepted records into the processed zone, by retailer and day, each file's once.
 

@@ -6,6 +6,7 @@ first use and keeps in the shared folder. Results use plain types: money as doub
 
 from __future__ import annotations
 
+import hashlib
 import threading
 from collections.abc import Callable
 from dataclasses import replace
@@ -270,6 +271,17 @@ def landing_inventory(spark: SparkSession, folder: str) -> DataFrame:
     return whole.drop("bytes").join(keys, "retailer")
 
 
+def landing_external_table(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL over the landed files as a table of the catalogue."""
+    root = _landing_root(spark, folder)
+    name = f"raw_sales_{hashlib.sha256(root.encode()).hexdigest()[:12]}"
+    landing.external_table(spark, root, name)
+    return spark.sql(f"""
+        SELECT retailer, year, COUNT(*) AS records, COUNT(unreadable) AS unreadable, SUM(quantity) AS quantity,
+          COUNT_IF(transaction_date = 'yesterday') AS bad_dates
+        FROM {name} GROUP BY retailer, year""")
+
+
 def export_daily_summary(spark: SparkSession, folder: str) -> DataFrame:
     wh = warehouse(spark, folder)
     path = f"{wh.store.root}/export/daily_sales_summary"
@@ -401,6 +413,30 @@ def dim_store(spark: SparkSession, folder: str) -> DataFrame:
     return _loaded(spark, folder).star.stores.select("store_external_id")
 
 
+def dim_surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Per dimension: members, different keys, whether all lie above 0, members that another load would change.
+
+    That load has the same records again: it must add no member and give none another key.
+    """
+    loaded = _loaded(spark, folder)
+    star, records = loaded.star, loaded.records.where("status = 'valid' and product_name is not null")
+    again = {
+        "product": dims.upsert_products(records, star.products, _time(LOADED_AT)),
+        "customer": dims.new_customers(records, star.customers, _time(LOADED_AT)),
+        "store": dims.new_stores(records, star.stores, _time(LOADED_AT)),
+    }
+    natural = {"product": "product_sku", "customer": "customer_external_id", "store": "store_external_id"}
+    out = []
+    for name, key in natural.items():
+        members, pair = getattr(star, f"{name}s"), [f"{name}_id", key]
+        changed = again[name].select(*pair).join(members.select(*pair), pair, "left_anti")
+        out.append(members.agg(
+            F.count(key).alias("members"), F.count_distinct(f"{name}_id").alias("keys"),
+            (F.min(f"{name}_id") > 0).alias("above_zero"),
+        ).select(F.lit(name).alias("dimension"), "*", changed.agg(F.count("*")).scalar().alias("changed")))
+    return nrm.union_feeds(out)
+
+
 def dim_retailer(spark: SparkSession, folder: str) -> DataFrame:
     """The seed put on top of the retailers the loaded facts refer to: nothing is added twice."""
     star = _loaded(spark, folder).star
@@ -570,6 +606,7 @@ _QUERIES: dict[str, Query] = {
     "path_partition_values": path_partition_values,
     "processed_zone": processed_zone,
     "landing_inventory": landing_inventory,
+    "landing_external_table": landing_external_table,
     "export_daily_summary": export_daily_summary,
     # normalise and validate
     "normalize_source_1": normalize_source("retailer_1"),
@@ -590,6 +627,7 @@ _QUERIES: dict[str, Query] = {
     "dim_customer": dim_customer,
     "dim_store": dim_store,
     "dim_retailer": dim_retailer,
+    "dim_surrogate_keys": dim_surrogate_keys,
     "fact_sales": fact_sales,
     "fact_dedupe": fact_dedupe,
     "fact_idempotent_reload": fact_idempotent_reload,

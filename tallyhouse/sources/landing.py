@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.analytics import Day, as_day
-from tallyhouse.schemas import RETAILERS
+from tallyhouse.schemas import RECORD_SCHEMA, RETAILERS
 
 RECORD = "map<string,string>"
 PARTITIONS = ("retailer", "year", "month", "day")
@@ -245,7 +245,22 @@ def day_summary(listed: DataFrame, loaded_files: DataFrame, inserted: DataFrame)
     return found.join(processed, "retailer", "left").join(inserted, "retailer", "left").na.fill(0, counts)
 
 
-def external_view(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Name the landed JSON as a view for ad-hoc SQL; folders become columns."""
-    spark.read.option("basePath", root).json(root).createOrReplaceTempView(name)
+def external_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Name the landed JSON Lines as a table of the catalogue for ad-hoc SQL; dropping it keeps the files.
+
+    Columns are declared, so no file is read to find them, and each folder is a partition that the
+    catalogue knows, so a query lists and reads the folders it asks for. A line that is no JSON object,
+    or a value of another type, leaves the line's text in ``unreadable``. Folders that come later are
+    there after ``spark.catalog.recoverPartitions(name)``.
+    """
+    columns = [f"{field.name} {field.dataType.simpleString()}" for field in RECORD_SCHEMA]
+    dated = [x.replace("timestamp_ntz", "string") for x in columns]  # as delivered, readable or not
+    folders = ", ".join(f"{x} string" for x in PARTITIONS)
+    place = root.replace("'", "\\'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({', '.join(dated)}, unreadable string, {folders}) USING json "
+        f"OPTIONS (path '{place}', columnNameOfCorruptRecord 'unreadable') PARTITIONED BY ({', '.join(PARTITIONS)})"
+    )
+    spark.catalog.recoverPartitions(name)
     return spark.table(name)

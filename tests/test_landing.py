@@ -89,8 +89,30 @@ def test_landing_a_day_again_replaces_only_that_day(spark, folder):
     record = next(r["record"] for r in parsed if r["record"]["transaction_id"] == "o3")
     assert record["transaction_date"] == "2024-05-02T09:30:00.250000"
     assert json.loads(record["raw_data"])["sku"] == "B"
-    view = landing.external_view(spark, root, "raw_sales")
-    assert spark.sql("SELECT sum(quantity) FROM raw_sales").first()[0] == 3 and "day" in view.columns
+    table = landing.external_table(spark, root, "raw_sales")
+    assert spark.sql("SELECT sum(quantity) FROM raw_sales").first()[0] == 3 and "day" in table.columns
+
+
+def test_external_table_keeps_unreadable_lines_and_reads_the_folders_asked_for(spark, folder):
+    good = '{"transaction_id": "t%d", "quantity": 2, "transaction_date": "yesterday"}'
+    rows = [("2024", "05", "01", good % 1), ("2024", "05", "01", "{oops"), ("2024", "06", "01", good % 2),
+            ("2024", "06", "01", '{"transaction_id": "t3", "quantity": "many"}')]
+    texts = spark.createDataFrame(rows, "year string, month string, day string, value string")
+    root = f"{folder}/o'raw"
+    landing.land_texts(texts.withColumn("retailer", F.lit("retailer_1")), root)
+    landing.external_table(spark, root, "odd_sales")
+    found = spark.sql("SELECT month, count(*), sum(quantity), count(unreadable), min(unreadable) FROM odd_sales GROUP BY month")
+    assert {tuple(x) for x in found.collect()} == {
+        ("05", 2, 2, 1, "{oops"), ("06", 2, 2, 1, '{"transaction_id": "t3", "quantity": "many"}')
+    }
+    may = spark.sql("SELECT transaction_id, unreadable FROM odd_sales WHERE month = '05'")
+    assert len(may.inputFiles()) == 2 and {x.transaction_id for x in may.collect()} == {"t1", None}
+    plan = may._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "month" in plan.split("PartitionFilters")[1].split("]")[0]
+    landing.land_texts(texts.limit(0).withColumn("retailer", F.lit("x")), f"{folder}/none")
+    assert landing.external_table(spark, f"{folder}/none", "no_sales").count() == 0
+    spark.sql("DROP TABLE odd_sales")
+    assert landing.scan_files(spark, root, pattern="*.txt").count() == 4  # the files stay
 
 
 def test_a_file_is_in_order(spark, folder):

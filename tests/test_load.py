@@ -67,6 +67,49 @@ def test_reload_adds_nothing_and_keeps_keys(spark, store):
         assert frame.count() == 1
 
 
+def _part_files(store):
+    """The files of the product table as it stands, by bucket."""
+    out = {}
+    for path in store.read("dim_products").inputFiles():
+        out.setdefault(path.rsplit("/", 2)[1], set()).add(path)
+    return out
+
+
+def test_products_seen_again_rewrite_their_buckets_alone(spark, store):
+    many = [record(transaction_id=f"t{i}", product_id=f"P{i}", product_name=f"Part {i}") for i in range(300)]
+    first = load(spark, store, many)
+    keys = {r["product_sku"]: r["product_id"] for r in first.star.products.collect()}
+    assert len(set(keys.values())) == 300 and min(keys.values()) > 0
+    before = _part_files(store)
+    changed = [record(transaction_id=f"u{i}", product_id=f"P{i}", product_name="New") for i in range(0, 50, 5)]
+    again = load(spark, store, [*changed, record(transaction_id="u", product_id="Q", product_name="Q")], hour=3)
+    after = _part_files(store)
+    skus = [*(f"P{i}" for i in range(0, 50, 5)), "Q"]
+    rows = spark.createDataFrame([(x,) for x in skus], "product_sku string")
+    touched = {f"bucket={r['bucket']}" for r in dims.in_buckets(rows).collect()}
+    assert {x for x in after if after[x] != before.get(x)} == touched and len(touched) < len(after)
+    products = {r["product_sku"]: r for r in again.star.products.collect()}
+    assert "bucket" not in again.star.products.columns and len(products) == 301
+    assert {x: products[x]["product_id"] for x in keys} == keys
+    assert products["Q"]["product_id"] > max(keys.values())
+    assert {x for x in products if products[x]["product_name"] in ("New", "Q")} == set(skus)
+    assert {x for x in keys if products[x]["updated_at"] > products[x]["created_at"]} == set(skus) - {"Q"}
+
+
+def test_a_product_table_without_buckets_is_taken_over(spark, store):
+    old = spark.createDataFrame(
+        [(7, "A", "Old", None), (9, "Z", "Zinc", "Metal")],
+        "product_id bigint, product_sku string, product_name string, category string",
+    )
+    stamp = F.lit("2024-05-01 00:00:00").cast("timestamp_ntz")
+    store.write("dim_products", old.withColumns({"created_at": stamp, "updated_at": stamp}))
+    result = load(spark, store, [record(), record(transaction_id="t2", product_id="B", product_name="Bolt")])
+    products = {r["product_sku"]: (r["product_id"], r["product_name"]) for r in result.star.products.collect()}
+    assert products["A"] == (7, "Anvil") and products["Z"] == (9, "Zinc") and products["B"][0] > 9
+    nothing = load(spark, store, [], hour=4)
+    assert nothing.star.products.count() == 3
+
+
 def test_new_keys_lie_above_the_old(spark, store):
     load(spark, store, [record()])
     old = store.read("dim_products").first()["product_id"]
