@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-AS_OF = "DATE '2001-08-01'"
+FIRST_DAY = "(SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders)"
+AS_OF = "(SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders)"
 
 # Facts of the given tables: first line per (order, part, retailer), amounts in whole cents.
 LINES = """
@@ -355,7 +356,7 @@ PERFORMANCE = ("retailer_id, retailer_name, total_revenue, total_quantity, trans
 
 CHECKS = STAR + f""",
 days AS (
-  SELECT CAST(unnest(generate_series(DATE '1995-01-01', {AS_OF}, INTERVAL 1 DAY)) AS DATE) AS date
+  SELECT CAST(unnest(generate_series({FIRST_DAY}, {AS_OF}, INTERVAL 1 DAY)) AS DATE) AS date
 ),
 fq AS (
   SELECT date, CASE WHEN quantity <> 47 THEN quantity END AS quantity,
@@ -483,8 +484,9 @@ def per_view(columns: str) -> str:
 
 
 TOP_ROLLUP = "SELECT * FROM mv3 ORDER BY total_revenue DESC, product_sku, retailer_id"
-YEAR = "year = 2001"
-MONTH_RANGE = (f"make_date(year, month, 1) BETWEEN DATE '1995-01-01' AND {AS_OF}")
+YEAR = f"year = year({AS_OF})"
+LAST_YEAR = f"{YEAR} - 1"
+MONTH_RANGE = (f"make_date(year, month, 1) BETWEEN {FIRST_DAY} AND {AS_OF}")
 COMPARISON = f"""SELECT retailer_name, COUNT(DISTINCT date) AS days_active,
     SUM(total_revenue) AS total_revenue,
     CAST(SUM(transaction_count) AS BIGINT) AS total_transactions,
@@ -937,12 +939,12 @@ ORACLE: dict[str, str] = {
         "category, revenue",
     ),
     "doc_daily_one_retailer": views(
-        "SELECT * FROM mv1 WHERE retailer_name = 'Retailer 1' AND date >= DATE '1995-01-01'",
+        f"SELECT * FROM mv1 WHERE retailer_name = 'Retailer 1' AND date >= {FIRST_DAY}",
         "date, total_revenue, transaction_count, total_quantity",
     ),
     "doc_daily_one_sku": views(
-        """SELECT * FROM mv6 WHERE product_sku = '77' AND retailer_name = 'Retailer 1'
-        AND date >= DATE '1995-01-01'""",
+        f"""SELECT * FROM mv6 WHERE product_sku = '77' AND retailer_name = 'Retailer 1'
+        AND date >= {FIRST_DAY}""",
         "date, total_revenue, total_quantity_sold, avg_unit_price",
     ),
     "doc_average_daily_revenue": views(
@@ -954,24 +956,24 @@ ORACLE: dict[str, str] = {
         "product_name, category, total_revenue, total_quantity_sold",
     ),
     "doc_monthly_one_retailer": views(
-        "SELECT * FROM mv2 WHERE retailer_name = 'Retailer 1' AND year = 2000",
+        f"SELECT * FROM mv2 WHERE retailer_name = 'Retailer 1' AND {LAST_YEAR}",
         "year, month, category, total_revenue, unique_products",
     ),
     "doc_weekly_one_retailer": views(
-        "SELECT * FROM mv4 WHERE retailer_name = 'Retailer 1' AND year = 2000",
+        f"SELECT * FROM mv4 WHERE retailer_name = 'Retailer 1' AND {LAST_YEAR}",
         "year, week, total_revenue, avg_transaction_amount, days_with_sales",
     ),
     "doc_quarterly_year": views(
-        "SELECT * FROM mv5 WHERE year = 2000",
+        f"SELECT * FROM mv5 WHERE {LAST_YEAR}",
         "retailer_name, year, quarter, total_revenue, unique_products",
     ),
     "doc_top_current_month": star(
-        top("date BETWEEN DATE '2001-08-01' AND DATE '2001-08-31'", 20),
+        top(f"date BETWEEN date_trunc('month', {AS_OF}) AND last_day({AS_OF})", 20),
         "product_name, category, total_revenue, total_quantity_sold, transaction_count",
     ),
     "doc_retailers_last_quarter": star(
         f"""SELECT *, revenue_percentage AS market_share FROM
-        ({performance("date BETWEEN DATE '2001-04-01' AND DATE '2001-06-30'")})""",
+        ({performance(f"date >= date_trunc('quarter', {AS_OF}) - INTERVAL 3 MONTH AND date < date_trunc('quarter', {AS_OF})")})""",
         "retailer_name, total_revenue, market_share, avg_transaction_amount, unique_customers",
     ),
     "doc_top20": views(

@@ -10,6 +10,7 @@ import hashlib
 import threading
 from collections.abc import Callable
 from dataclasses import replace
+from operator import attrgetter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,6 @@ from tallyhouse.plans.store import TableStore
 from tallyhouse.plans.warehouse import Warehouse, warehouse
 from tallyhouse.schemas import FEED_BY_CODE, FEEDS, RECORD_SCHEMA
 from tallyhouse.sources import export, feeds, landing, tables
-from tallyhouse.sources.tables import AS_OF, FIRST_DAY
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,7 +31,9 @@ LOADED_AT = "2001-08-02 02:00:00"
 NOW = "2001-08-01 12:00:00"
 SCD1_SPLIT = "1998-06-01"
 DELIVERY = "2001-08-31"
-YEAR = int(AS_OF[:4])
+#: Arguments of registered queries that the warehouse knows: the last and the first day of its orders.
+AS_OF, FIRST_DAY = attrgetter("as_of"), attrgetter("first_day")
+SPAN = (FIRST_DAY, AS_OF)
 #: Records in a landing file of arrays or lines.
 PER_FILE = 100_000
 
@@ -130,7 +132,7 @@ def scan_source(code: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         feed = FEED_BY_CODE[code]
         table = tables.source_table(spark, folder, code)
-        return feeds.scan_feed(table, feed, FIRST_DAY, AS_OF)
+        return feeds.scan_feed(table, feed, *tables.span(spark, folder))
 
     return run
 
@@ -495,10 +497,17 @@ def process_date_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 # Registry ----------------------------------------------------------------------------------
 
+def _known(wh: Warehouse, args: tuple) -> list:
+    """The arguments, those asked of the warehouse among them."""
+    return [x(wh) if callable(x) else x for x in args]
 
 
 def _star(function: Callable, *args) -> Query:
-    return lambda spark, folder: function(warehouse(spark, folder).star, *args)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        wh = warehouse(spark, folder)
+        return function(wh.star, *_known(wh, args))
+
+    return run
 
 
 def _counted(function: Callable, *args) -> Query:
@@ -506,19 +515,23 @@ def _counted(function: Callable, *args) -> Query:
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         wh = warehouse(spark, folder)
-        return function(wh.star, *args, members=wh.members)
+        return function(wh.star, *_known(wh, args), members=wh.members)
 
     return run
 
 
 def _views(function: Callable, *args) -> Query:
-    return lambda spark, folder: function(warehouse(spark, folder).views, *args)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        wh = warehouse(spark, folder)
+        return function(wh.views, *_known(wh, args))
+
+    return run
 
 
 def _checks(function: Callable, *args) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        star = tables.faulty(warehouse(spark, folder).star)
-        results = function(star, FIRST_DAY, AS_OF, *args)
+        wh = warehouse(spark, folder)
+        results = function(tables.faulty(wh.star), *_known(wh, (*SPAN, *args)))
         return results.withColumn("details", F.to_json("details"))
 
     return run
@@ -581,13 +594,21 @@ def _plain(query: Query) -> Query:
     return lambda spark, folder: plain(query(spark, folder))
 
 
-SPAN = (FIRST_DAY, AS_OF)
 TOUCHED_ROLLUPS = [name.removeprefix("mv_") for name in rollups.ROLLUPS]
 
 
 def _last(days: int) -> tuple:
     """From so many days before today until today."""
-    return fn.days_before(AS_OF, days), AS_OF
+    return (lambda wh: fn.days_before(wh.as_of, days)), AS_OF
+
+
+def _last_year(wh: Warehouse) -> int:
+    return int(wh.as_of[:4]) - 1
+
+
+def _touched_sales_summary(spark: SparkSession, folder: str) -> DataFrame:
+    wh = warehouse(spark, folder)
+    return fn.sales_summary(wh.star, *_known(wh, SPAN), members=refresh.read_members(_touched(spark, folder)))
 
 
 _QUERIES: dict[str, Query] = {
@@ -652,9 +673,7 @@ _QUERIES: dict[str, Query] = {
     "refresh_all_status": refresh_all_status,
     "refresh_together_status": refresh_together_status,
     **{f"touched_{name}": _touched_rollup(f"mv_{name}") for name in TOUCHED_ROLLUPS},
-    "touched_sales_summary": lambda spark, folder: fn.sales_summary(
-        warehouse(spark, folder).star, *SPAN, members=refresh.read_members(_touched(spark, folder))
-    ),
+    "touched_sales_summary": _touched_sales_summary,
     "touched_status": lambda spark, folder: refresh.refresh_status(_touched(spark, folder)),
     "view_info": _refreshed(lambda wh: refresh.view_info(wh.store)),
     "verify_views": _refreshed(lambda wh: refresh.verify_views(wh.store)),
@@ -691,7 +710,7 @@ _QUERIES: dict[str, Query] = {
     "dq_latest_by_retailer": _star(quality.latest_by_retailer, AS_OF, AS_OF),
     "dq_run_all": _checks(quality.run_all_checks, AS_OF),
     "dq_run_summary": _star(
-        lambda star: quality.summarize_checks(quality.run_all_checks(tables.faulty(star), *SPAN, AS_OF))
+        lambda star, *days: quality.summarize_checks(quality.run_all_checks(tables.faulty(star), *days)), *SPAN, AS_OF
     ),
     "dq_report": _star(quality.quality_report, *SPAN),
     "dq_summary": _star(quality.quality_summary, *SPAN),
@@ -731,9 +750,9 @@ _QUERIES: dict[str, Query] = {
     "doc_daily_one_sku": _views(reports.daily_one_sku, "77", "Retailer 1", FIRST_DAY),
     "doc_average_daily_revenue": _views(reports.average_daily_revenue, AS_OF),
     "doc_top_one_retailer": _views(reports.top_one_retailer, "Retailer 1"),
-    "doc_monthly_one_retailer": _views(reports.monthly_one_retailer, "Retailer 1", YEAR - 1),
-    "doc_weekly_one_retailer": _views(reports.weekly_one_retailer, "Retailer 1", YEAR - 1),
-    "doc_quarterly_year": _views(reports.quarterly_year, YEAR - 1),
+    "doc_monthly_one_retailer": _views(reports.monthly_one_retailer, "Retailer 1", _last_year),
+    "doc_weekly_one_retailer": _views(reports.weekly_one_retailer, "Retailer 1", _last_year),
+    "doc_quarterly_year": _views(reports.quarterly_year, _last_year),
     "doc_top_current_month": _star(reports.top_current_month, AS_OF),
     "doc_retailers_last_quarter": _star(reports.retailers_last_quarter, AS_OF),
     "doc_top20": _views(reports.top20),

@@ -72,6 +72,8 @@ class Views(Mapping[str, DataFrame]):
 class Warehouse:
     """Star schema and rollups of one set of given tables, kept for this session.
 
+    ``first_day`` and ``as_of`` are the first and the last day of its orders.
+
     They live in a folder of their own under the shared folder, so a lost executor loses nothing,
     and go when the driver ends.
     """
@@ -80,6 +82,7 @@ class Warehouse:
         name = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:8]}"
         self.store = TableStore(spark, f"{shared_dir(spark)}/tallyhouse/{name}")
         self.store.delete_on_exit()
+        self.first_day, self.as_of = tables.span(spark, folder)
         self.star = load_star(spark, folder, self.store)
         self.views = Views(self.star, self.store)
         self._lock = threading.Lock()

@@ -17,8 +17,6 @@ from tallyhouse.operators.aggregate import first_wins
 from tallyhouse.operators.dims import date_attributes, seed_retailers
 from tallyhouse.schemas import FEED_BY_CODE, Feed, Star
 
-AS_OF = "2001-08-01"  # the day the reports take as today: the last order date
-FIRST_DAY = "1995-01-01"
 NO_CATEGORY = "PROMO"
 
 LINE_ORDER = ("line_number", "store_number", "cents", "quantity")
@@ -28,6 +26,16 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def span(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """The first and the last day with orders; the reports take the last one as today.
+
+    Without any order both are the first day of 1970.
+    """
+    date = F.to_date("o_orderdate")
+    days = read(spark, folder, "orders").agg(F.min(date).cast("string"), F.max(date).cast("string")).first()
+    return days[0] or "1970-01-01", days[1] or "1970-01-01"
+
+
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     quantity = F.col("l_quantity").cast("int")
