@@ -324,3 +324,43 @@ def test_a_large_folder_is_cut_into_arrays(spark, folder):
     parsed, rejected = landing.parse_files(spark, landing.scan_files(spark, f"{folder}/raw", pattern="*.txt"))
     assert parsed.select("file").distinct().count() == 11 and rejected.count() == 0
     assert sorted(r["record"]["transaction_id"] for r in parsed.collect()) == sorted(r[4] for r in rows)
+
+
+def test_chunks_are_written_as_lines(spark, folder):
+    """Arrays line by line, a file for each chunk, compressed, and in order however small the sorts' memory."""
+    rows = [("retailer_1", "2024", "05", "02", f"t{i}") for i in range(1000)] + [("retailer_2", "2024", "05", "02", "t")] * 2
+    records = spark.createDataFrame(rows, [*landing.PARTITIONS, "transaction_id"])
+    lines = landing.chunk_lines(records, F.to_json(F.struct("transaction_id")), 100)
+    value = F.concat(F.when(F.col("place") == 1, "[").otherwise(""), "item", F.when(F.col("last"), "]").otherwise(","))
+    landing.land_lines(lines.withColumn("value", value), f"{folder}/raw")
+    files = landing.scan_files(spark, f"{folder}/raw", pattern="*.txt.lz4")
+    parsed, rejected = landing.parse_files(spark, files)
+    assert parsed.select("file").distinct().count() == 11 and rejected.count() == 0
+    assert sorted(r["record"]["transaction_id"] for r in parsed.collect()) == sorted(r[4] for r in rows)
+    assert landing.list_files(spark, f"{folder}/raw", "2024-05-02", "*.txt.lz4").count() == 11
+
+
+def test_lines_beside_arrays_do_not_move(spark, tmp_path):
+    put(tmp_path, "a.json", json.dumps([RECORD]))
+    put(tmp_path, "b.json", json.dumps(RECORD), "retailer_2")
+    records, _ = landing.parse_files(spark, landing.scan_files(spark, f"file://{tmp_path}"))
+    assert records.count() == 2
+    assert "Exchange hashpartitioning" not in records._jdf.queryExecution().executedPlan().toString()
+
+
+def test_compressed_lines_are_read_as_others(spark, folder):
+    rows = [("retailer_1", "2024", "05", "02", str(i)) for i in range(50)]
+    records = spark.createDataFrame(rows, [*landing.PARTITIONS, "transaction_id"])
+    landing.land(records, f"{folder}/raw", compression="lz4")
+    files = landing.scan_files(spark, f"{folder}/raw")
+    assert all(r["file"].endswith(".json.lz4") for r in files.select("file").distinct().collect())
+    assert {r["record"]["transaction_id"] for r in landing.parse_lines(files).collect()} == {r[4] for r in rows}
+
+
+def test_landing_needs_no_star(spark, folder, tmp_path):
+    from tallyhouse.plans.warehouse import Warehouse
+
+    days = "select 1L o_orderkey, 1L o_custkey, timestamp'2024-05-02' o_orderdate"
+    spark.sql(days).write.parquet(f"{folder}/orders.parquet")
+    wh = Warehouse(spark, folder)  # lineitem isn't there
+    assert wh.first_day == wh.as_of == "2024-05-02" and not wh.store.exists("fact_sales")
