@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import byte_slices, table
+from tallyhouse.llm.common import byte_slices, id_slices, listed, table
 
 #: Distinct matches of the pattern that a worker remembers (twice as many before the older half
 #: goes), the longest that it remembers, and the token pairs whose test it remembers.
@@ -205,11 +205,8 @@ def decode_bytepairs(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = ranks(path, pattern).decode
         for batch in batches:
-            ends = batch.column(1).offsets.to_numpy()
-            cuts = np.flatnonzero(np.diff(ends // MOST_IDS)) + 1
-            for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
-                rows = batch.slice(a, b - a)
-                out = [decode(x.values.to_pylist() if x.is_valid else []) for x in rows.column(1)]
+            for rows in id_slices(batch, 1, MOST_IDS):
+                out = [*map(decode, listed(rows.column(1)))]
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out, pa.binary())], names=["id", "ids", "bytes"])
 
     kind = encoded.schema[id_col].dataType.simpleString()

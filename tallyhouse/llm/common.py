@@ -176,6 +176,22 @@ def by_bytes(texts: Sequence[str], most: int) -> Iterator[range]:
         yield range(begin, len(texts))
 
 
+def id_slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices whose lists in ``column`` hold about ``most`` items together, one row at least."""
+    ends = batch.column(column).offsets.to_numpy()
+    cuts = np.flatnonzero(np.diff(ends // most)) + 1
+    for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def listed(lists: pa.ListArray) -> Iterator[list[int]]:
+    """The items of each list as Python numbers; none for a null."""
+    items, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy().tolist()
+    for a, b, known in zip(ends, ends[1:], lists.is_valid().to_pylist(), strict=False):
+        yield items[a:b].tolist() if known else []
+
+
 def byte_slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices whose texts in ``column`` hold about ``most`` bytes, one row at least.
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import ranked, salts_of, table, written
+from tallyhouse.llm.common import byte_slices, ranked, salts_of, table, written
 
 #: Characters that every version of Unicode puts into the same class. Texts of these alone are
 #: encoded by a second library, several times faster, with the same vocabulary; others by tokenizers.
@@ -24,6 +24,10 @@ _PLAIN = re.compile(r"[\t\n\r -~¡-ɏ‐-‧]*")
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: Bytes of text that are handled together.
+MOST = 1 << 20
+
+
 class ByteBpe:
     """Ids of texts as tokenizers gives them for a byte-level BPE file, without added special ids."""
 
@@ -77,7 +81,7 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(path).ids
-        for batch in batches:
+        for batch in (rows for batch in batches for rows in byte_slices(batch, 1, MOST)):
             row, start, ids, tokens = [], [], [], []
             for i, text in enumerate(batch.column(1)):
                 all_ids = np.append(encode(text.as_py()), np.uint32(end_id)).astype("<u4")

@@ -16,12 +16,14 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import table
+from tallyhouse.llm.common import byte_slices, id_slices, listed, table
 
 _SPACE = "▁"
 #: Distinct words that a worker remembers at least; from twice as many, those not seen since the
 #: last half go. Token pairs are kept up to this number too.
 REMEMBERED = 300_000
+#: Bytes of text, and ids, that are handled together.
+MOST, MOST_IDS = 1 << 20, 1 << 18
 
 
 class Apart(dict):
@@ -188,17 +190,18 @@ def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """One row per row of ``docs``: id and ``ids`` (array of int), without begin and end ids.
 
     A null or empty text has no ids; repeated rows stay; an empty table gives no rows; other
-    columns are not looked at.
+    columns are not looked at. Batches are cut by bytes, so that a worker holds few texts at once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = model(path).encode
         for batch in batches:
-            encode = model(path).encode
-            ids = [encode(x) for x in batch.column(1).to_pylist()]
-            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-            flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            lists = pa.ListArray.from_arrays(pa.array(ends), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "ids"])
+            for rows in byte_slices(batch, 1, MOST):
+                ids = [encode(x.as_py()) for x in rows.column(1)]
+                ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+                flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                lists = pa.ListArray.from_arrays(pa.array(ends), flat)
+                yield pa.RecordBatch.from_arrays([rows.column(0), lists], names=["id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
@@ -209,15 +212,13 @@ def decode_pieces(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col
     """One row per row of ``encoded``: id, ``ids`` and ``text``; no ids (or null) give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode = model(path).decode
         for batch in batches:
-            decode = model(path).decode
-            lists = batch.column(1)
-            ids, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy().tolist()
-            known = lists.is_valid().to_pylist()
-            texts = [decode(ids[a:b].tolist() if k else []) for a, b, k in zip(ends, ends[1:], known, strict=False)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], names=["id", "ids", "text"]
-            )
+            for rows in id_slices(batch, 1, MOST_IDS):
+                texts = [*map(decode, listed(rows.column(1)))]
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(texts, pa.string())], names=["id", "ids", "text"]
+                )
 
     kind = encoded.schema[id_col].dataType.simpleString()
     slim = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))

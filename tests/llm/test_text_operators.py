@@ -337,3 +337,37 @@ def test_spread_is_exact_near_the_limit(spark):
     rows = [(line, 9, f"s{i}") for line in range(60) for i in range(line * 5)]
     found = lines.site_spread(spark.createDataFrame(rows, "line long, size int, site string"), 100)
     assert {r.line for r in found.collect()} == set(range(20, 60))
+
+
+def test_lists_are_handled_in_slices():
+    """A worker holds few lists at once, and each is the list it was: nulls, empty ones and slices too."""
+    import pyarrow as pa
+
+    from tallyhouse.llm.common import id_slices, listed
+
+    rows = [[1, 2, 3], None, [], [4] * 5, [], [5]] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array(range(18)), pa.array(rows, pa.list_(pa.int32()))], names=["id", "ids"])
+    for part, want in ((batch, rows), (batch.slice(3, 9), rows[3:12]), (batch.slice(0, 0), [])):
+        slices = [*id_slices(part, 1, 4)]
+        assert [x for s in slices for x in listed(s.column(1))] == [x or [] for x in want]
+        assert sum(s.num_rows for s in slices) == len(want)
+    assert len([*id_slices(batch, 1, 4)]) > 3
+
+
+def test_encoders_give_small_batches(spark, monkeypatch):
+    """A batch of long texts is cut by bytes before it is worked on, and comes out in parts."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    from tallyhouse.llm import packing, pieces
+
+    docs, caught = spark.createDataFrame([(1, "a")], "doc_id long, text string"), []
+    whole = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, run, schema: caught.append(run) or whole(df, run, schema))
+    pieces.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["some words " * 30_000] * 8
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["id", "text"])
+    for run in caught:
+        out = [*run(iter([batch]))]
+        assert len(out) > 1 and {x for rows in out for x in rows.column(0).to_pylist()} == set(range(8))
