@@ -5,6 +5,7 @@ import pytest
 from tallyhouse.operators import analytics, members, quality, reports, rollups
 from tallyhouse.plans import refresh
 from tallyhouse.plans.store import TableStore
+from tallyhouse.sources import tables
 from tests.stars import line, star_of
 
 DAY = "2024-05-02"
@@ -104,3 +105,20 @@ def test_bitmaps_count_what_facts_have(spark):
             assert analytics.sales_summary(star, start, end, retailer, members=bits).first() == plain, (start, end)
         plain = analytics.retailer_performance(star, start, end).collect()
         assert analytics.retailer_performance(star, start, end, members=bits).collect() == plain
+
+
+def exchanges(df) -> list[str]:
+    """The shuffles of a plan; joins are not broadcast."""
+    spark, key = df.sparkSession, "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    return [x.split("Exchange ")[1] for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+
+
+def test_lines_move_once_to_become_facts(spark):
+    moved = exchanges(tables.fact_sales(spark, "/root/testdata/sf0.001"))
+    assert len(moved) == 2 and all(x.startswith("hashpartitioning(order_number#") for x in moved)
