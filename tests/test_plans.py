@@ -122,3 +122,18 @@ def exchanges(df) -> list[str]:
 def test_lines_move_once_to_become_facts(spark):
     moved = exchanges(tables.fact_sales(spark, "/root/testdata/sf0.001"))
     assert len(moved) == 2 and all(x.startswith("hashpartitioning(order_number#") for x in moved)
+
+
+@pytest.mark.parametrize(("name", "by"), [
+    ("mv_daily_sales_summary", "transaction_id"), ("mv_weekly_sales_trends", "transaction_id"),
+    ("mv_top_products_by_revenue", "product_id"), ("mv_daily_sales_by_product", "product_id"),
+])
+def test_facts_move_once_and_as_they_are(star, name, by):
+    plan = rollups.ROLLUPS[name](star)._jdf.queryExecution().executedPlan().toString().splitlines()
+    scan = next(i for i, x in enumerate(plan) if "FileScan" in x and "total_amount" in x)
+    last = max(i for i in range(scan) if "Exchange hashpartitioning" in plan[i])
+    assert f"Exchange hashpartitioning({by}#" in plan[last] and not any("Aggregate" in x for x in plan[last:scan])
+
+
+def test_facts_move_once_to_become_bitmaps(star):
+    assert len(exchanges(members.daily_members(star))) == 1
