@@ -232,3 +232,13 @@ def test_iso_times(spark):
     out = [r[0] for r in df.select(normalize.iso_timestamp(F.col("t")).cast("string")).collect()]
     assert out == ["2024-05-02 00:00:00", "2024-05-02 10:11:12.123456", "2024-05-02 10:11:12",
                    None, None, None, None]
+
+
+def test_repeated_records_and_their_order_stay_out_of_the_joins(spark, store):
+    records = [record(), record(), record(transaction_id="t2", retailer_id="retailer_9"), record(transaction_id="t3")]
+    loaded = load(spark, store, records)
+    assert counters(loaded) == {"inserted": 2, "duplicate": 1, "unknown_retailer": 1}
+    new = facts.new_facts(loaded.records.where("status = 'valid'"), loaded.star, None, F.lit(None).cast("timestamp_ntz"))
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Join") < plan.index("Window") < plan.index("REPARTITION_BY_NUM")
+    assert "load_seq" not in plan[: plan.index("Window")]

@@ -137,3 +137,8 @@ def test_facts_move_once_and_as_they_are(star, name, by):
 
 def test_facts_move_once_to_become_bitmaps(star):
     assert len(exchanges(members.daily_members(star))) == 1
+
+
+def test_lines_keep_their_parts_in_the_join_with_orders(spark):
+    moved = exchanges(tables.sales_lines(spark, "/root/testdata/sf0.001"))
+    assert any(x.startswith("hashpartitioning(order_number#") and "REPARTITION_BY_NUM" in x for x in moved)
