@@ -3,7 +3,7 @@
 import pytest
 
 from tallyhouse.operators import analytics, members, quality, reports, rollups
-from tallyhouse.plans import refresh
+from tallyhouse.plans import queries, refresh
 from tallyhouse.plans.store import TableStore
 from tallyhouse.sources import tables
 from tests.stars import line, star_of
@@ -142,3 +142,41 @@ def test_facts_move_once_to_become_bitmaps(star):
 def test_lines_keep_their_parts_in_the_join_with_orders(spark):
     moved = exchanges(tables.sales_lines(spark, "/root/testdata/sf0.001"))
     assert any(x.startswith("hashpartitioning(order_number#") and "REPARTITION_BY_NUM" in x for x in moved)
+
+
+def test_raw_feeds_move_orders_and_parts_once(spark, folder, monkeypatch):
+    """And each feed's records that don't convert come back, those with an unknown part or order in none."""
+    lines = [  # supplier 3 sells as retailer_1, 4 as retailer_2, 5 as retailer_3
+        (order, part, supplier, number, float(quantity), 10.0 * quantity)
+        for supplier in (3, 4, 5) for order, part, number, quantity in
+        ((1, 1, 1, 50), (1, 1, 1, 50), (1, 2, 2, 49), (2, 1, 1, 47), (2, 2, 7, 49), (2, 2, 3, 48), (9, 1, 1, 50), (1, 9, 3, 50), (None, 1, 4, 50))
+    ]
+    made = {
+        "lineitem": (lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double"),
+        "orders": ([(1, 7, "1998-03-01"), (2, 10, "1998-03-02")], "o_orderkey bigint, o_custkey bigint, o_orderdate string"),
+        "part": ([(1, "anvil", "STEEL"), (2, "bolt", "PROMO")], "p_partkey bigint, p_name string, p_type string"),
+    }
+    for name, (rows, schema) in made.items():
+        df = spark.createDataFrame(rows, schema)
+        if name == "orders":
+            df = df.withColumn("o_orderdate", df["o_orderdate"].cast("timestamp"))
+        df.write.parquet(f"{folder}/{name}.parquet")
+    written, write = [], TableStore.write
+    monkeypatch.setattr(TableStore, "write", lambda self, name, df, *a: written.append(df) or write(self, name, df, *a))
+    found = sorted(tuple(x) for x in queries.normalize_rejects(spark, folder).collect())
+    each = (("1", "1", "anvil", "STEEL", "7"), ("1", "1", "anvil", "STEEL", "7"), ("1", "2", "bolt", None, "7"),
+            ("2", "1", "anvil", "STEEL", None), ("2", "2", "bolt", None, None))
+    assert found == [(f"retailer_{s - 2}", *x, str(s)) for s in (3, 4, 5) for x in each]
+
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}  # with AQE reuse shows only when the plan has run
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        plans = [df.select("*")._jdf.queryExecution().executedPlan().toString() for df in written]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    for table in ("o_custkey", "p_name"):
+        scans = [x for plan in plans for x in plan.splitlines() if "FileScan" in x and table in x]
+        assert len(scans) == 1, table
