@@ -1,5 +1,6 @@
 """Dimensions, facts and reruns on hand-made records."""
 
+import os
 import random
 from decimal import Decimal
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import aggregate, dims, facts, merge, normalize, validate
-from tallyhouse.plans import daily
+from tallyhouse.plans import daily, queries
 from tallyhouse.plans.store import TableStore
 from tallyhouse.schemas import FEED_BY_CODE
 
@@ -242,3 +243,68 @@ def test_repeated_records_and_their_order_stay_out_of_the_joins(spark, store):
     plan = new._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Join") < plan.index("Window") < plan.index("REPARTITION_BY_NUM")
     assert "load_seq" not in plan[: plan.index("Window")]
+
+
+def test_only_records_that_share_a_key_move_for_the_first(spark, store, monkeypatch):
+    rows = [(f"t{i}", "p" if i % 2 else None, i, i % 7) for i in range(200)] + [("t1", "p", 0, 9), ("t2", None, 1, 9), ("t2", None, 0, 8)]
+    df = store.write("rows", spark.createDataFrame(rows, "k string, l string, o int, v int"))
+    first = sorted(map(tuple, aggregate.first_wins(df, ["k", "l"], ["o"]).collect()), key=str)
+    found = aggregate.first_wins_if_repeated(df, ["k", "l"], ["o"])
+    assert len(first) == 200 and sorted(map(tuple, found.collect()), key=str) == first
+    above, other = found._jdf.queryExecution().optimizedPlan().toString().split("LeftAnti")
+    assert "RepartitionByExpression" in above and "RepartitionByExpression" not in other
+    alone = df.where("v < 7")  # no key repeats, so no row moves
+    plan = aggregate.first_wins_if_repeated(alone, ["k", "l"], ["o"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    monkeypatch.setattr(aggregate, "MOST_REPEATED", 1)
+    found = aggregate.first_wins_if_repeated(df, ["k", "l"], ["o"])
+    assert sorted(map(tuple, found.collect()), key=str) == first and "LeftAnti" not in found._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_the_last_product_is_found_without_sorting_all_records(spark, store, monkeypatch, most):
+    random.seed(3)
+    rows = [
+        (f"s{random.randrange(40)}", random.choice(["a", "b", None]), random.choice(["x", None]), (random.randrange(4), i))
+        for i in range(400)
+    ] + [("once", "a", "x", (0, 900)), ("late", "a", "x", (0, 901)), ("late", "b", None, (9, 902)), (None, "a", "x", (9, 903))]
+    schema = "product_id string, product_name string, category string, load_seq struct<day:int,place:int>"
+    df = store.write("rows", spark.createDataFrame(rows, schema))
+    monkeypatch.setattr(dims, "MOST_UNCLEAR", most)
+    last = sorted(map(tuple, dims.latest_products(df).collect()))
+    found = dims.latest_products(df, written=True)
+    assert ("late", "b", None) in [x[:3] for x in last] and sorted(map(tuple, found.collect()), key=str) == sorted(last, key=str)
+    clear = dims.latest_products(df.where("product_id in ('once', 'late')"), written=True)
+    plan = clear._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan if most else "SortAggregate" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffles_go_when_their_table_is_written(spark, store):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {x for x in files.split("\n") if "shuffle_" in x}
+
+    moved = spark.range(10_000).repartition(4, "id").withColumn("p", F.lit(1))
+    before = shuffled()
+    store.write("t", moved, ["p"])
+    store.append("t", moved, ["p"])
+    assert store.read("t").count() == 20_000
+    assert store.replace_parts("t", moved, ["p"], [(1,)]).count() == 10_000
+    assert not {x for x in shuffled() - before if x.endswith(".data") and os.path.getsize(x) > 10_000}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_loading_writes_no_second_copy_of_the_raw_records(spark, folder):
+    made = {
+        "lineitem": ([(1, 1, 3, 1, 5.0, 50.0), (1, 2, 4, 2, 6.0, 60.0)], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double"),
+        "orders": ([(1, 7, "1998-03-01")], "o_orderkey bigint, o_custkey bigint, o_orderdate string"),
+        "part": ([(1, "anvil", "STEEL"), (2, "bolt", "PROMO")], "p_partkey bigint, p_name string, p_type string"),
+    }
+    for name, (rows, schema) in made.items():
+        df = spark.createDataFrame(rows, schema)
+        if name == "orders":
+            df = df.withColumn("o_orderdate", df["o_orderdate"].cast("timestamp"))
+        df.write.parquet(f"{folder}/{name}.parquet")
+    found = {tuple(x) for x in queries.dim_surrogate_keys(spark, folder).collect()}
+    assert found == {("product", 2, 2, True, 0), ("customer", 1, 1, True, 0), ("store", 2, 2, True, 0)}
+    assert not queries.warehouse(spark, folder).store.exists("raw_maps")
