@@ -364,3 +364,37 @@ def test_landing_needs_no_star(spark, folder, tmp_path):
     spark.sql(days).write.parquet(f"{folder}/orders.parquet")
     wh = Warehouse(spark, folder)  # lineitem isn't there
     assert wh.first_day == wh.as_of == "2024-05-02" and not wh.store.exists("fact_sales")
+
+
+def test_the_inventory_parses_each_file_once(spark, tmp_path):
+    """And sorts no record; the first record of a file counts, not the first line."""
+    put(tmp_path, "a.json", json.dumps([{"a": 1, "b": None}, {"c": 1}, {"c": 2}]))
+    put(tmp_path, "b.json", "\n" + "\n".join(['{oops', '{"z": 1}', '{"a": 1}', '{"a": 2}']))
+    put(tmp_path, "c.json", "[null, {}]", "retailer_2")
+    put(tmp_path, "d.json", "[]", "retailer_2")
+    put(tmp_path, "e.json", "  [\n" + json.dumps({"y": 1}) + "]", "retailer_2")
+    put(tmp_path, "f.json", "[{", "retailer_3")
+    records, rejected = landing.parse_files(spark, landing.scan_files(spark, f"file://{tmp_path}"))
+    files = landing.inventory(records.where("record is not null"))
+    found = {Path(x.file).name: (x.records, x.record_keys) for x in files.collect()}
+    assert found == {"a.json": (3, ["a", "b"]), "b.json": (3, ["z"]), "c.json": (1, []), "e.json": (1, ["y"])}
+    assert {Path(x.file).name for x in rejected.collect()} == {"d.json", "f.json"}
+    whole = landing.retailer_inventory(files, F.collect_set("record_keys").alias("keys"))
+    assert {x.retailer: (x.files, x.records) for x in whole.collect()} == {"retailer_1": (2, 6), "retailer_2": (2, 2)}
+    plan = whole.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 2 and plan.count("from_json(ArrayType") == 1
+    of_records = plan.split("Union")[0].split("Exchange")[-1]
+    assert "HashAggregate" in of_records and "Sort" not in of_records
+
+
+def test_records_move_to_their_chunk_before_they_become_items(spark):
+    rows = [("retailer_1", "2024", "05", "02", f"t{i}", i, None) for i in range(500)]
+    records = spark.createDataFrame(rows, "retailer string, year string, month string, day string, t string, n int, o int")
+    lines = landing.chunk_lines(records, F.to_json(F.struct("t", "n")), 100)
+    made, moved = lines._jdf.queryExecution().executedPlan().toString().split("REPARTITION_BY_NUM")
+    assert "AS item#" in made and "AS item#" not in moved
+    found = lines.collect()
+    assert sorted(json.loads(x.item)["n"] for x in found) == list(range(500))
+    chunks = {x.chunk: [y.item for y in sorted(found, key=lambda y: y.place) if y.chunk == x.chunk] for x in found}
+    assert len(chunks) == 5 and all(x == sorted(x) for x in chunks.values())
+    assert sum(x.last for x in found) == 5 and all(x.place == len(chunks[x.chunk]) for x in found if x.last)
