@@ -398,3 +398,27 @@ def test_records_move_to_their_chunk_before_they_become_items(spark):
     chunks = {x.chunk: [y.item for y in sorted(found, key=lambda y: y.place) if y.chunk == x.chunk] for x in found}
     assert len(chunks) == 5 and all(x == sorted(x) for x in chunks.values())
     assert sum(x.last for x in found) == 5 and all(x.place == len(chunks[x.chunk]) for x in found if x.last)
+
+
+def test_the_mixed_zone_and_the_load_are_made_of_the_same_lines(spark, folder, monkeypatch):
+    """The lines are joined once; a line without order or part is in neither."""
+    from tallyhouse.plans import queries
+    from tallyhouse.sources import tables
+
+    made = {
+        "lineitem": ([(1, 1, 3, 1, 5.0, 50.0), (1, 1, 3, 1, 5.0, 50.0), (1, 2, 4, 2, 47.0, 60.0), (1, 9, 5, 3, 7.0, 70.0), (8, 1, 5, 3, 7.0, 70.0)],
+                     "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double"),
+        "orders": ([(1, 7, "2001-08-01")], "o_orderkey bigint, o_custkey bigint, o_orderdate string"),
+        "part": ([(1, "anvil", "STEEL"), (2, "bolt", "PROMO")], "p_partkey bigint, p_name string, p_type string"),
+    }
+    for name, (rows, schema) in made.items():
+        df = spark.createDataFrame(rows, schema)
+        if name == "orders":
+            df = df.withColumn("o_orderdate", df["o_orderdate"].cast("timestamp"))
+        df.write.parquet(f"{folder}/{name}.parquet")
+    joined, join = [], tables.sales_lines
+    monkeypatch.setattr(tables, "sales_lines", lambda *a: joined.append(1) or join(*a))
+    found = {tuple(x) for x in queries.process_date_summary(spark, folder).collect()}
+    assert found == {("retailer_1", 1, 1, 2, 1), ("retailer_2", 1, 1, 1, 0)} and len(joined) == 1
+    first = {tuple(x)[:3] for x in queries.landing_inventory(spark, folder).collect()}
+    assert first == {("retailer_1", 1, 2), ("retailer_2", 1, 1)} and len(joined) == 1
