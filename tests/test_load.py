@@ -308,3 +308,22 @@ def test_loading_writes_no_second_copy_of_the_raw_records(spark, folder):
     found = {tuple(x) for x in queries.dim_surrogate_keys(spark, folder).collect()}
     assert found == {("product", 2, 2, True, 0), ("customer", 1, 1, True, 0), ("store", 2, 2, True, 0)}
     assert not queries.warehouse(spark, folder).store.exists("raw_maps")
+
+
+def test_facts_do_not_meet_by_retailer(spark, store, monkeypatch):
+    """The retailers that facts refer to come from three numbers a task, not from a join with all facts."""
+    loaded = load(spark, store, [record(transaction_id=f"t{i}", retailer_id=f"retailer_{1 + i % 2}") for i in range(6)])
+    monkeypatch.setattr(queries, "_loaded", lambda *_: loaded)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = queries.dim_retailer(spark, "")
+        plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert sorted(x.retailer_id for x in found.collect()) == [1, 2, 3]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    of_facts = [i for i, x in enumerate(plan) if "FileScan" in x and "month_id" in x]
+    assert of_facts
+    for i in of_facts:
+        moved = max(k for k in range(i) if "Exchange" in plan[k])
+        assert any("HashAggregate" in x for x in plan[moved:i])
